@@ -21,18 +21,46 @@ def _c(col: Column | str) -> Column:
 
 
 def parse(text: Column | str) -> Column:
-    """JSON text -> document map.
-
-    Anything but a JSON object (arrays, scalars, malformed text) gives NULL.
-    When a top-level field occurs twice the last occurrence wins, as in a
-    JSONB column; the de-duplication only runs on maps that have repeats.
-    """
-    m = F.from_json(_c(text), DOC_TYPE)
-    n_distinct = F.size(F.array_distinct(F.map_keys(m)))
+    """JSON text -> document map; anything but a JSON object (arrays,
+    scalars, malformed text) gives NULL.
+
+    A field written twice stays twice in the map, as parsed.  Lookups through
+    :func:`get` / :func:`text` with ``unique=False`` and :func:`dedupe` give
+    JSONB's answer (the last occurrence wins); :func:`unique_keys` tells which
+    documents need that.  Keeping the parse this plain keeps the whole stage
+    inside whole-stage code generation (no higher-order functions)."""
+    return F.from_json(_c(text), DOC_TYPE)
+
+
+def unique_keys(m: Column | str) -> Column:
+    """True when no top-level field occurs twice."""
+    return F.size(F.array_distinct(F.map_keys(_c(m)))) == F.size(_c(m))
+
+
+def get(m: Column | str, name: str, unique: Column | None = None) -> Column:
+    """Field as VARIANT, last occurrence winning.  ``unique`` is the
+    :func:`unique_keys` flag; where it is true a plain map lookup is used."""
+    m = _c(m)
+    pos = F.size(m) - F.array_position(F.reverse(F.map_keys(m)), F.lit(name)) + 1
+    last = F.when(F.map_contains_key(m, name), F.element_at(F.map_values(m), pos.cast("int")))
+    if unique is None:
+        return last
+    return F.when(unique, m[name]).otherwise(last)
+
+
+def dedupe(m: Column | str, unique: Column | None = None) -> Column:
+    """The document with repeated fields reduced to their last occurrence."""
+    m = _c(m)
     keep_last = F.map_from_entries(F.filter(
         F.map_entries(m),
         lambda e, i: i == F.size(m) - F.array_position(F.reverse(F.map_keys(m)), e["key"])))
-    return F.when(m.isNull(), F.lit(None)).when(n_distinct == F.size(m), m).otherwise(keep_last)
+    return F.when(unique if unique is not None else unique_keys(m), m).otherwise(keep_last)
+
+
+def object_without(m: Column | str, names: tuple[str, ...], unique: Column | None = None) -> Column:
+    """VARIANT object of the document minus ``names`` (``data - 'a' - 'b'``),
+    repeated fields resolved to their last occurrence."""
+    return to_object(without(dedupe(m, unique), *names))
 
 
 def has(m: Column | str, field: str) -> Column:
@@ -45,10 +73,10 @@ def field(m: Column | str, name: str) -> Column:
     return _c(m)[name]
 
 
-def text(m: Column | str, name: str) -> Column:
+def text(m: Column | str, name: str, unique: Column | None = None) -> Column:
     """Field as text (``data ->> 'k'``): JSON null and absent give NULL,
     strings their content, anything else its compact JSON text."""
-    return _c(m)[name].cast("string")
+    return get(m, name, unique).cast("string")
 
 
 def without(m: Column | str, *names: str) -> Column:
@@ -64,8 +92,12 @@ def to_object(m: Column | str) -> Column:
 
 
 def n_keys(m: Column | str, *ignore: str) -> Column:
-    """Number of top-level fields, not counting ``ignore``."""
-    return F.size(without(m, *ignore))
+    """Number of distinct top-level fields, not counting ``ignore``."""
+    m = _c(m)
+    n = F.size(F.array_distinct(F.map_keys(m)))
+    for name in ignore:
+        n = n - F.map_contains_key(m, name).cast("int")
+    return n
 
 
 def keys(m: Column | str) -> Column:
@@ -73,12 +105,17 @@ def keys(m: Column | str) -> Column:
     return F.map_keys(_c(m))
 
 
-def elements_text(m: Column | str, name: str) -> Column:
+def elements_text(m: Column | str, name: str, unique: Column | None = None) -> Column:
     """Array field as ``ARRAY<STRING>``, element by element as text.
 
     NULL when the field is absent or not an array (a scalar, an object or JSON
     null), so callers can tell "no array" from "empty array"."""
-    return _c(m)[name].try_cast("array<string>")
+    return get(m, name, unique).try_cast("array<string>")
+
+
+def has_null(arr: Column) -> Column:
+    """True when an array holds a NULL element."""
+    return F.size(F.array_compact(arr)) < F.size(arr)
 
 
 def epoch_millis_to_timestamp(text_col: Column) -> Column:

@@ -41,13 +41,13 @@ from kindred import model
 from kindred.functions import jsondoc as J
 from kindred.session import scratch_path
 
-STAGE_COLUMNS = ("data", "m", "_key", "has_score", "value", "score", "expire_at",
+STAGE_COLUMNS = ("data", "m", "uniq", "_key", "has_score", "value", "score", "expire_at",
                  "kind", "payload", "members", "items", "reason",
                  "imported", "imp_type", "imp_id", "imp_reason")
 
 
-def _plain_kind(m: Column) -> Column:
-    n = J.n_keys(m, model.EXPIRE)
+def _plain_kind(m: Column, ignore: tuple[str, ...]) -> Column:
+    n = J.n_keys(m, model.EXPIRE, *ignore)
     return (F.when(n != 2, F.lit("hash"))
             .when(J.has(m, model.VALUE) | J.has(m, model.DATA), F.lit("string"))
             .when(J.has(m, model.ARRAY), F.lit("list"))
@@ -62,68 +62,73 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
 
     ``list_field`` is the field read as a list's payload (``"list"`` gives the
     source SQL's literal behaviour: every list empty).  ``drop_fields`` are
-    removed at parse time (the source store's ``_id`` by default; ``()`` is
-    literal).  ``iso_expire`` also accepts ISO-8601 expiry strings.
+    fields of the source store that are not part of the object (its ``_id``
+    by default; ``()`` is literal): they do not count for the kind and the
+    output jobs leave them out.  ``iso_expire`` also accepts ISO-8601 expiry
+    strings.
+
+    Every expression here is a plain built-in (no lambdas), so the whole
+    projection compiles into one whole-stage-codegen function.
     """
-    m = J.parse(F.col("data"))
-    if drop_fields:
-        m = J.without(m, *drop_fields)
-    parsed = docs.select(F.col("data"), m.alias("m"))
-
-    m = F.col("m")
-    key = J.text(m, model.KEY)
-    value = J.text(m, model.VALUE)
-    score_text = J.text(m, model.SCORE)
-    expire_text = J.text(m, model.EXPIRE)
+    c = F.col
+    m, u = c("m"), c("uniq")
+    parsed = (docs.select("data", J.parse(c("data")).alias("m"))
+              .select("data", "m", J.unique_keys(c("m")).alias("uniq")))
+
+    def text(name: str) -> Column:
+        return J.text(m, name, u)
+
+    key = text(model.KEY)
     base = parsed.select(
-        "data", "m",
+        "data", "m", "uniq",
         key.alias("_key"),
         J.has(m, model.SCORE).alias("has_score"),
-        value.alias("value"),
-        score_text.alias("score_text"),
-        score_text.try_cast(model.SCORE_TYPE).alias("score"),
-        expire_text.alias("expire_text"),
-        J.expire_timestamp(expire_text, iso=iso_expire).alias("expire_at"),
+        text(model.VALUE).alias("value"),
+        text(model.SCORE).alias("score_text"),
+        text(model.EXPIRE).alias("expire_text"),
         J.imported_like(key).alias("imported"),
         (F.when(m.isNull(), F.lit("not_an_object"))
          .when(~J.has(m, model.KEY), F.lit("missing_key"))
          .when(key.isNull(), F.lit("null_key"))).alias("doc_reason"),
-        _plain_kind(m).alias("plain_kind"),
-        F.when(J.has(m, model.VALUE), value).otherwise(J.text(m, model.DATA)).alias("payload"),
+        _plain_kind(m, tuple(drop_fields)).alias("plain_kind"),
     )
 
-    c = F.col
     ok = c("doc_reason").isNull()
     zset_ok = c("has_score") & c("value").isNotNull() & c("score_text").isNotNull()
     candidate = ok & (zset_ok | (~c("has_score") & ~c("imported")))
+    expire_at = J.expire_timestamp(c("expire_text"), iso=iso_expire)
     expire_bad = c("expire_text").isNotNull() & c("expire_at").isNull()
-    routed = base.select(
-        *[c(x) for x in ("data", "m", "_key", "has_score", "value", "score", "expire_at",
-                         "imported", "doc_reason")],
+    with_time = base.select(
+        *base.columns,
+        c("score_text").try_cast(model.SCORE_TYPE).alias("score"),
+        expire_at.alias("expire_at"))
+    routed = with_time.select(
+        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
+                         "expire_at", "imported", "doc_reason")],
         F.when(candidate & ~expire_bad,
                F.when(zset_ok, F.lit("zset")).otherwise(c("plain_kind"))).alias("kind"),
         (F.when(~ok, c("doc_reason"))
          .when(c("has_score") & ~c("imported") & c("score_text").isNull(), F.lit("null_score"))
          .when(c("has_score") & ~c("imported") & c("value").isNull(), F.lit("null_value"))
          .when(candidate & expire_bad, F.lit("bad_expire"))).alias("route_reason"),
-        c("payload"),
     )
 
     kind = c("kind")
-    members = F.when(kind == "set", J.elements_text(m, model.MEMBERS))
-    items = F.when(kind == "list",
-                   F.when(~J.has(m, list_field), F.array().cast("array<string>"))
-                   .otherwise(J.elements_text(m, list_field)))
-    with_arrays = routed.select(
-        *[c(x) for x in routed.columns if x != "payload"],
-        F.when(kind == "string", c("payload")).alias("payload"),
-        members.alias("members"), items.alias("items"))
+    payload = F.when(J.has(m, model.VALUE), c("value")).otherwise(text(model.DATA))
+    members = J.elements_text(m, model.MEMBERS, u)
+    items = (F.when(~J.has(m, list_field), F.array().cast("array<string>"))
+             .otherwise(J.elements_text(m, list_field, u)))
+    with_payload = routed.select(
+        *routed.columns,
+        F.when(kind == "string", payload).alias("payload"),
+        F.when(kind == "set", members).alias("members"),
+        F.when(kind == "list", items).alias("items"))
 
     child_reason = (
         F.when((kind == "zset") & c("score").isNull(), F.lit("bad_score"))
         .when((kind == "string") & c("payload").isNull(), F.lit("null_payload"))
         .when((kind == "set") & c("members").isNull(), F.lit("members_not_array"))
-        .when((kind == "set") & F.exists("members", lambda x: x.isNull()), F.lit("null_member"))
+        .when((kind == "set") & J.has_null(c("members")), F.lit("null_member"))
         .when((kind == "list") & c("items").isNull(), F.lit("array_not_array")))
 
     key = c("_key")
@@ -133,20 +138,20 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     imp_reason = F.when(imp, F.when(~key.rlike(J.IMPORTED_KEY_RE), F.lit("bad_imported_key"))
                         .when(~itype.isin(*model.IMPORTED_TYPES), F.lit("bad_imported_type"))
                         .when(iid.isNull(), F.lit("bad_imported_id")))
-    staged = with_arrays.select(
-        "m", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
-        "members", "items",
+    reasons = with_payload.select(
+        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
+                         "expire_at", "kind", "payload", "members", "items")],
         F.coalesce(c("route_reason"), child_reason).alias("reason"),
-        F.coalesce(c("imported") & ok, F.lit(False)).alias("imported"),
+        F.coalesce(imp, F.lit(False)).alias("imported"),
         imp_reason.alias("imp_reason"),
-        F.when(imp, itype).alias("_itype"), F.when(imp, iid).alias("_iid"),
-        "data",
+        F.when(imp, itype).alias("_itype"),
+        F.when(imp, iid).alias("_iid"),
     )
     good_imp = c("imported") & c("imp_reason").isNull()
-    return staged.select(
+    return reasons.select(
         # raw text is kept only where a reject needs it
         F.when(c("reason").isNotNull() | c("imp_reason").isNotNull(), c("data")).alias("data"),
-        "m", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
+        "m", "uniq", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
         "members", "items", "reason", "imported",
         F.when(good_imp, c("_itype")).alias("imp_type"),
         F.when(good_imp, c("_iid")).alias("imp_id"),
@@ -154,15 +159,54 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     )
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet below the shared checkpoint folder and read it
-    back: a durable lineage cut with column pruning for every reader."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
-def stage(spark: SparkSession, docs: DataFrame, persist: bool = True, **options) -> DataFrame:
-    """Classify ``docs`` and, by default, materialise the result (see module doc)."""
+def write_back(spark: SparkSession, df: DataFrame, path: str,
+               partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as parquet at ``path`` and read it back, columns in the
+    original order.  With ``partition_by``, readers filtering on those
+    columns skip whole folders."""
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    back = spark.read.parquet(path)
+    return back.select(*df.columns) if partition_by else back
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str,
+                partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` below the shared checkpoint folder and read it back: a
+    durable lineage cut with column pruning for every reader."""
+    return write_back(spark, df, scratch_path(spark, name), partition_by)
+
+
+def spread(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Round-robin ``docs`` over the cluster when the input has fewer
+    partitions than twice its cores (one unsplittable file, a one-row-group
+    table), so the parse is not run by a handful of tasks.  Inputs with more
+    partitions, i.e. every large input, are left as they are: no shuffle."""
+    want = 2 * spark.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < want:
+        return docs.repartition(want)
+    return docs
+
+
+def stage(spark: SparkSession, docs: DataFrame, persist: bool = True,
+          path: str | None = None, rebalance: bool = True, **options) -> DataFrame:
+    """Classify ``docs`` and, by default, materialise the result partitioned by
+    ``kind`` (see module doc): the hash job then reads only hash documents,
+    the set job only set documents, and so on."""
+    if rebalance:
+        docs = spread(spark, docs)
     staged = classify(docs, **options)
-    return materialize(spark, staged, "stage") if persist else staged
+    if not persist:
+        return staged
+    return write_back(spark, staged, path or scratch_path(spark, "stage"), ("kind",))
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` through its Hadoop file system (works on
+    any shared storage); used to drop a staged table when a run is done."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).delete(p, True))

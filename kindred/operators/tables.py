@@ -22,11 +22,18 @@ def _kind(t: str):
     return F.col("kind") == t
 
 
-def legacy_hash(st: DataFrame) -> DataFrame:
-    """The document without ``_key`` and ``expireAt``, as VARIANT."""
+DROP = (model.STORE_ID,)
+
+
+def _hash_data(drop_fields: tuple[str, ...]) -> F.Column:
+    return J.object_without("m", (model.KEY, model.EXPIRE, *drop_fields), F.col("uniq"))
+
+
+def legacy_hash(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataFrame:
+    """The document without ``_key`` and ``expireAt``, as VARIANT.
+    ``drop_fields`` must be those given to the stage."""
     return (st.where(_kind("hash"))
-            .select("_key", J.to_object(J.without("m", model.KEY, model.EXPIRE)).alias("data"),
-                    F.lit("hash").alias("type")))
+            .select("_key", _hash_data(drop_fields).alias("data"), F.lit("hash").alias("type")))
 
 
 def legacy_zset(st: DataFrame) -> DataFrame:
@@ -55,12 +62,12 @@ def legacy_string(st: DataFrame) -> DataFrame:
             .select("_key", F.col("payload").alias("data"), F.lit("string").alias("type")))
 
 
-def legacy_imported(st: DataFrame) -> DataFrame:
+def legacy_imported(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataFrame:
     """``(type, id)`` parsed from the key; the document minus ``_key``
     (``expireAt`` stays)."""
     return (st.where(F.col("imp_type").isNotNull())
             .select(F.col("imp_type").alias("type"), F.col("imp_id").alias("id"),
-                    J.to_object(J.without("m", model.KEY)).alias("data")))
+                    J.object_without("m", (model.KEY, *drop_fields), F.col("uniq")).alias("data")))
 
 
 def _as_of(as_of) -> F.Column:
@@ -99,10 +106,10 @@ def rejects(st: DataFrame) -> DataFrame:
     return route.unionByName(imported)
 
 
-def children(st: DataFrame) -> dict[str, DataFrame]:
+def children(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> dict[str, DataFrame]:
     """All child tables of the join-free mode, by table name."""
     return {
-        "legacy_hash": legacy_hash(st),
+        "legacy_hash": legacy_hash(st, drop_fields),
         "legacy_zset": legacy_zset(st),
         "legacy_set": legacy_set(st),
         "legacy_list": legacy_list(st),
@@ -116,51 +123,55 @@ def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
     """Catalog rows of type ``t`` joined to *every* document with that key, as
     the source SQL does.  A shuffle join on ``_key``; AQE splits a hot key."""
     keys = catalog.where(F.col("type") == t).select("_key")
-    docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m")
+    docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m", "uniq")
     return keys.join(docs, "_key", "inner")
 
 
-def exact_legacy_hash(catalog: DataFrame, st: DataFrame) -> DataFrame:
+def _t(name: str) -> F.Column:
+    return J.text("m", name, F.col("uniq"))
+
+
+def exact_legacy_hash(catalog: DataFrame, st: DataFrame, drop_fields: tuple[str, ...] = DROP
+                      ) -> DataFrame:
     return (_joined(catalog, st, "hash")
-            .select("_key", J.to_object(J.without("m", model.KEY, model.EXPIRE)).alias("data"),
-                    F.lit("hash").alias("type")))
+            .select("_key", _hash_data(drop_fields).alias("data"), F.lit("hash").alias("type")))
 
 
 def exact_legacy_zset(catalog: DataFrame, st: DataFrame) -> DataFrame:
     j = _joined(catalog, st, "zset")
-    score = J.text("m", model.SCORE)
-    return (j.where(J.text("m", model.VALUE).isNotNull() & score.isNotNull())
-            .select("_key", J.text("m", model.VALUE).alias("value"),
-                    score.try_cast(model.SCORE_TYPE).alias("score"), F.lit("zset").alias("type"))
+    return (j.where(_t(model.VALUE).isNotNull() & _t(model.SCORE).isNotNull())
+            .select("_key", _t(model.VALUE).alias("value"),
+                    _t(model.SCORE).try_cast(model.SCORE_TYPE).alias("score"),
+                    F.lit("zset").alias("type"))
             .where(F.col("score").isNotNull()))
 
 
 def exact_legacy_set(catalog: DataFrame, st: DataFrame) -> DataFrame:
     return (_joined(catalog, st, "set")
-            .select("_key", F.explode(J.elements_text("m", model.MEMBERS)).alias("member"))
+            .select("_key", F.explode(J.elements_text("m", model.MEMBERS, F.col("uniq"))).alias("member"))
             .where(F.col("member").isNotNull())
             .select("_key", "member", F.lit("set").alias("type")))
 
 
 def exact_legacy_list(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY) -> DataFrame:
     items = (F.when(~J.has("m", list_field), F.array().cast("array<string>"))
-             .otherwise(J.elements_text("m", list_field)))
+             .otherwise(J.elements_text("m", list_field, F.col("uniq"))))
     return (_joined(catalog, st, "list")
             .select("_key", items.alias("array"), F.lit("list").alias("type"))
             .where(F.col("array").isNotNull()))
 
 
 def exact_legacy_string(catalog: DataFrame, st: DataFrame) -> DataFrame:
-    payload = F.when(J.has("m", model.VALUE), J.text("m", model.VALUE)).otherwise(J.text("m", model.DATA))
+    payload = F.when(J.has("m", model.VALUE), _t(model.VALUE)).otherwise(_t(model.DATA))
     return (_joined(catalog, st, "string")
             .select("_key", payload.alias("data"), F.lit("string").alias("type"))
             .where(F.col("data").isNotNull()))
 
 
-def exact_children(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY
-                   ) -> dict[str, DataFrame]:
+def exact_children(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY,
+                   drop_fields: tuple[str, ...] = DROP) -> dict[str, DataFrame]:
     return {
-        "legacy_hash": exact_legacy_hash(catalog, st),
+        "legacy_hash": exact_legacy_hash(catalog, st, drop_fields),
         "legacy_zset": exact_legacy_zset(catalog, st),
         "legacy_set": exact_legacy_set(catalog, st),
         "legacy_list": exact_legacy_list(catalog, st, list_field),
