@@ -61,33 +61,22 @@ def dup_key_value(st: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, cols: tuple[str, ...] | list[str], table: str = "") -> DataFrame:
-    """Key values held by more than one row: ``(table_name, key, n)``."""
+    """Primary-key violations in one aggregation: key values held by more than
+    one row, and key groups with a NULL part (reported with ``key`` NULL):
+    ``(table_name, key, n)``."""
     cols = tuple(cols)
-    return (df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-            .groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 1)
-            .select(F.lit(table).alias("table_name"), _key_text(cols).alias("key"), "n"))
-
-
-def null_keys(df: DataFrame, cols: tuple[str, ...] | list[str], table: str = "") -> DataFrame:
-    """Rows with a NULL in a key column, as one ``(table_name, key, n)`` row."""
     anynull = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
-    return (df.where(anynull)
-            .agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > 0)
-            .select(F.lit(table).alias("table_name"), F.lit(None).cast("string").alias("key"), "n"))
+    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("n"))
+            .where((F.col("n") > 1) | anynull)
+            .select(F.lit(table).alias("table_name"),
+                    F.when(~anynull, _key_text(cols)).alias("key"), "n"))
 
 
 def pk_violations(tables: dict[str, DataFrame],
                   keys: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """I4: duplicate or NULL primary keys across the given tables."""
     keys = keys or model.PRIMARY_KEYS
-    parts = []
-    for name, df in tables.items():
-        cols = keys[name]
-        parts.append(duplicate_keys(df, cols, name))
-        parts.append(null_keys(df, cols, name))
-    return _union(parts)
+    return _union([duplicate_keys(df, keys[name], name) for name, df in tables.items()])
 
 
 def dup_key_type(catalog: DataFrame) -> DataFrame:

@@ -179,22 +179,35 @@ def materialize(spark: SparkSession, df: DataFrame, name: str,
     return write_back(spark, df, scratch_path(spark, name), partition_by)
 
 
-def spread(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """Round-robin ``docs`` over the cluster when the input has fewer
-    partitions than twice its cores (one unsplittable file, a one-row-group
-    table), so the parse is not run by a handful of tasks.  Inputs with more
-    partitions, i.e. every large input, are left as they are: no shuffle."""
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (file sizes for a scan; no job)."""
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size) if isinstance(size, int) else int(size.toString())
+
+
+def spread(spark: SparkSession, df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
+    """Round-robin ``df`` over the cluster when it has fewer partitions than
+    twice the cluster's cores (one unsplittable file, a one-row-group table)
+    and is big enough to be worth it, so that the parse is not left to a
+    handful of tasks.  Inputs with more partitions - every large input - are
+    returned as they are, without a shuffle.  Meant for raw scans: counting
+    their partitions and estimating their size runs no job."""
     want = 2 * spark.sparkContext.defaultParallelism
-    if docs.rdd.getNumPartitions() < want:
-        return docs.repartition(want)
-    return docs
+    if df.rdd.getNumPartitions() < want and estimated_bytes(df) >= min_bytes:
+        return df.repartition(want)
+    return df
 
 
 def stage(spark: SparkSession, docs: DataFrame, persist: bool = True,
-          path: str | None = None, rebalance: bool = True, **options) -> DataFrame:
+          path: str | None = None, rebalance: bool = False, **options) -> DataFrame:
     """Classify ``docs`` and, by default, materialise the result partitioned by
     ``kind`` (see module doc): the hash job then reads only hash documents,
-    the set job only set documents, and so on."""
+    the set job only set documents, and so on.  ``rebalance`` spreads an
+    under-partitioned input first (see :func:`spread`); the readers of
+    :mod:`kindred.sources` already do that for unsplittable files."""
     if rebalance:
         docs = spread(spark, docs)
     staged = classify(docs, **options)

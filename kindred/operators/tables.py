@@ -92,7 +92,9 @@ def live_objects(catalog: DataFrame, as_of=None) -> DataFrame:
 
 def sessions_empty(spark: SparkSession) -> DataFrame:
     """K8: the empty session table ``(sid, sess, expire)``."""
-    return spark.createDataFrame([], model.SESSION)
+    import pandas as pd
+    empty = pd.DataFrame({f.name: pd.Series([], dtype=object) for f in model.SESSION.fields})
+    return spark.createDataFrame(empty, model.SESSION)
 
 
 def rejects(st: DataFrame) -> DataFrame:

@@ -413,17 +413,14 @@ def _pk_sql() -> str:
     specs = dict(model.PRIMARY_KEYS)
     specs.pop("session")
     for name, cols in specs.items():
-        src = name if name != "legacy_list" else "legacy_list"
         if len(cols) == 1:
             key = f"{cols[0]}::varchar"
         else:
             key = "concat_ws('|', " + ", ".join(f"coalesce({c}::varchar, '')" for c in cols) + ")"
-        nn = " and ".join(f"{c} is not null" for c in cols)
-        parts.append(f"select '{name}' as table_name, {key} as key, count(*)::bigint as n from {src}"
-                     f" where {nn} group by all having count(*) > 1")
         anyn = " or ".join(f"{c} is null" for c in cols)
-        parts.append(f"select '{name}' as table_name, null::varchar as key, count(*)::bigint as n from {src}"
-                     f" where {anyn} having count(*) > 0")
+        parts.append(f"select '{name}' as table_name, case when not ({anyn}) then {key} end as key,"
+                     f" count(*)::bigint as n from {name} group by {', '.join(cols)}"
+                     f" having count(*) > 1 or {anyn}")
     return "\nunion all\n".join(parts)
 
 

@@ -61,6 +61,10 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
             out = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data"))
     if partitions and fmt != "json":
         out = out.repartition(partitions)
+    elif fmt != "json":
+        # a compressed JSON Lines file is unsplittable: spread few big inputs
+        from kindred.operators.stage import spread
+        out = spread(spark, out)
     return out
 
 
