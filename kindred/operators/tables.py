@@ -122,9 +122,13 @@ def children(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> dict[str, Da
 # --- literal join mode -------------------------------------------------------
 
 def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
-    """Catalog rows of type ``t`` joined to *every* document with that key, as
-    the source SQL does.  A shuffle join on ``_key``; AQE splits a hot key."""
-    keys = catalog.where(F.col("type") == t).select("_key")
+    """Catalog keys of type ``t`` joined to *every* document with that key, as
+    the source SQL does (so documents of another kind under the same key
+    leak in).  The catalog side is reduced to distinct keys first: the
+    literal join would pair each of k duplicate catalog rows with each of k
+    documents (k*k rows); duplicates are reported by the key checks
+    instead.  A shuffle join on ``_key``; AQE splits a hot key."""
+    keys = catalog.where(F.col("type") == t).select("_key").distinct()
     docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m", "uniq")
     return keys.join(docs, "_key", "inner")
 

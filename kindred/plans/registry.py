@@ -283,56 +283,102 @@ def _has(f: str, ks: str = "ks") -> str:
 
 
 _PLAIN_KIND = (
-    "case when len(list_filter(ks, lambda x: x <> 'expireAt')) = 2 then"
+    "case when len(list_filter(list_distinct(ks), lambda x: x <> 'expireAt' and x <> '_id')) = 2 then"
     f" case when {_has('value')} or {_has('data')} then 'string'"
     f" when {_has('array')} then 'list' when {_has('members')} then 'set' else 'hash' end"
     " else 'hash' end")
 
+_IMPORTED_TYPES_SQL = ", ".join("'" + t + "'" for t in model.IMPORTED_TYPES)
+
+# The routing, restated over the same documents: catalog and children as in
+# the source SQL, with its failing statements (T9) turned into row rejects;
+# default children are join-free (lj_exact is the literal join, against
+# distinct catalog keys).
 _BASE = f"""
 objects as (
 {duckdb_objects_sql()}
 ),
+d0 as (
+  select data, json_type(data) = 'OBJECT' as is_obj from objects
+),
+d1 as (
+  select data, is_obj,
+         case when is_obj then data->>'_key' end as k,
+         case when is_obj then json_keys(data) else []::varchar[] end as ks
+  from d0
+),
 d as (
-  select data, data->>'_key' as k, json_keys(data) as ks,
-         list_contains(json_keys(data), 'score') as has_score,
+  select data, is_obj, k, ks,
+         {_has('score')} as has_score,
          data->>'value' as v, data->>'score' as s,
-         case when list_contains(json_keys(data), 'expireAt')
-              then to_timestamp((data->>'expireAt')::double / 1000) end as e
-  from objects
+         data->>'expireAt' as et,
+         k like '_imported_%:%' as imp,
+         case when not is_obj then 'not_an_object' when not {_has('_key')} then 'missing_key'
+              when k is null then 'null_key' end as doc_reason,
+         {_PLAIN_KIND} as plain_kind
+  from d1
+),
+dt as (
+  select *,
+         coalesce(to_timestamp(try_cast(et as double) / 1000), try_cast(et as timestamptz)) as e,
+         et is not null and try_cast(et as double) is null and try_cast(et as timestamptz) is null as bad_exp,
+         doc_reason is null and ((has_score and v is not null and s is not null)
+                                 or (not has_score and not imp)) as candidate
+  from d
+),
+routed as (
+  select *,
+         case when candidate and not bad_exp then
+           case when has_score and v is not null and s is not null then 'zset' else plain_kind end
+         end as kind,
+         case when {_has('value')} then v else data->>'data' end as payload
+  from dt
 ),
 legacy_object as (
-  select k as _key, 'zset' as type, min(e) as expireAt
-  from d where has_score and v is not null and s is not null group by k
+  select k as _key, 'zset' as type, min(e) as expireAt from routed where kind = 'zset' group by k
   union all
-  select k as _key, {_PLAIN_KIND} as type, e as expireAt
-  from d where not has_score and k not like '_imported_%:%'
-),
-lj as (
-  select l._key, l.type, o.* from legacy_object l join d o on l._key = o.k
+  select k as _key, kind as type, e as expireAt from routed where kind is not null and kind <> 'zset'
 ),
 legacy_hash as (
-  select _key, data, 'hash' as type from lj where type = 'hash'
+  select k as _key, data, 'hash' as type from routed where kind = 'hash'
 ),
 legacy_zset as (
-  select _key, v as value, s::decimal(38,12) as score, 'zset' as type
-  from lj where type = 'zset' and v is not null and s is not null
+  select k as _key, v as value, try_cast(s as decimal(38,12)) as score, 'zset' as type
+  from routed where kind = 'zset' and try_cast(s as decimal(38,12)) is not null
 ),
 legacy_set as (
-  select _key, unnest(from_json(data->'members', '["VARCHAR"]')) as member, 'set' as type
-  from lj where type = 'set'
+  select * from (
+    select k as _key, unnest(from_json(data->'members', '["VARCHAR"]')) as member, 'set' as type
+    from routed where kind = 'set' and json_type(data->'members') = 'ARRAY'
+  ) where member is not null
 ),
 legacy_list as (
-  select _key, from_json(data->'array', '["VARCHAR"]') as arr, 'list' as type
-  from lj where type = 'list'
+  select k as _key, from_json(data->'array', '["VARCHAR"]') as arr, 'list' as type
+  from routed where kind = 'list' and json_type(data->'array') = 'ARRAY'
 ),
 legacy_string as (
-  select _key, case when {_has('value')} then v else data->>'data' end as data, 'string' as type
-  from lj where type = 'string'
+  select k as _key, payload as data, 'string' as type
+  from routed where kind = 'string' and payload is not null
+),
+imp as (
+  select k, data,
+         case when not regexp_full_match(k, '_imported_[^:]*:[^:]*') then 'bad_imported_key'
+              when regexp_extract(k, '^_imported_(.*):', 1) not in ({_IMPORTED_TYPES_SQL})
+                then 'bad_imported_type'
+              when not regexp_full_match(regexp_extract(k, ':(.*)$', 1), '\\s*[+-]?[0-9]+\\s*')
+                then 'bad_imported_id'
+         end as imp_reason
+  from routed where imp and doc_reason is null
 ),
 legacy_imported as (
   select regexp_extract(k, '^_imported_(.*):', 1) as type,
-         regexp_extract(k, ':(.*)$', 1)::bigint as id, data
-  from d where k like '_imported_%:%'
+         trim(regexp_extract(k, ':(.*)$', 1))::bigint as id, data
+  from imp where imp_reason is null
+),
+lj_exact as (
+  select l._key, o.data, o.v, o.s, o.ks, l.type
+  from (select distinct _key, type from legacy_object) l join routed o on l._key = o.k
+  where o.is_obj
 )"""
 
 
@@ -347,49 +393,22 @@ def _ms_sql(c: str) -> str:
 _CAT = f"select _key, type, {_ms_sql('expireAt')} from legacy_object"
 _FIELDS = "unnest(json_keys(data)) as field"
 
-_REJECTS = f"""
-, r as (
-  select k, has_score, v, s, e, ks, data,
-         k like '_imported_%:%' as imp,
-         case when has_score then 'zset' else {_PLAIN_KIND} end as kind,
-         list_contains(ks, 'expireAt') and data->>'expireAt' is not null
-           and try_cast(data->>'expireAt' as double) is null as bad_exp
-  from d
-)
+_REJECTS = """
 select k as _key,
-  case when has_score and not imp and s is null then 'null_score'
+  case when doc_reason is not null then doc_reason
+       when has_score and not imp and s is null then 'null_score'
        when has_score and not imp and v is null then 'null_value'
-       when ((has_score and v is not null and s is not null) or (not has_score and not imp))
-            and bad_exp then 'bad_expire'
+       when candidate and bad_exp then 'bad_expire'
+       when kind = 'zset' and try_cast(s as decimal(38,12)) is null then 'bad_score'
+       when kind = 'string' and payload is null then 'null_payload'
+       when kind = 'set' and json_type(data->'members') <> 'ARRAY' then 'members_not_array'
+       when kind = 'set' and list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),
+                                                          lambda x: x is null), true) then 'null_member'
+       when kind = 'list' and json_type(data->'array') <> 'ARRAY' then 'array_not_array'
   end as reason
-from r where reason is not null
-union all
-select k as _key, 'bad_score' as reason from r
-where has_score and v is not null and s is not null and not bad_exp
-  and try_cast(s as decimal(38,12)) is null
-union all
-select k as _key, 'null_payload' from r
-where not has_score and not imp and not bad_exp and kind = 'string'
-  and (case when {_has('value')} then v else data->>'data' end) is null
-union all
-select k as _key, case when json_type(data->'members') <> 'ARRAY' then 'members_not_array'
-                       else 'null_member' end
-from r where not has_score and not imp and not bad_exp and kind = 'set'
-  and (json_type(data->'members') <> 'ARRAY'
-       or list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),
-                                       lambda x: x is null), true))
+from routed where reason is not null
 union all
-select k as _key, 'array_not_array' from r
-where not has_score and not imp and not bad_exp and kind = 'list' and json_type(data->'array') <> 'ARRAY'
-union all
-select k as _key,
-  case when not regexp_full_match(k, '_imported_[^:]*:[^:]*') then 'bad_imported_key'
-       when regexp_extract(k, '^_imported_(.*):', 1) not in
-            ({", ".join("'" + t + "'" for t in model.IMPORTED_TYPES)}) then 'bad_imported_type'
-       when not regexp_full_match(regexp_extract(k, ':(.*)$', 1), '\\s*[+-]?[0-9]+\\s*')
-            then 'bad_imported_id'
-  end as reason
-from r where imp and reason is not null
+select k as _key, imp_reason as reason from imp where imp_reason is not null
 """
 
 
@@ -480,10 +499,12 @@ ORACLE: dict[str, str] = {
     "sessions_empty": "select null::varchar as sid, null::varchar as sess, null::timestamp as expire"
                       " where false",
     "rejects": _sql(_REJECTS),
-    "dup_plain_keys": _sql("select k as _key, count(*)::bigint as n from d where not has_score"
+    "dup_plain_keys": _sql("select k as _key, count(*)::bigint as n from d where is_obj"
+                           f" and {_has('_key')} and not has_score"
                            " and k is not null group by k having count(*) > 1"),
     "dup_key_value": _sql("select k as _key, v as value, count(*)::bigint as n from d"
-                          " where k is not null and v is not null group by k, v having count(*) > 1"),
+                          f" where is_obj and {_has('_key')}"
+                          " and k is not null and v is not null group by k, v having count(*) > 1"),
     "pk_violations": _sql(_pk_sql()),
     "dup_key_type": _sql("select _key, type, count(*)::bigint as n from legacy_object group by all"
                          " having count(*) > 1"),
@@ -523,13 +544,13 @@ ORACLE: dict[str, str] = {
         "legacy_zset", "row_number() over (partition by _key order by score desc, value desc)::bigint as rank")),
     "profile_zset": _sql(_profile_sql()),
     "mixed_kind_keys": _sql(
-        ", kinds as (select k, case when has_score then 'zset' else " + _PLAIN_KIND + " end as kind"
-        " from d where (has_score and v is not null and s is not null)"
-        " or (not has_score and k not like '_imported_%:%'))\n"
         "select k as _key, string_agg(distinct kind, ',' order by kind) as kinds, count(*)::bigint as n_docs"
-        " from kinds group by k having count(distinct kind) > 1"),
+        " from routed where kind is not null group by k having count(distinct kind) > 1"),
     "exact_join_hash": _sql(
-        f"select _key, field, data->>field as value from (select _key, data, {_FIELDS} from legacy_hash)"
-        " where field not in ('_key', 'expireAt')"),
-    "exact_join_zset": _sql(_zset_sql("legacy_zset")),
+        f"select _key, field, data->>field as value from (select _key, data, {_FIELDS} from lj_exact"
+        " where type = 'hash') where field not in ('_key', 'expireAt')"),
+    "exact_join_zset": _sql(
+        "select _key, v as value, try_cast(s as decimal(38,12))::double as score from lj_exact"
+        " where type = 'zset' and v is not null and s is not null"
+        " and try_cast(s as decimal(38,12)) is not null"),
 }

@@ -55,6 +55,111 @@ SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
                        None, None),
 }
 
+# Dirty families: documents that exercise every reject reason and integrity
+# report, each derived from a natural property of a table (a text column
+# where a number belongs, an event type whose rows repeat per user, ...).
+# Spark's to_json drops null fields unless told otherwise; DuckDB keeps them.
+_KEEP_NULLS = ", map('ignoreNullFields', 'false')"
+DIRTY_SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
+    "zset_bad_score": ("events",
+                       "to_json(named_struct('_key', concat('user:', user_id, ':errors'),"
+                       " 'value', string(event_id), 'score', props))",
+                       "event_type = 'error'", None),
+    "zset_null_value": ("events",
+                        "to_json(named_struct('_key', concat('user:', user_id, ':views'),"
+                        " 'value', cast(null as string), 'score', value)" + _KEEP_NULLS + ")",
+                        "event_type = 'view'", None),
+    "zset_null_score": ("part",
+                        "to_json(named_struct('_key', concat('part:', p_partkey, ':rating'),"
+                        " 'value', p_name, 'score', cast(null as double))" + _KEEP_NULLS + ")",
+                        None, None),
+    "zset_repeated_value": ("events",
+                            "to_json(named_struct('_key', concat('user:', user_id, ':types'),"
+                            " 'value', event_type, 'score', value))",
+                            None, None),
+    "zset_mixed_kind": ("orders",
+                        "to_json(named_struct('_key', concat('customer:', o_custkey),"
+                        " 'value', string(o_orderkey), 'score', floor(o_totalprice * 100)))",
+                        "o_orderpriority = '1-URGENT'", None),
+    "string_repeated_key": ("events",
+                            "to_json(named_struct('_key', concat('user:', user_id, ':last_click'),"
+                            " 'value', string(event_id)))",
+                            "event_type = 'click'", None),
+    "string_null_payload": ("region",
+                            "to_json(named_struct('_key', concat('region:', r_regionkey, ':motto'),"
+                            " 'value', cast(null as string))" + _KEEP_NULLS + ")",
+                            None, None),
+    "string_bad_expire": ("part",
+                          "to_json(named_struct('_key', concat('part:', p_partkey, ':promo'),"
+                          " 'value', p_brand, 'expireAt', p_type))",
+                          None, None),
+    "set_not_array": ("nation",
+                      "to_json(named_struct('_key', concat('nation:', n_nationkey, ':members'),"
+                      " 'members', n_name))",
+                      None, None),
+    "set_null_member": ("region",
+                        "to_json(named_struct('_key', concat('region:', r_regionkey, ':codes'),"
+                        " 'members', array(r_name, cast(null as string))))",
+                        None, None),
+    "list_not_array": ("supplier",
+                       "to_json(named_struct('_key', concat('supplier:', s_suppkey, ':tags'),"
+                       " 'array', s_nationkey))",
+                       None, None),
+    "imported_bad_type": ("part",
+                          "to_json(named_struct('_key', concat('_imported_', lower(p_brand), ':', p_partkey),"
+                          " 'title', p_name))",
+                          None, None),
+    "imported_bad_id": ("customer",
+                        "to_json(named_struct('_key', concat('_imported_post:', c_name), 'segment', c_mktsegment))",
+                        None, None),
+    "imported_bad_key": ("supplier",
+                         "to_json(named_struct('_key', concat('_imported_user:', s_suppkey, ':', s_nationkey),"
+                         " 'name', s_name))",
+                         None, None),
+    "doc_missing_key": ("region", "to_json(named_struct('name', r_name))", None, None),
+    "doc_null_key": ("region",
+                     "to_json(named_struct('_key', cast(null as string), 'value', r_name)" + _KEEP_NULLS + ")",
+                     None, None),
+    "doc_not_object": ("region", "to_json(array(r_name))", None, None),
+}
+
+DIRTY_DUCKDB_FAMILIES: dict[str, str] = {
+    "zset_bad_score": "select json_object('_key', 'user:' || user_id || ':errors', 'value', event_id::varchar,"
+                      " 'score', props) as data from events where event_type = 'error'",
+    "zset_null_value": "select json_object('_key', 'user:' || user_id || ':views', 'value', null,"
+                       " 'score', value) as data from events where event_type = 'view'",
+    "zset_null_score": "select json_object('_key', 'part:' || p_partkey || ':rating', 'value', p_name,"
+                       " 'score', null) as data from part",
+    "zset_repeated_value": "select json_object('_key', 'user:' || user_id || ':types', 'value', event_type,"
+                           " 'score', value) as data from events",
+    "zset_mixed_kind": "select json_object('_key', 'customer:' || o_custkey, 'value', o_orderkey::varchar,"
+                       " 'score', floor(o_totalprice * 100)::bigint) as data from orders"
+                       " where o_orderpriority = '1-URGENT'",
+    "string_repeated_key": "select json_object('_key', 'user:' || user_id || ':last_click',"
+                           " 'value', event_id::varchar) as data from events where event_type = 'click'",
+    "string_null_payload": "select json_object('_key', 'region:' || r_regionkey || ':motto', 'value', null)"
+                           " as data from region",
+    "string_bad_expire": "select json_object('_key', 'part:' || p_partkey || ':promo', 'value', p_brand,"
+                         " 'expireAt', p_type) as data from part",
+    "set_not_array": "select json_object('_key', 'nation:' || n_nationkey || ':members', 'members', n_name)"
+                     " as data from nation",
+    "set_null_member": "select json_object('_key', 'region:' || r_regionkey || ':codes',"
+                       " 'members', [r_name, null]) as data from region",
+    "list_not_array": "select json_object('_key', 'supplier:' || s_suppkey || ':tags', 'array', s_nationkey)"
+                      " as data from supplier",
+    "imported_bad_type": "select json_object('_key', '_imported_' || lower(p_brand) || ':' || p_partkey,"
+                         " 'title', p_name) as data from part",
+    "imported_bad_id": "select json_object('_key', '_imported_post:' || c_name, 'segment', c_mktsegment)"
+                       " as data from customer",
+    "imported_bad_key": "select json_object('_key', '_imported_user:' || s_suppkey || ':' || s_nationkey,"
+                        " 'name', s_name) as data from supplier",
+    "doc_missing_key": "select json_object('name', r_name) as data from region",
+    "doc_null_key": "select json_object('_key', null, 'value', r_name) as data from region",
+    "doc_not_object": "select to_json([r_name]) as data from region",
+}
+
+ALL_SPARK_FAMILIES = {**SPARK_FAMILIES, **DIRTY_SPARK_FAMILIES}
+
 DUCKDB_FAMILIES: dict[str, str] = {
     "zset": "select json_object('_key', 'customer:' || o_custkey || ':orders', 'value', o_orderkey::varchar,"
             " 'score', epoch_ms(o_orderdate)) as data from orders",
@@ -77,6 +182,8 @@ DUCKDB_FAMILIES: dict[str, str] = {
                       " 'size', p_size) as data from part",
 }
 
+ALL_DUCKDB_FAMILIES = {**DUCKDB_FAMILIES, **DIRTY_DUCKDB_FAMILIES}
+
 
 def _family(spark: SparkSession, sf_dir: str, table: str, expr: str,
             where: str | None, group: str | None) -> DataFrame:
@@ -96,13 +203,14 @@ def _family(spark: SparkSession, sf_dir: str, table: str, expr: str,
 def fixture_documents(spark: SparkSession, sf_dir: str,
                       families: dict[str, tuple[str, str, str | None, str | None]] | None = None
                       ) -> DataFrame:
-    """The document collection (one JSON text per row, column ``data``)."""
-    fams = families if families is not None else SPARK_FAMILIES
+    """The document collection (one JSON text per row, column ``data``):
+    by default the clean families and the dirty ones."""
+    fams = families if families is not None else ALL_SPARK_FAMILIES
     parts = [_family(spark, sf_dir, *spec) for spec in fams.values()]
     return reduce(DataFrame.unionAll, parts)
 
 
 def duckdb_objects_sql(families: dict[str, str] | None = None) -> str:
     """DuckDB twin of :func:`fixture_documents` (a UNION ALL query)."""
-    fams = families if families is not None else DUCKDB_FAMILIES
+    fams = families if families is not None else ALL_DUCKDB_FAMILIES
     return "\nunion all\n".join(fams.values())
