@@ -1,0 +1 @@
+"""Dataset jobs: stage, catalog, child tables, integrity checks, access paths."""

@@ -1,0 +1 @@
+"""End-to-end plans: the migration and the registered queries."""
