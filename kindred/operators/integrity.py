@@ -86,10 +86,16 @@ def dup_key_type(catalog: DataFrame) -> DataFrame:
 
 
 def orphans(children: dict[str, DataFrame], catalog: DataFrame) -> DataFrame:
-    """Child rows whose ``(_key, type)`` has no catalog row."""
+    """Child ``(_key, type)`` groups with no catalog row:
+    ``(table_name, _key, type, n_rows)``.
+
+    Children are first reduced to one row per ``(_key, type)`` (combined
+    map-side), so the anti join compares keys with keys: a sorted set holding
+    a third of all rows enters the join as one row."""
     parent = catalog.select("_key", "type")
-    parts = [df.select("_key", "type").join(parent, ["_key", "type"], "left_anti")
-             .select(F.lit(name).alias("table_name"), "_key", "type")
+    parts = [df.groupBy("_key", "type").agg(F.count(F.lit(1)).alias("n_rows"))
+             .join(parent, ["_key", "type"], "left_anti")
+             .select(F.lit(name).alias("table_name"), "_key", "type", "n_rows")
              for name, df in children.items()]
     return _union(parts)
 

@@ -509,8 +509,9 @@ ORACLE: dict[str, str] = {
     "dup_key_type": _sql("select _key, type, count(*)::bigint as n from legacy_object group by all"
                          " having count(*) > 1"),
     "orphans": _sql("\nunion all\n".join(
-        f"select '{n}' as table_name, c._key, c.type from {n} c"
+        f"select '{n}' as table_name, c._key, c.type, count(*)::bigint as n_rows from {n} c"
         " where not exists (select 1 from legacy_object l where l._key = c._key and l.type = c.type)"
+        " group by all"
         for n in _CHILD_NAMES)),
     "null_violations": _sql(_null_sql()),
     "domain_violations": _sql(_domain_sql()),

@@ -34,10 +34,12 @@ SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
             "to_json(named_struct('_key', concat('region:', n_regionkey, ':nations'),"
             " 'members', transform(array_sort(collect_list(struct(n_nationkey, n_name))), x -> x.n_name)))",
             None, "n_regionkey"),
+    # one list per nation and block of 100 supplier keys: a list never holds
+    # more than 100 items however large the table grows
     "list": ("supplier",
-             "to_json(named_struct('_key', concat('nation:', s_nationkey, ':suppliers'),"
+             "to_json(named_struct('_key', concat('nation:', s_nationkey, ':suppliers:', s_suppkey div 100),"
              " 'array', transform(array_sort(collect_list(struct(s_suppkey, s_name))), x -> x.s_name)))",
-             None, "s_nationkey"),
+             None, "s_nationkey, s_suppkey div 100"),
     "string_value": ("region",
                      "to_json(named_struct('_key', concat('region:', r_regionkey, ':name'), 'value', r_name))",
                      None, None),
@@ -170,8 +172,9 @@ DUCKDB_FAMILIES: dict[str, str] = {
             " 'segment', c_mktsegment) as data from customer",
     "set": "select json_object('_key', 'region:' || n_regionkey || ':nations', 'members',"
            " list(n_name order by n_nationkey)) as data from nation group by n_regionkey",
-    "list": "select json_object('_key', 'nation:' || s_nationkey || ':suppliers', 'array',"
-            " list(s_name order by s_suppkey)) as data from supplier group by s_nationkey",
+    "list": "select json_object('_key', 'nation:' || s_nationkey || ':suppliers:' || (s_suppkey // 100),"
+            " 'array', list(s_name order by s_suppkey)) as data from supplier"
+            " group by s_nationkey, s_suppkey // 100",
     "string_value": "select json_object('_key', 'region:' || r_regionkey || ':name', 'value', r_name) as data"
                     " from region",
     "string_data": "select json_object('_key', 'nation:' || n_nationkey || ':label', 'data', n_name,"
@@ -196,7 +199,8 @@ def _family(spark: SparkSession, sf_dir: str, table: str, expr: str,
     if where:
         df = df.where(where)
     if group:
-        return df.groupBy(group).agg(F.expr(expr).alias("data")).select("data")
+        keys = [F.expr(g) for g in group.split(", ")]
+        return df.groupBy(*keys).agg(F.expr(expr).alias("data")).select("data")
     return df.select(F.expr(expr).alias("data"))
 
 

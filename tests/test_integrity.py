@@ -31,8 +31,8 @@ def rows(df, *cols):
 
 def test_orphans_and_types(spark):
     catalog, kids = _fixture(spark)
-    assert rows(I.orphans(kids, catalog), "table_name", "_key", "type") == [
-        ("legacy_string", "a", "hash"), ("legacy_zset", "gone", "zset")]
+    assert rows(I.orphans(kids, catalog), "table_name", "_key", "type", "n_rows") == [
+        ("legacy_string", "a", "hash", 1), ("legacy_zset", "gone", "zset", 1)]
     assert rows(I.type_violations(kids), "table_name", "_key", "type") == [
         ("legacy_string", "a", "hash")]
 
