@@ -188,14 +188,7 @@ DUCKDB_FAMILIES: dict[str, str] = {
 ALL_DUCKDB_FAMILIES = {**DUCKDB_FAMILIES, **DIRTY_DUCKDB_FAMILIES}
 
 
-def _family(spark: SparkSession, sf_dir: str, table: str, expr: str,
-            where: str | None, group: str | None) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
-    if not group:
-        # one-row-group test tables are one task each; spread them (large
-        # tables have enough splits and are left alone)
-        from kindred.operators.stage import spread
-        df = spread(spark, df)
+def _family(df: DataFrame, expr: str, where: str | None, group: str | None) -> DataFrame:
     if where:
         df = df.where(where)
     if group:
@@ -208,12 +201,29 @@ def fixture_documents(spark: SparkSession, sf_dir: str,
                       families: dict[str, tuple[str, str, str | None, str | None]] | None = None
                       ) -> DataFrame:
     """The document collection (one JSON text per row, column ``data``):
-    by default the clean families and the dirty ones."""
+    by default the clean families and the dirty ones.  Each table is read
+    once; one-row-group test tables are spread over the cluster first (large
+    tables have enough splits and are left alone)."""
+    from kindred.operators.stage import spread
     fams = families if families is not None else ALL_SPARK_FAMILIES
-    parts = [_family(spark, sf_dir, *spec) for spec in fams.values()]
+    tables: dict[str, DataFrame] = {}
+    parts = []
+    for table, expr, where, group in fams.values():
+        if table not in tables:
+            tables[table] = spread(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
+        parts.append(_family(tables[table], expr, where, group))
     return reduce(DataFrame.unionAll, parts)
 
 
+def export_fixture(spark: SparkSession, sf_dir: str, path: str, fmt: str = "parquet",
+                   families: dict[str, tuple[str, str, str | None, str | None]] | None = None) -> str:
+    """Write the collection to an interchange file, as the source's export
+    step does; loading it back gives one scan for the stage to run over."""
+    from kindred.sources.documents import write_documents
+    write_documents(fixture_documents(spark, sf_dir, families), path, fmt, mode="overwrite")
+    return path
+
+
 def duckdb_objects_sql(families: dict[str, str] | None = None) -> str:
     """DuckDB twin of :func:`fixture_documents` (a UNION ALL query)."""
     fams = families if families is not None else ALL_DUCKDB_FAMILIES
