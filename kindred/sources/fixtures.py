@@ -16,15 +16,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # family -> (table, Spark expression producing `data`, optional filter, optional group key)
+# Timestamps without time zone are turned into epoch millis as a difference
+# from the epoch, so the documents do not depend on the session time zone.
 SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
     "zset": ("orders",
              "to_json(named_struct('_key', concat('customer:', o_custkey, ':orders'),"
-             " 'value', string(o_orderkey), 'score', unix_millis(timestamp(o_orderdate))))",
+             " 'value', string(o_orderkey), 'score', timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', o_orderdate)))",
              None, None),
     "zset_expiry": ("events",
                     "to_json(named_struct('_key', concat('user:', user_id, ':', event_type),"
                     " 'value', string(event_id), 'score', value,"
-                    " 'expireAt', unix_millis(timestamp(ts)) + 86400000))",
+                    " 'expireAt', timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) + 86400000))",
                     "event_type in ('signup', 'purchase')", None),
     "hash": ("customer",
              "to_json(named_struct('_key', concat('customer:', c_custkey), 'name', c_name,"
