@@ -34,19 +34,33 @@ NEXT_N = 10
 SCORE_LO, SCORE_HI = 100, 200
 RENAME_FROM, RENAME_TO = ":orders", ":purchases"
 
+_EXPORTS: dict[tuple[str, str], str] = {}
 _STAGES: dict[tuple[str, str], DataFrame] = {}
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
+
+
+def _session_key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
+
+
+def exported(spark: SparkSession, sf_dir: str) -> str:
+    """The collection of ``sf_dir`` exported to a parquet interchange file
+    (K2), once per session."""
+    k = _session_key(spark, sf_dir)
+    with _LOCK:
+        if k not in _EXPORTS:
+            _EXPORTS[k] = export_fixture(spark, sf_dir, scratch_path(spark, "docs"))
+        return _EXPORTS[k]
 
 
 def staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The staged collection of ``sf_dir``, built once per session: the
-    collection is exported to a parquet interchange file (K2), loaded (K1)
-    and staged, so the parse runs over one scan."""
-    k = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    exported collection is loaded (K1) and staged, so the parse runs over
+    one scan."""
+    k = _session_key(spark, sf_dir)
     with _LOCK:
         if k not in _STAGES:
-            src = export_fixture(spark, sf_dir, scratch_path(spark, "docs"))
-            _STAGES[k] = S.stage(spark, read_documents(spark, src, "parquet"))
+            _STAGES[k] = S.stage(spark, read_documents(spark, exported(spark, sf_dir), "parquet"))
         return _STAGES[k]
 
 
