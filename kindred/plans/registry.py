@@ -261,6 +261,31 @@ def q_exact_join_zset(spark, sf):
     return _zset_out(TB.exact_legacy_zset(C.legacy_object(st), st))
 
 
+def q_missing_keys(spark, sf):
+    return I.missing_keys(staged(spark, sf)).select("_key", "reason")
+
+
+def q_type_violations(spark, sf):
+    return I.type_violations(_children(staged(spark, sf)))
+
+
+def q_exact_join_string(spark, sf):
+    st = staged(spark, sf)
+    return TB.exact_legacy_string(C.legacy_object(st), st).select("_key", "data")
+
+
+def q_exact_join_set(spark, sf):
+    st = staged(spark, sf)
+    return TB.exact_legacy_set(C.legacy_object(st), st).select("_key", "member")
+
+
+def q_exact_join_list(spark, sf):
+    st = staged(spark, sf)
+    return (TB.exact_legacy_list(C.legacy_object(st), st)
+            .select("_key", F.posexplode("array").alias("pos", "item"))
+            .select("_key", (F.col("pos") + 1).cast("bigint").alias("pos"), "item"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_object": q_legacy_object,
     "zset_objects": q_zset_objects,
@@ -295,6 +320,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mixed_kind_keys": q_mixed_kind_keys,
     "exact_join_hash": q_exact_join_hash,
     "exact_join_zset": q_exact_join_zset,
+    "exact_join_string": q_exact_join_string,
+    "exact_join_set": q_exact_join_set,
+    "exact_join_list": q_exact_join_list,
+    "missing_keys": q_missing_keys,
+    "type_violations": q_type_violations,
 }
 
 
@@ -576,4 +606,20 @@ ORACLE: dict[str, str] = {
         "select _key, v as value, try_cast(s as decimal(38,12))::double as score from lj_exact"
         " where type = 'zset' and v is not null and s is not null"
         " and try_cast(s as decimal(38,12)) is not null"),
+    "exact_join_string": _sql(
+        f"select _key, data from (select _key, case when {_has('value')} then v else data->>'data' end"
+        " as data from lj_exact where type = 'string') where data is not null"),
+    "exact_join_set": _sql(
+        "select _key, member from (select _key, unnest(from_json(data->'members', '[\"VARCHAR\"]'))"
+        " as member from lj_exact where type = 'set' and json_type(data->'members') = 'ARRAY')"
+        " where member is not null"),
+    "exact_join_list": _sql(
+        "select _key, unnest(range(1, len(arr) + 1)) as pos, unnest(arr) as item from ("
+        f" select _key, case when not {_has('array')} then []::varchar[]"
+        " when json_type(data->'array') = 'ARRAY' then from_json(data->'array', '[\"VARCHAR\"]') end as arr"
+        " from lj_exact where type = 'list') where arr is not null"),
+    "missing_keys": _sql("select k as _key, doc_reason as reason from routed where doc_reason is not null"),
+    "type_violations": _sql("\nunion all\n".join(
+        f"select '{n}' as table_name, _key, type from {n} where type is distinct from '{model.CHILD_KIND[n]}'"
+        for n in _CHILD_NAMES)),
 }
