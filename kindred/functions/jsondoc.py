@@ -38,8 +38,10 @@ def unique_keys(m: Column | str) -> Column:
 
 
 def get(m: Column | str, name: str, unique: Column | None = None) -> Column:
-    """Field as VARIANT, last occurrence winning.  ``unique`` is the
-    :func:`unique_keys` flag; where it is true a plain map lookup is used."""
+    """Field as VARIANT, last occurrence winning, on a map that may still
+    hold repeated fields.  ``unique`` is the :func:`unique_keys` flag; where
+    it is true a plain map lookup is used.  (The stage resolves repeats once
+    with :func:`dedupe`, after which a plain ``m[name]`` is enough.)"""
     m = _c(m)
     pos = F.size(m) - F.array_position(F.reverse(F.map_keys(m)), F.lit(name)) + 1
     last = F.when(F.map_contains_key(m, name), F.element_at(F.map_values(m), pos.cast("int")))
@@ -75,8 +77,11 @@ def field(m: Column | str, name: str) -> Column:
 
 def text(m: Column | str, name: str, unique: Column | None = None) -> Column:
     """Field as text (``data ->> 'k'``): JSON null and absent give NULL,
-    strings their content, anything else its compact JSON text."""
-    return get(m, name, unique).cast("string")
+    strings their content, anything else its compact JSON text.  Without
+    ``unique`` this is a plain lookup (first occurrence) - right for a
+    de-duplicated document."""
+    v = _c(m)[name] if unique is None else get(m, name, unique)
+    return v.cast("string")
 
 
 def without(m: Column | str, *names: str) -> Column:
@@ -110,7 +115,8 @@ def elements_text(m: Column | str, name: str, unique: Column | None = None) -> C
 
     NULL when the field is absent or not an array (a scalar, an object or JSON
     null), so callers can tell "no array" from "empty array"."""
-    return get(m, name, unique).try_cast("array<string>")
+    v = _c(m)[name] if unique is None else get(m, name, unique)
+    return v.try_cast("array<string>")
 
 
 def has_null(arr: Column) -> Column:

@@ -72,11 +72,16 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     """
     c = F.col
     m, u = c("m"), c("uniq")
-    parsed = (docs.select("data", J.parse(c("data")).alias("m"))
-              .select("data", "m", J.unique_keys(c("m")).alias("uniq")))
+    # Repeated fields are resolved once, up front, for the documents that
+    # have them (the lambda only runs there).  Being a lambda, this
+    # projection also ends the first code-generated stage, so that both
+    # stages stay small enough for the JVM to compile to machine code.
+    parsed = (docs.select("data", J.parse(c("data")).alias("m0"))
+              .select("data", "m0", J.unique_keys(c("m0")).alias("uniq"))
+              .select("data", J.dedupe(c("m0"), c("uniq")).alias("m"), "uniq"))
 
     def text(name: str) -> Column:
-        return J.text(m, name, u)
+        return J.text(m, name)
 
     key = text(model.KEY)
     base = parsed.select(
@@ -115,9 +120,9 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
 
     kind = c("kind")
     payload = F.when(J.has(m, model.VALUE), c("value")).otherwise(text(model.DATA))
-    members = J.elements_text(m, model.MEMBERS, u)
+    members = J.elements_text(m, model.MEMBERS)
     items = (F.when(~J.has(m, list_field), F.array().cast("array<string>"))
-             .otherwise(J.elements_text(m, list_field, u)))
+             .otherwise(J.elements_text(m, list_field)))
     with_payload = routed.select(
         *routed.columns,
         F.when(kind == "string", payload).alias("payload"),
@@ -131,21 +136,28 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
         .when((kind == "set") & J.has_null(c("members")), F.lit("null_member"))
         .when((kind == "list") & c("items").isNull(), F.lit("array_not_array")))
 
+    # Each imported-key expression is computed once, under its guard, in its
+    # own column: written twice, Spark would hoist it out of the guard as a
+    # common subexpression and run the (failing, slow) casts on every key.
     key = c("_key")
     imp = ok & c("imported")
-    itype = J.imported_type(key)
-    iid = J.imported_id_text(key).try_cast("bigint")
-    imp_reason = F.when(imp, F.when(~key.rlike(J.IMPORTED_KEY_RE), F.lit("bad_imported_key"))
-                        .when(~itype.isin(*model.IMPORTED_TYPES), F.lit("bad_imported_type"))
-                        .when(iid.isNull(), F.lit("bad_imported_id")))
-    reasons = with_payload.select(
-        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
-                         "expire_at", "kind", "payload", "members", "items")],
+    parts = with_payload.select(
+        *with_payload.columns,
         F.coalesce(c("route_reason"), child_reason).alias("reason"),
-        F.coalesce(imp, F.lit(False)).alias("imported"),
+        F.coalesce(imp, F.lit(False)).alias("imported_ok"),
+        F.when(imp, key.rlike(J.IMPORTED_KEY_RE)).alias("_key_ok"),
+        F.when(imp, J.imported_type(key)).alias("_itype"),
+        F.when(imp, J.imported_id_text(key).try_cast("bigint")).alias("_iid"),
+    )
+    imp_reason = F.when(c("imported_ok"), F.when(~c("_key_ok"), F.lit("bad_imported_key"))
+                        .when(~c("_itype").isin(*model.IMPORTED_TYPES), F.lit("bad_imported_type"))
+                        .when(c("_iid").isNull(), F.lit("bad_imported_id")))
+    reasons = parts.select(
+        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
+                         "expire_at", "kind", "payload", "members", "items", "reason")],
+        c("imported_ok").alias("imported"),
         imp_reason.alias("imp_reason"),
-        F.when(imp, itype).alias("_itype"),
-        F.when(imp, iid).alias("_iid"),
+        "_itype", "_iid",
     )
     good_imp = c("imported") & c("imp_reason").isNull()
     return reasons.select(
