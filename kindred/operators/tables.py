@@ -144,12 +144,12 @@ def exact_legacy_hash(catalog: DataFrame, st: DataFrame, drop_fields: tuple[str,
 
 
 def exact_legacy_zset(catalog: DataFrame, st: DataFrame) -> DataFrame:
-    j = _joined(catalog, st, "zset")
-    return (j.where(_t(model.VALUE).isNotNull() & _t(model.SCORE).isNotNull())
-            .select("_key", _t(model.VALUE).alias("value"),
-                    _t(model.SCORE).try_cast(model.SCORE_TYPE).alias("score"),
-                    F.lit("zset").alias("type"))
-            .where(F.col("score").isNotNull()))
+    # The stage already holds every document's value text and parsed score,
+    # so only those scalars cross the join, not the documents.
+    keys = catalog.where(F.col("type") == "zset").select("_key").distinct()
+    docs = (st.where(F.col("_key").isNotNull() & F.col("value").isNotNull() & F.col("score").isNotNull())
+            .select("_key", "value", "score"))
+    return keys.join(docs, "_key", "inner").select("_key", "value", "score", F.lit("zset").alias("type"))
 
 
 def exact_legacy_set(catalog: DataFrame, st: DataFrame) -> DataFrame:
