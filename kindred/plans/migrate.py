@@ -48,14 +48,24 @@ class MigrationResult:
 
 
 def _write(df: DataFrame, path: str, fmt: str, mode: str, keys: tuple[str, ...] | None,
-           partition_by: tuple[str, ...] = ()) -> str:
-    if keys:
+           partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None,
+           table: str | None = None) -> str:
+    """Write one output.  File formats go to ``path``; a table sink such as
+    ``jdbc`` (given its connection ``options``) gets ``dbtable=table``."""
+    if keys and fmt != "jdbc":
         access.write_clustered(df, path, keys, partition_by, mode=mode, fmt=fmt)
-    else:
-        w = df.write.mode(mode).format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.save(path)
+        return path
+    w = df.write.mode(mode).format(fmt).options(**(options or {}))
+    if partition_by and fmt != "jdbc":
+        w = w.partitionBy(*partition_by)
+    if fmt == "jdbc":
+        # JDBC has no VARIANT: documents go as JSON text (a JSON/JSONB column)
+        cols = [F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "variant"
+                else F.col(f.name) for f in df.schema.fields]
+        df.select(*cols).write.mode(mode).format(fmt).options(**(options or {})) \
+            .option("dbtable", table).save()
+        return table
+    w.save(path)
     return path
 
 
@@ -66,6 +76,7 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
             iso_expire: bool = True, checks: bool = True, cluster: bool = False,
             partition_catalog_by_type: bool = False, on_error: str = "reject",
             parallel_writes: int = 4, keep_stage: bool = False,
+            output_options: dict[str, str] | None = None,
             **read_options: str) -> MigrationResult:
     """Run the whole migration and write every table below ``target``.
 
@@ -75,6 +86,10 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
     primary key (file skipping on key lookups); ``partition_catalog_by_type``
     writes the catalog in ``type=`` folders.  ``on_error='fail'`` raises if
     any document is rejected, after the rejects are written.
+    ``output_options`` go to every writer; with ``output_format="jdbc"`` they
+    carry the connection (url, driver, user, ...) and each table is written
+    under its own name (the integrity checks then read it back through the
+    same format).
     """
     target = target.rstrip("/")
     docs = (source if isinstance(source, DataFrame)
@@ -91,18 +106,25 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
             dest: dict[str, str]) -> None:
         def one(item):
             name, (df, keys, parts) = item
-            return name, _write(df, out(name), output_format, mode, keys if cluster else None, parts)
+            return name, _write(df, out(name), output_format, mode, keys if cluster else None, parts,
+                                output_options, name.replace("/", "_"))
         with cf.ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
             for name, path in pool.map(one, jobs.items()):
                 dest[name] = path
 
+    def load(name: str) -> DataFrame:
+        reader = spark.read.format(output_format).options(**(output_options or {}))
+        if output_format == "jdbc":
+            return reader.option("dbtable", res.tables[name]).load()
+        return reader.load(res.tables[name])
+
     catalog = C.legacy_object(st)
     cat_parts = ("type",) if partition_catalog_by_type else ()
     pk = model.PRIMARY_KEYS
     if exact_join:
         # the catalog feeds five joins: write it first, join against the file
         run({"legacy_object": (catalog, pk["legacy_object"], cat_parts)}, res.tables)
-        catalog = spark.read.format(output_format).load(out("legacy_object"))
+        catalog = load("legacy_object")
         kids = TB.exact_children(catalog, st, list_field, drop_fields)
         jobs = {}
     else:
@@ -113,12 +135,15 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
     jobs["rejects"] = (TB.rejects(st), None, ())
     run(jobs, res.tables)
 
-    sessions_path = out("session")
-    TB.sessions_empty(spark).write.mode("ignore").format(output_format).save(sessions_path)
-    res.tables["session"] = sessions_path
+    # K8: created only if absent
+    res.tables["session"] = _write(TB.sessions_empty(spark), out("session"), output_format, "ignore",
+                                   None, (), output_options, "session")
 
-    def load(name: str) -> DataFrame:
-        return spark.read.format(output_format).load(res.tables[name])
+    def load_check(name: str) -> DataFrame:
+        reader = spark.read.format(output_format).options(**(output_options or {}))
+        if output_format == "jdbc":
+            return reader.option("dbtable", res.checks[f"_checks/{name}"]).load()
+        return reader.load(res.checks[f"_checks/{name}"])
 
     if checks:
         written = {n: load(n) for n in model.PRIMARY_KEYS}
@@ -138,7 +163,7 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
         }
         run({f"_checks/{n}": (df, None, ()) for n, df in check_jobs.items()}, res.checks)
         for n in check_jobs:
-            res.violations[n] = spark.read.format(output_format).load(out(f"_checks/{n}")).count()
+            res.violations[n] = load_check(n).count()
 
     n_rejects = load("rejects").count() if on_error == "fail" else 0
     if not keep_stage:
