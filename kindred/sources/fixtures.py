@@ -203,17 +203,28 @@ def fixture_documents(spark: SparkSession, sf_dir: str,
                       families: dict[str, tuple[str, str, str | None, str | None]] | None = None
                       ) -> DataFrame:
     """The document collection (one JSON text per row, column ``data``):
-    by default the clean families and the dirty ones.  Each table is read
-    once; one-row-group test tables are spread over the cluster first (large
-    tables have enough splits and are left alone)."""
+    by default the clean families and the dirty ones.
+
+    Each table is read once: its projection families become one
+    ``explode(array_compact(array(CASE WHEN filter THEN doc END, ...)))``
+    over one scan, group-by families stay separate.  One-row-group test
+    tables are spread over the cluster first (large tables have enough
+    splits and are left alone)."""
     from kindred.operators.stage import spread
     fams = families if families is not None else ALL_SPARK_FAMILIES
     tables: dict[str, DataFrame] = {}
+    plain: dict[str, list[F.Column]] = {}
     parts = []
     for table, expr, where, group in fams.values():
         if table not in tables:
             tables[table] = spread(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
-        parts.append(_family(tables[table], expr, where, group))
+        if group:
+            parts.append(_family(tables[table], expr, where, group))
+        else:
+            doc = F.expr(expr)
+            plain.setdefault(table, []).append(F.when(F.expr(where), doc) if where else doc)
+    for table, docs in plain.items():
+        parts.append(tables[table].select(F.explode(F.array_compact(F.array(*docs))).alias("data")))
     return reduce(DataFrame.unionAll, parts)
 
 
