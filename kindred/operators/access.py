@@ -109,12 +109,16 @@ def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
 
 def write_clustered(df: DataFrame, path: str, keys: list[str] | tuple[str, ...],
                     partition_by: list[str] | tuple[str, ...] = (), mode: str = "overwrite",
-                    fmt: str = "parquet") -> None:
+                    fmt: str = "parquet", num_partitions: int | None = None) -> None:
     """Write ``df`` range-partitioned and sorted on ``keys`` so that each
     file covers a narrow key range (parquet min/max statistics then skip
-    files on key lookups).  ``partition_by`` adds folder partitioning."""
+    files on key lookups).  ``partition_by`` adds folder partitioning.
+    Range bounds come from a sample, so a key holding many rows spreads over
+    several files.  ``num_partitions`` defaults to the shuffle partitions."""
     cols = list(partition_by) + [k for k in keys if k not in partition_by]
-    out = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    ranged = (df.repartitionByRange(num_partitions, *cols) if num_partitions
+              else df.repartitionByRange(*cols))
+    out = ranged.sortWithinPartitions(*cols)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -1,5 +1,6 @@
 """D11 end to end, and the streaming ingest."""
 
+import json
 import os
 
 import pytest
@@ -83,3 +84,13 @@ def test_stage_folder_is_dropped(spark, tmp_path):
     assert os.path.isdir(path)
     S.delete_path(spark, path)
     assert not os.path.exists(path)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from kindred.__main__ import main
+    src = tmp_path / "in.jsonl"
+    src.write_text('{"_key":"a","value":"x"}\n{"_key":"z","score":1,"value":"m"}\n[1]\n')
+    assert main([str(src), str(tmp_path / "out"), "--no-checks"]) == 0
+    out = json.loads(capsys.readouterr().out)
+    assert spark.read.parquet(out["tables"]["legacy_object"]).count() == 2
+    assert spark.read.parquet(out["tables"]["rejects"]).count() == 1
