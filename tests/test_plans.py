@@ -55,3 +55,10 @@ def test_catalog_has_one_exchange(st):
 def test_top_n_uses_window_group_limit(st):
     p = plan(access.zset_top_n(TB.legacy_zset(st), 3))
     assert "WindowGroupLimit" in p
+
+
+def test_key_checks_read_no_documents(st):
+    from kindred.operators import integrity as I
+    for df in (I.dup_plain_keys(st), I.dup_key_value(st), I.mixed_kind_keys(st)):
+        p = plan(df)
+        assert "m:map" not in p and "ReadSchema" in p
