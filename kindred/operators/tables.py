@@ -91,10 +91,9 @@ def live_objects(catalog: DataFrame, as_of=None) -> DataFrame:
 
 
 def sessions_empty(spark: SparkSession) -> DataFrame:
-    """K8: the empty session table ``(sid, sess, expire)``."""
-    import pandas as pd
-    empty = pd.DataFrame({f.name: pd.Series([], dtype=object) for f in model.SESSION.fields})
-    return spark.createDataFrame(empty, model.SESSION)
+    """K8: the empty session table ``(sid, sess, expire)`` with its NOT NULL
+    schema (an empty RDD has no partitions: no task, no Python worker)."""
+    return spark.createDataFrame(spark.sparkContext.emptyRDD(), model.SESSION)
 
 
 def rejects(st: DataFrame) -> DataFrame:
