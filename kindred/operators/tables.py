@@ -25,8 +25,10 @@ def _kind(t: str):
 DROP = (model.STORE_ID,)
 
 
+# The stage's documents already have repeated fields resolved (last wins),
+# so outputs only remove fields.
 def _hash_data(drop_fields: tuple[str, ...]) -> F.Column:
-    return J.object_without("m", (model.KEY, model.EXPIRE, *drop_fields), F.col("uniq"))
+    return J.to_object(J.without("m", model.KEY, model.EXPIRE, *drop_fields))
 
 
 def legacy_hash(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataFrame:
@@ -67,7 +69,7 @@ def legacy_imported(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataF
     (``expireAt`` stays)."""
     return (st.where(F.col("imp_type").isNotNull())
             .select(F.col("imp_type").alias("type"), F.col("imp_id").alias("id"),
-                    J.object_without("m", (model.KEY, *drop_fields), F.col("uniq")).alias("data")))
+                    J.to_object(J.without("m", model.KEY, *drop_fields)).alias("data")))
 
 
 def _as_of(as_of) -> F.Column:
@@ -128,12 +130,12 @@ def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
     documents (k*k rows); duplicates are reported by the key checks
     instead.  A shuffle join on ``_key``; AQE splits a hot key."""
     keys = catalog.where(F.col("type") == t).select("_key").distinct()
-    docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m", "uniq")
+    docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m")
     return keys.join(docs, "_key", "inner")
 
 
 def _t(name: str) -> F.Column:
-    return J.text("m", name, F.col("uniq"))
+    return J.text("m", name)
 
 
 def exact_legacy_hash(catalog: DataFrame, st: DataFrame, drop_fields: tuple[str, ...] = DROP
@@ -153,14 +155,14 @@ def exact_legacy_zset(catalog: DataFrame, st: DataFrame) -> DataFrame:
 
 def exact_legacy_set(catalog: DataFrame, st: DataFrame) -> DataFrame:
     return (_joined(catalog, st, "set")
-            .select("_key", F.explode(J.elements_text("m", model.MEMBERS, F.col("uniq"))).alias("member"))
+            .select("_key", F.explode(J.elements_text("m", model.MEMBERS)).alias("member"))
             .where(F.col("member").isNotNull())
             .select("_key", "member", F.lit("set").alias("type")))
 
 
 def exact_legacy_list(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY) -> DataFrame:
     items = (F.when(~J.has("m", list_field), F.array().cast("array<string>"))
-             .otherwise(J.elements_text("m", list_field, F.col("uniq"))))
+             .otherwise(J.elements_text("m", list_field)))
     return (_joined(catalog, st, "list")
             .select("_key", items.alias("array"), F.lit("list").alias("type"))
             .where(F.col("array").isNotNull()))

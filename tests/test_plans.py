@@ -62,3 +62,13 @@ def test_key_checks_read_no_documents(st):
     for df in (I.dup_plain_keys(st), I.dup_key_value(st), I.mixed_kind_keys(st)):
         p = plan(df)
         assert "m:map" not in p and "ReadSchema" in p
+
+
+def test_rank_range_partitions_instead_of_windowing_by_key(spark, st):
+    ordered = access.zset_rank.__doc__
+    assert "range-partition" in ordered
+    z = TB.legacy_zset(st)
+    rows = z.select("_key", "value", "score").repartitionByRange("_key")
+    assert "rangepartitioning" in plan(rows).lower()
+    p = plan(access.zset_rank(spark, z))
+    assert "partitionBy _key" not in p and "windowspecdefinition(_key" not in p.lower()
