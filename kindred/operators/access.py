@@ -75,16 +75,19 @@ def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
     member descending): ``(_key, value, score, rank)``.
 
     A window partitioned by ``_key`` would sort each set inside one task; one
-    set may hold a third of all rows.  Instead:
+    set may hold a third of all rows.  Instead, with no step that groups a
+    whole set in one place:
 
-    1. range-partition and sort by ``(_key, score desc, value desc)`` - range
+    1. range-partition and sort by ``(_key, score desc, value desc)``; range
        bounds come from a sample, so a hot set is spread over many tasks;
-    2. tag rows with ``monotonically_increasing_id`` (partition, position) and
-       materialise, which fixes the ids;
-    3. global position = rows in earlier partitions (one small row per
-       partition, broadcast) + position in partition;
-    4. rank = global position - first global position of the key + 1, the
-       first position coming from a map-side combined MIN per key.
+    2. tag each row with its partition and position there
+       (``monotonically_increasing_id``) and materialise, which fixes them;
+    3. rank inside the partition = position - (rows of smaller keys in the
+       partition) + 1, from ``rank() over (partition by partition-id order
+       by _key)``: partitions are balanced by construction;
+    4. add the rows the same key has in earlier partitions.  Only keys that
+       cross a partition boundary have any - at most two per partition - so
+       that table is bounded by the partition count and is broadcast.
     """
     rows = zset.select("_key", "value", "score")
     ordered = (rows.repartitionByRange("_key", *_zset_order())
@@ -94,17 +97,23 @@ def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
         "_key", "value", "score",
         F.shiftrightunsigned("_rid", _IDX_BITS).alias("_pid"),
         F.col("_rid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)).alias("_pos"))
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: a proven, small bound, so this window and the
-    # broadcast below are safe at any data size.
-    offsets = sizes.select(
-        "_pid",
-        (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
-    placed = (tagged.join(F.broadcast(offsets), "_pid")
-              .select("_key", "value", "score", (F.col("_off") + F.col("_pos")).alias("_g")))
-    first = placed.groupBy("_key").agg(F.min("_g").alias("_g0"))
-    return (placed.join(first, "_key")
-            .select("_key", "value", "score", (F.col("_g") - F.col("_g0") + 1).alias("rank")))
+
+    # 3. rank inside the partition
+    by_pid = Window.partitionBy("_pid").orderBy("_key")
+    local = tagged.withColumn("_r", F.col("_pos") - F.rank().over(by_pid) + 2)
+
+    # 4. carry for keys spread over several partitions: per (key, partition)
+    # counts (combined map-side), keep keys seen in more than one partition
+    per_part = tagged.groupBy("_key", "_pid").agg(F.count(F.lit(1)).alias("_n"))
+    split_keys = (per_part.groupBy("_key").agg(F.count(F.lit(1)).alias("_parts"))
+                  .where(F.col("_parts") > 1).select("_key"))
+    carry = (per_part.join(split_keys, "_key")
+             .select("_key", "_pid",
+                     (F.sum("_n").over(Window.partitionBy("_key").orderBy("_pid")) - F.col("_n"))
+                     .alias("_carry")))
+    return (local.join(F.broadcast(carry), ["_key", "_pid"], "left")
+            .select("_key", "value", "score",
+                    (F.col("_r") + F.coalesce(F.col("_carry"), F.lit(0))).alias("rank")))
 
 
 def write_clustered(df: DataFrame, path: str, keys: list[str] | tuple[str, ...],
