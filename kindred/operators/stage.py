@@ -67,11 +67,12 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     output jobs leave them out.  ``iso_expire`` also accepts ISO-8601 expiry
     strings.
 
-    Every expression here is a plain built-in (no lambdas), so the whole
-    projection compiles into one whole-stage-codegen function.
+    Apart from the small projection that resolves repeated fields, every
+    expression is a plain built-in (no lambdas), so the classification
+    compiles into one whole-stage-codegen function.
     """
     c = F.col
-    m, u = c("m"), c("uniq")
+    m = c("m")
     # Repeated fields are resolved once, up front, for the documents that
     # have them (the lambda only runs there).  Being a lambda, this
     # projection also ends the first code-generated stage, so that both
