@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred import model
+from kindred.operators import skew
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -153,32 +154,42 @@ def mixed_kind_keys(st: DataFrame) -> DataFrame:
 # --- cascades ----------------------------------------------------------------
 
 def cascade_delete(catalog: DataFrame, children: dict[str, DataFrame],
-                   predicate: Column) -> tuple[DataFrame, dict[str, DataFrame]]:
+                   predicate: Column, hot_threshold: int = skew.HOT_THRESHOLD
+                   ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """I7 (ON DELETE CASCADE): delete catalog rows where ``predicate`` is true
     and every child row with the same ``(_key, type)``.
 
     The deleted set can be as large as the catalog (e.g. purging expired
     objects), so children are filtered with a shuffle anti join, never a
-    collected key list."""
+    collected key list; a child key holding more than ``hot_threshold`` rows
+    goes through a broadcast of its few deleted-key rows instead
+    (:func:`kindred.operators.skew.split_hot_join`)."""
     hit = F.coalesce(predicate, F.lit(False))
     deleted = catalog.where(hit).select("_key", "type")
     kept = catalog.where(~hit)
-    out = {name: df.join(deleted, ["_key", "type"], "left_anti") for name, df in children.items()}
+    out = {name: skew.split_hot_join(df, deleted, ["_key", "type"], "left_anti", hot_threshold)
+           for name, df in children.items()}
     return kept, out
 
 
 def cascade_rename(catalog: DataFrame, children: dict[str, DataFrame],
-                   mapping: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+                   mapping: DataFrame, hot_threshold: int = skew.HOT_THRESHOLD
+                   ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """I8 (ON UPDATE CASCADE): rename catalog keys by ``mapping(_key, new_key)``
-    and carry the new key to child rows with the same ``(_key, type)``."""
-    m = mapping.select("_key", "new_key")
+    (one new key per key) and carry the new key to child rows with the same
+    ``(_key, type)``; hot child keys join by broadcast as in
+    :func:`cascade_delete`."""
+    m = mapping.select("_key", "new_key").dropDuplicates(["_key"])
     cat = catalog.join(m, "_key", "left")
     renamed = (cat.select(F.coalesce("new_key", "_key").alias("_key"), "type", "expireAt"))
-    moves = cat.where(F.col("new_key").isNotNull()).select("_key", "type", "new_key")
+    # one move per (_key, type), even where the catalog repeats a pair (I5),
+    # so that no child row is multiplied
+    moves = (cat.where(F.col("new_key").isNotNull()).select("_key", "type", "new_key")
+             .dropDuplicates(["_key", "type"]))
 
     def _move(df: DataFrame) -> DataFrame:
         cols = df.columns
-        j = df.join(moves, ["_key", "type"], "left")
+        j = skew.split_hot_join(df, moves, ["_key", "type"], "left", hot_threshold)
         return j.select(*[F.coalesce("new_key", "_key").alias("_key") if c == "_key" else F.col(c)
                           for c in cols])
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from kindred import model
 from kindred.functions import jsondoc as J
+from kindred.operators import skew
 
 
 def _kind(t: str):
@@ -128,10 +129,11 @@ def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
     leak in).  The catalog side is reduced to distinct keys first: the
     literal join would pair each of k duplicate catalog rows with each of k
     documents (k*k rows); duplicates are reported by the key checks
-    instead.  A shuffle join on ``_key``; AQE splits a hot key."""
+    instead.  A shuffle join on ``_key``; hot keys go by broadcast
+    (:func:`kindred.operators.skew.split_hot_join`)."""
     keys = catalog.where(F.col("type") == t).select("_key").distinct()
     docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m")
-    return keys.join(docs, "_key", "inner")
+    return skew.split_hot_join(docs, keys, ["_key"], "inner")
 
 
 def _t(name: str) -> F.Column:
@@ -150,7 +152,8 @@ def exact_legacy_zset(catalog: DataFrame, st: DataFrame) -> DataFrame:
     keys = catalog.where(F.col("type") == "zset").select("_key").distinct()
     docs = (st.where(F.col("_key").isNotNull() & F.col("value").isNotNull() & F.col("score").isNotNull())
             .select("_key", "value", "score"))
-    return keys.join(docs, "_key", "inner").select("_key", "value", "score", F.lit("zset").alias("type"))
+    return (skew.split_hot_join(docs, keys, ["_key"], "inner")
+            .select("_key", "value", "score", F.lit("zset").alias("type")))
 
 
 def exact_legacy_set(catalog: DataFrame, st: DataFrame) -> DataFrame:

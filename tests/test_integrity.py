@@ -83,3 +83,39 @@ def test_null_and_domain_violations(spark):
 def test_dup_key_type(spark):
     cat = spark.createDataFrame([("a", "hash"), ("a", "hash"), ("a", "zset")], "_key string, type string")
     assert rows(I.dup_key_type(cat), "_key", "type", "n") == [("a", "hash", 2)]
+
+
+def test_hot_key_split_equals_plain_join(spark):
+    from kindred.operators import skew
+    hot = [("h", "zset", f"m{i}") for i in range(500)]
+    cold = [(f"k{i}", "zset", "x") for i in range(50)]
+    big = spark.createDataFrame(hot + cold, "_key string, type string, value string").repartition(5)
+    small = spark.createDataFrame([("h", "zset", "H"), ("k1", "zset", "K"), ("zz", "zset", "Z")],
+                                  "_key string, type string, new_key string")
+    for how in ("inner", "left", "left_anti", "left_semi"):
+        plain = sorted(map(tuple, big.join(small, ["_key", "type"], how).collect()))
+        split = sorted(map(tuple, skew.split_hot_join(big, small, ["_key", "type"], how,
+                                                      threshold=100).collect()))
+        assert plain == split, how
+    assert [tuple(r) for r in skew.hot_keys(big, ["_key"], 100).collect()] == [("h",)]
+
+
+def test_cascades_with_a_hot_key(spark):
+    catalog, kids = _fixture(spark)
+    hot = spark.createDataFrame([("p", f"m{i}", float(i), "zset") for i in range(300)],
+                                "_key string, value string, score double, type string")
+    kids = dict(kids, legacy_zset=kids["legacy_zset"].unionByName(hot))
+    _, out = I.cascade_delete(catalog, kids, F.col("_key") == "p", hot_threshold=50)
+    assert rows(out["legacy_zset"], "_key") == [("gone",)]
+    mapping = spark.createDataFrame([("p", "p2")], "_key string, new_key string")
+    _, out = I.cascade_rename(catalog, kids, mapping, hot_threshold=50)
+    assert out["legacy_zset"].where("_key = 'p2'").count() == 302
+
+
+def test_rename_does_not_multiply_rows_on_repeated_catalog_pairs(spark):
+    catalog = spark.createDataFrame([("a", "string", None), ("a", "string", None)],
+                                    "_key string, type string, expireAt timestamp")
+    kids = {"legacy_string": spark.createDataFrame([("a", "x", "string")], "_key string, data string, type string")}
+    mapping = spark.createDataFrame([("a", "b")], "_key string, new_key string")
+    _, out = I.cascade_rename(catalog, kids, mapping)
+    assert rows(out["legacy_string"], "_key", "data") == [("b", "x")]
