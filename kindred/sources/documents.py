@@ -10,6 +10,11 @@ Formats
   ``json``              A JSON array of documents per file (what a one-shot
                         export writes).  Such a file cannot be split: each file
                         is read by one task, then exploded and repartitioned.
+                        Numbers keep their exact text.  The file is parsed
+                        as one VARIANT, so a document repeating a field needs
+                        ``spark.sql.variant.allowDuplicateKeys=true`` (set by
+                        :func:`kindred.session.build_session`); JSON Lines has
+                        no such limit.
   ``parquet``           A table with a ``data`` column (string or variant).
   anything else         Passed through to ``spark.read.format(...)``; when the
                         result has no ``data`` column its rows are serialised
