@@ -57,7 +57,7 @@ def _plain_kind(m: Column, ignore: tuple[str, ...]) -> Column:
 
 def classify(docs: DataFrame, list_field: str = model.ARRAY,
              drop_fields: tuple[str, ...] = (model.STORE_ID,),
-             iso_expire: bool = True) -> DataFrame:
+             iso_expire: bool = True, keep_documents: str = "all") -> DataFrame:
     """Parse and classify documents (column ``data``) -> stage rows.
 
     ``list_field`` is the field read as a list's payload (``"list"`` gives the
@@ -65,7 +65,11 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     fields of the source store that are not part of the object (its ``_id``
     by default; ``()`` is literal): they do not count for the kind and the
     output jobs leave them out.  ``iso_expire`` also accepts ISO-8601 expiry
-    strings.
+    strings.  ``keep_documents="needed"`` keeps the parsed document ``m`` only
+    where an output reads it (hash documents and imported records; every
+    other kind is carried by the stage's scalar columns), which makes the
+    staged table far smaller; ``"all"`` keeps it everywhere, as the
+    exact-join mode needs.
 
     Apart from the small projection that resolves repeated fields, every
     expression is a plain built-in (no lambdas), so the classification
@@ -161,10 +165,16 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
         "_itype", "_iid",
     )
     good_imp = c("imported") & c("imp_reason").isNull()
+    if keep_documents == "all":
+        doc = c("m")
+    elif keep_documents == "needed":
+        doc = F.when((c("kind") == "hash") | good_imp, c("m"))
+    else:
+        raise ValueError(f"keep_documents must be 'all' or 'needed', not {keep_documents!r}")
     return reasons.select(
         # raw text is kept only where a reject needs it
         F.when(c("reason").isNotNull() | c("imp_reason").isNotNull(), c("data")).alias("data"),
-        "m", "uniq", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
+        doc.alias("m"), "uniq", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
         "members", "items", "reason", "imported",
         F.when(good_imp, c("_itype")).alias("imp_type"),
         F.when(good_imp, c("_iid")).alias("imp_id"),

@@ -95,8 +95,10 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
     docs = (source if isinstance(source, DataFrame)
             else read_documents(spark, source, source_format, **read_options))
     stage_path = scratch_path(spark, "stage")
+    # the join-free jobs read documents only for hashes and imported records
     st = S.stage(spark, docs, path=stage_path, list_field=list_field,
-                 drop_fields=drop_fields, iso_expire=iso_expire)
+                 drop_fields=drop_fields, iso_expire=iso_expire,
+                 keep_documents="all" if exact_join else "needed")
     res = MigrationResult(target)
 
     def out(name: str) -> str:

@@ -217,3 +217,18 @@ def test_live_view_is_strict(spark):
 def test_sessions_empty(spark):
     s = TB.sessions_empty(spark)
     assert s.count() == 0 and s.columns == ["sid", "sess", "expire"]
+
+
+def test_keep_needed_documents_gives_the_same_outputs(spark):
+    docs = spark.createDataFrame([(d,) for d in EDGE], "data string")
+    full = S.stage(spark, docs, persist=False)
+    slim = S.stage(spark, docs, persist=False, keep_documents="needed")
+    for f in (TB.legacy_string, TB.legacy_zset, TB.legacy_set, TB.legacy_list, TB.rejects, C.legacy_object):
+        a = sorted(map(repr, f(full).collect()))
+        b = sorted(map(repr, f(slim).collect()))
+        assert a == b, f.__name__
+    for f in (TB.legacy_hash, TB.legacy_imported):
+        a = sorted(map(repr, f(full).select([F.col(c).cast("string") for c in f(full).columns]).collect()))
+        b = sorted(map(repr, f(slim).select([F.col(c).cast("string") for c in f(slim).columns]).collect()))
+        assert a == b, f.__name__
+    assert slim.where("m is not null and kind <> 'hash' and imp_type is null").count() == 0
