@@ -76,3 +76,17 @@ def test_rank_range_partitions_instead_of_windowing_by_key(spark, st):
     import re
     assert not re.search(r"windowspecdefinition\(_key#\d+L?, score", p)
     assert re.search(r"windowspecdefinition\(_pid#\d+L?, _key", p)
+
+
+def test_objects_of_type_prunes_a_type_partitioned_catalog(spark, st, tmp_path):
+    out = str(tmp_path / "cat")
+    access.write_clustered(C.legacy_object(st), out, ["_key"], partition_by=["type"])
+    p = plan(access.objects_of_type(spark.read.parquet(out), "string"))
+    assert "PartitionFilters: [isnotnull(type" in p and "(type" in p and "= string)" in p
+
+
+def test_range_filters_reach_the_scan(spark, st, tmp_path):
+    out = str(tmp_path / "z")
+    access.write_clustered(TB.legacy_zset(st), out, ["_key", "value"])
+    p = plan(access.zset_range_by_score(spark.read.parquet(out), 100, 200))
+    assert "PushedFilters: [IsNotNull(score), GreaterThanOrEqual(score," in p
