@@ -202,7 +202,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str,
     return write_back(spark, df, scratch_path(spark, name), partition_by)
 
 
-SPREAD_MIN_BYTES = 1 << 20
+SPREAD_MIN_BYTES = 1 << 20        # below this, one task is fine
+SPREAD_SMALL_INPUT = 8 << 30      # up to this, a round-robin shuffle is cheap
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -211,17 +212,43 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(size) if isinstance(size, int) else int(size.toString())
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    v = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    v = v.strip().lower().rstrip("b")
+    return int(float(v[:-1]) * units[v[-1]]) if v and v[-1] in units else int(v)
+
+
 def spread(spark: SparkSession, df: DataFrame, min_bytes: int = SPREAD_MIN_BYTES) -> DataFrame:
-    """Round-robin ``df`` over the cluster when it has fewer partitions than
-    twice the cluster's cores (one unsplittable file, a one-row-group table)
-    and is big enough to be worth it, so that the parse is not left to a
-    handful of tasks.  Inputs with more partitions - every large input - are
-    returned as they are, without a shuffle.  Meant for raw scans: counting
-    their partitions and estimating their size runs no job."""
-    want = 2 * spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want and estimated_bytes(df) >= min_bytes:
-        return df.repartition(want)
-    return df
+    """Round-robin ``df`` over the cluster when its partitions cannot keep
+    the cluster busy, so that the parse is not left to a handful of tasks:
+
+    * partitions much larger than a file split (unsplittable files: a
+      compressed JSON Lines file, a one-row-group table) - spread to about
+      one split's worth each, whatever the input size;
+    * a small input (up to 8 GiB, where a shuffle is cheap) in fewer
+      partitions than the cluster has cores.
+
+    Inputs already cut into splits - every large input - are returned as
+    they are, without a shuffle.  Meant for raw scans: counting their
+    partitions and estimating their size runs no job."""
+    size = estimated_bytes(df)
+    if size < min_bytes:
+        return df
+    target = spread_target(size, df.rdd.getNumPartitions(),
+                           spark.sparkContext.defaultParallelism, _split_bytes(spark))
+    return df.repartition(target) if target else df
+
+
+def spread_target(size: int, partitions: int, cores: int, split: int) -> int | None:
+    """The partition count :func:`spread` moves an input to, or None to
+    leave it as it is (see there)."""
+    n = max(1, partitions)
+    oversized = size / n > 2 * split
+    underused = size <= SPREAD_SMALL_INPUT and n < 2 * cores
+    if oversized or underused:
+        return max(2 * cores, -(-size // split))
+    return None
 
 
 def stage(spark: SparkSession, docs: DataFrame, persist: bool = True,

@@ -90,3 +90,18 @@ def test_range_filters_reach_the_scan(spark, st, tmp_path):
     access.write_clustered(TB.legacy_zset(st), out, ["_key", "value"])
     p = plan(access.zset_range_by_score(spark.read.parquet(out), 100, 200))
     assert "PushedFilters: [IsNotNull(score), GreaterThanOrEqual(score," in p
+
+
+def test_spread_rule_at_cluster_scale():
+    from kindred.operators.stage import spread_target
+    mb, gb, tb = 1 << 20, 1 << 30, 1 << 40
+    split = 128 * mb
+    # 1 TB already cut into 8000 splits on 8000 cores: never reshuffled
+    assert spread_target(tb, 8000, 8000, split) is None
+    # ten unsplittable 10 GB files: spread over the whole cluster (or one
+    # split's worth per partition, when that gives more partitions)
+    assert spread_target(100 * gb, 10, 8000, split) == 16000
+    assert spread_target(100 * gb, 10, 100, split) == 800
+    # a 3 MB one-row-group table on 8 cores: spread; on enough partitions: left
+    assert spread_target(3 * mb, 1, 8, split) == 16
+    assert spread_target(3 * mb, 16, 8, split) is None
