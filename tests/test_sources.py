@@ -54,3 +54,15 @@ def test_passthrough_format_without_data_column(spark, tmp_path):
     spark.createDataFrame([("k1", "v1")], "_key string, value string").write.csv(out, header=True)
     back = read_documents(spark, out, "csv", header="true")
     assert [json.loads(r["data"]) for r in back.collect()] == [{"_key": "k1", "value": "v1"}]
+
+
+def test_json_array_file_with_repeated_fields(spark, tmp_path):
+    # build_session allows duplicate keys in VARIANT, as this reader needs
+    from kindred.operators import stage as S
+    from kindred.operators import tables as TB
+    f = tmp_path / "dup.json"
+    f.write_text('[\n  {"_key": "w", "value": 1, "value": 2},\n  {"_key": "h", "a": {"x": 1, "x": 2}}\n]')
+    st = S.stage(spark, read_documents(spark, str(f), "json"), persist=False)
+    assert [tuple(r) for r in TB.legacy_string(st).select("_key", "data").collect()] == [("w", "2")]
+    h = TB.legacy_hash(st).select("data").collect()[0]["data"]
+    assert json.loads(str(h)) == {"a": {"x": 2}}
