@@ -47,11 +47,18 @@ class MigrationResult:
     violations: dict[str, int] = field(default_factory=dict)
 
 
+def _variants_as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "variant"
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def _write(df: DataFrame, path: str, fmt: str, mode: str, keys: tuple[str, ...] | None,
            partition_by: tuple[str, ...] = (), options: dict[str, str] | None = None,
-           table: str | None = None) -> str:
+           table: str | None = None, documents_as: str = "variant") -> str:
     """Write one output.  File formats go to ``path``; a table sink such as
     ``jdbc`` (given its connection ``options``) gets ``dbtable=table``."""
+    if documents_as == "text":
+        df = _variants_as_text(df)
     if keys and fmt != "jdbc":
         access.write_clustered(df, path, keys, partition_by, mode=mode, fmt=fmt)
         return path
@@ -60,9 +67,7 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str, keys: tuple[str, ...]
         w = w.partitionBy(*partition_by)
     if fmt == "jdbc":
         # JDBC has no VARIANT: documents go as JSON text (a JSON/JSONB column)
-        cols = [F.col(f.name).cast("string").alias(f.name) if f.dataType.typeName() == "variant"
-                else F.col(f.name) for f in df.schema.fields]
-        df.select(*cols).write.mode(mode).format(fmt).options(**(options or {})) \
+        _variants_as_text(df).write.mode(mode).format(fmt).options(**(options or {})) \
             .option("dbtable", table).save()
         return table
     w.save(path)
@@ -76,7 +81,7 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
             iso_expire: bool = True, checks: bool = True, cluster: bool = False,
             partition_catalog_by_type: bool = False, on_error: str = "reject",
             parallel_writes: int = 4, keep_stage: bool = False,
-            output_options: dict[str, str] | None = None,
+            output_options: dict[str, str] | None = None, documents_as: str = "variant",
             **read_options: str) -> MigrationResult:
     """Run the whole migration and write every table below ``target``.
 
@@ -89,7 +94,8 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
     ``output_options`` go to every writer; with ``output_format="jdbc"`` they
     carry the connection (url, driver, user, ...) and each table is written
     under its own name (the integrity checks then read it back through the
-    same format).
+    same format).  ``documents_as="text"`` writes the hash and imported
+    documents as JSON text instead of VARIANT, for readers without VARIANT.
     """
     target = target.rstrip("/")
     docs = (source if isinstance(source, DataFrame)
@@ -109,7 +115,7 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
         def one(item):
             name, (df, keys, parts) = item
             return name, _write(df, out(name), output_format, mode, keys if cluster else None, parts,
-                                output_options, name.replace("/", "_"))
+                                output_options, name.replace("/", "_"), documents_as)
         with cf.ThreadPoolExecutor(max_workers=max(1, parallel_writes)) as pool:
             for name, path in pool.map(one, jobs.items()):
                 dest[name] = path

@@ -94,3 +94,14 @@ def test_command_line(spark, tmp_path, capsys):
     out = json.loads(capsys.readouterr().out)
     assert spark.read.parquet(out["tables"]["legacy_object"]).count() == 2
     assert spark.read.parquet(out["tables"]["rejects"]).count() == 1
+
+
+def test_documents_as_text_readable_elsewhere(spark, tmp_path):
+    import duckdb
+    docs = spark.createDataFrame([('{"_key":"h","name":"n","k":1}',), ('{"_key":"_imported_user:3","x":1}',)],
+                                 "data string")
+    res = migrate(spark, docs, str(tmp_path / "out"), documents_as="text", checks=False)
+    got = duckdb.sql(f"select _key, data from read_parquet('{res.tables['legacy_hash']}/*.parquet')").fetchall()
+    assert [(k, json.loads(d)) for k, d in got] == [("h", {"k": 1, "name": "n"})]
+    got = duckdb.sql(f"select type, id, data from read_parquet('{res.tables['legacy_imported']}/*.parquet')").fetchall()
+    assert [(t, i, json.loads(d)) for t, i, d in got] == [("user", 3, {"x": 1})]
