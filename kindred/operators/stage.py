@@ -43,7 +43,7 @@ from kindred.session import scratch_path
 
 STAGE_COLUMNS = ("data", "m", "uniq", "_key", "has_score", "value", "score", "expire_at",
                  "kind", "payload", "members", "items", "reason",
-                 "imported", "imp_type", "imp_id", "imp_reason")
+                 "imported", "imp_type", "imp_id", "imp_reason", "all_docs")
 
 
 def _plain_kind(m: Column, ignore: tuple[str, ...]) -> Column:
@@ -179,6 +179,8 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
         F.when(good_imp, c("_itype")).alias("imp_type"),
         F.when(good_imp, c("_iid")).alias("imp_id"),
         "imp_reason",
+        # constant: whether every document was kept (the exact join needs it)
+        F.lit(keep_documents == "all").alias("all_docs"),
     )
 
 

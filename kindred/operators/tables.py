@@ -131,11 +131,22 @@ def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
     documents (k*k rows); duplicates are reported by the key checks
     instead.  A shuffle join on ``_key``; hot keys go by broadcast
     (:func:`kindred.operators.skew.split_hot_join`)."""
+    _require_all_documents(st)
     keys = catalog.where(F.col("type") == t).select("_key").distinct()
     docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m")
     return skew.split_hot_join(docs, keys, ["_key"], "inner")
 
 
+def _require_all_documents(st: DataFrame) -> None:
+    """The literal join reads every document; a stage built with
+    ``keep_documents="needed"`` has dropped some.  The stage's constant
+    ``all_docs`` column says which (one row is read), so this is an error
+    instead of a silently short table."""
+    first = st.select("all_docs").limit(1).collect()
+    if first and not first[0]["all_docs"]:
+        raise ValueError("exact-join mode needs a stage built with keep_documents='all'")
+
+
 def _t(name: str) -> F.Column:
     return J.text("m", name)
 

@@ -232,3 +232,10 @@ def test_keep_needed_documents_gives_the_same_outputs(spark):
         b = sorted(map(repr, f(slim).select([F.col(c).cast("string") for c in f(slim).columns]).collect()))
         assert a == b, f.__name__
     assert slim.where("m is not null and kind <> 'hash' and imp_type is null").count() == 0
+
+
+def test_exact_join_refuses_a_slim_stage(spark):
+    docs = spark.createDataFrame([('{"_key":"z","score":1,"value":"x"}',)], "data string")
+    slim = S.stage(spark, docs, persist=False, keep_documents="needed")
+    with pytest.raises(ValueError):
+        TB.exact_legacy_hash(C.legacy_object(slim), slim)
