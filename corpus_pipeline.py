@@ -18,8 +18,7 @@ from kindred.llm.registry import NEAR_SHINGLE, table, tokenizer_path
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier rejects go."""
-    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), keep_columns=True)
-    return scored.filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

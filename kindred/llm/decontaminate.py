@@ -184,5 +184,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       .filter(contaminated(F.col("n_hit"), F.col("n_words")))
                       .select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct(),
                       "bench-contaminated")
-    return docs.join(bounded_broadcast(bad), F.col(f"`{id_col}`").eqNullSafe(F.col("_bad_id"))
-                     & (text_key(F.col(f"`{text_col}`")) == F.col("_bad_key")), "left_anti")
+    bad = bounded_broadcast(bad)
+    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad_id"]) & (text_key(docs[text_col]) == bad["_bad_key"]),
+                     "left_anti")

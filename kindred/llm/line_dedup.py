@@ -46,7 +46,7 @@ def spread_lines(docs: DataFrame, text_col: str = "text", site_col: str = "sourc
                  band: float = BAND, log_registers: int = LOG_REGISTERS) -> DataFrame:
     """``line_hash, n_lines, n_sites`` (exact near the threshold, else estimated)
     of the lines on at least ``min_sites`` sites."""
-    site = F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit(""))
+    site = F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("-"))  # a sketch skips empty strings
     lines = (docs.select(site.alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
              .select("site", _line_hash(F.col("line")).alias("line_hash")).filter("line_hash is not null"))
     often = materialize(lines.groupBy("line_hash").agg(F.count("*").alias("n_lines"))

@@ -353,14 +353,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
         gone = gone.unionByName(extra.select("doc_id", "text_key"))
         again = tied.select(F.col("first_id").alias("_a_id"), F.col("first_key").alias("_a_key")).distinct()
     gone = materialize(gone.distinct().select(F.col("doc_id").alias("_g_id"), F.col("text_key").alias("_g_key")), "near-gone")
-    key = text_key(F.col(f"`{text_col}`"))
 
-    def at(i: str, k: str):
-        return F.col(f"`{id_col}`").eqNullSafe(F.col(i)) & (key == F.col(k))
+    def rows(frame: DataFrame, keys: DataFrame, i: str, k: str, how: str) -> DataFrame:
+        return frame.join(keys, frame[id_col].eqNullSafe(keys[i]) & (text_key(frame[text_col]) == keys[k]), how)
 
-    kept = docs.join(bounded_broadcast(gone), at("_g_id", "_g_key"), "left_anti")
+    kept = rows(docs, bounded_broadcast(gone), "_g_id", "_g_key", "left_anti")
     if again is None:
         return kept
     again = bounded_broadcast(materialize(again, "near-again"))
-    return (kept.join(again, at("_a_id", "_a_key"), "left_anti")
-            .unionByName(kept.join(again, at("_a_id", "_a_key"), "left_semi").dropDuplicates([id_col, text_col])))
+    return rows(kept, again, "_a_id", "_a_key", "left_anti").unionByName(
+        rows(kept, again, "_a_id", "_a_key", "left_semi").dropDuplicates([id_col, text_col]))

@@ -274,30 +274,40 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     return {"mined": mined, "weights": weights, "bias": bias, "labels": model}
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
-                   text_col: str = "text", held_out: tuple[int, int] = HELD_OUT, threshold: float = THRESHOLD,
-                   keep_columns: bool = False, **options) -> DataFrame:
-    """One row per input row: ``doc_id, held_out, score, predicted``; with
-    ``keep_columns`` the input's columns and ``_score`` instead."""
-    model = fit(docs, labels, label_col, id_col, text_col, held_out, **options)
+def _scored(docs: DataFrame, model: dict, text_col: str, fields: list[str]) -> DataFrame:
+    """The named columns as ``c0``, ``c1``, ... and ``_score``."""
     shared = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("mined", "weights", "bias")})
-
-    fields = docs.columns if keep_columns else [id_col]
-    slim = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(fields)], F.col(text_col).alias("_text"))
+    slim = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(fields)],
+                       F.col(f"`{text_col}`").alias("_text"))
 
     def run(batches):
         m = shared.value
         reader, weights, bias = Reader(m["mined"]), m["weights"], m["bias"]
         for batch in batches:
             z = np.array([bias + sum(weights[i] for i in reader.read(v.as_py() or "")[0])
-                          for v in batch.column(len(fields))])
+                          for v in batch.column(len(fields))], float)
             score = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*batch.schema.names[:-1], "_score"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields[:-1])
-    scored = slim.mapInArrow(run, f"{schema}, _score double")
-    if keep_columns:
-        return scored.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(fields)], "_score")
+    return slim.mapInArrow(run, f"{schema}, _score double")
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
+                   text_col: str = "text", held_out: tuple[int, int] = HELD_OUT, threshold: float = THRESHOLD,
+                   **options) -> DataFrame:
+    """One row per input row: ``doc_id, held_out, score, predicted``."""
+    model = fit(docs, labels, label_col, id_col, text_col, held_out, **options)
     held = F.coalesce(remainder(F.col("c0"), held_out[0]) == held_out[1], F.lit(False))
-    return scored.select(F.col("c0").alias("doc_id"), held.alias("held_out"), F.col("_score").alias("score"),
-                         (F.col("_score") >= threshold).cast("int").alias("predicted"))
+    return _scored(docs, model, text_col, [id_col]).select(
+        F.col("c0").alias("doc_id"), held.alias("held_out"), F.col("_score").alias("score"),
+        (F.col("_score") >= threshold).cast("int").alias("predicted"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
+               text_col: str = "text", held_out: tuple[int, int] = HELD_OUT, threshold: float = THRESHOLD,
+               **options) -> DataFrame:
+    """``docs`` without the documents that score ``threshold`` or more."""
+    model = fit(docs, labels, label_col, id_col, text_col, held_out, **options)
+    kept = _scored(docs, model, text_col, docs.columns).filter(F.col("_score") < threshold)
+    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

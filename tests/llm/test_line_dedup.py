@@ -1,0 +1,49 @@
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from kindred.llm import line_dedup as L
+
+
+def brute(rows, least):
+    sites = defaultdict(set)
+    for _, t, s in rows:
+        for line in (t or "").split("\n"):
+            if line.strip(" "):
+                sites[line.strip(" ")].add(s)
+    bad = {x for x, s in sites.items() if len(s) >= least}
+    out = []
+    for i, t, _ in rows:
+        lines = [] if t is None else t.split("\n")
+        keep = [x for x in lines if x.strip(" ") not in bad]
+        out.append((i, None if t is None else "\n".join(keep), len(lines), len(lines) - len(keep)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("least", [1, 2, 3])
+def test_awkward_rows(odd, odd_rows, least):
+    got = Counter(tuple(r) for r in L.remove_spread_lines(odd, min_sites=least).collect())
+    assert got == brute([(r[0], r[1], r[3]) for r in odd_rows], least)
+
+
+def test_documents(documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "source").collect()]
+    for least in (2, 4, L.MIN_SITES):
+        want = brute(rows, least)
+        assert Counter(tuple(r) for r in L.remove_spread_lines(documents, min_sites=least).collect()) == want
+        assert least > 4 or any(k[3] for k in want)
+
+
+def test_many_sites(spark):
+    """Spreads far below, near and far above a threshold that sketches only estimate."""
+    rows = [(i, "\n".join(f"line {k}" for k in (100, 900, 995, 1000, 1005, 1200, 3000) if i < k) + f"\nown {i}", f"site{i}")
+            for i in range(3000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter(tuple(r) for r in L.remove_spread_lines(frame, min_sites=1000).collect())
+    assert got == brute(rows, 1000)
+    assert re.search("line 995", next(k[1] for k in got if k[0] == 0))
+
+
+def test_empty(empty):
+    assert L.remove_spread_lines(empty).count() == 0

@@ -1,0 +1,86 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from kindred.llm import token_codes as T
+from kindred.llm.registry import tokenizer_path
+from kindred.session import scratch_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(tokenizer_path())
+    t.encode_special_tokens = True
+    return t
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return T.Encoder(tokenizer_path(), memory=500)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 32 - 1) | st.integers(0, 300), min_size=1, max_size=1500), st.data())
+def test_codes(ids, data):
+    codes = T.Codes(*T.encode_codes(np.array(ids, np.uint32)))
+    begin = data.draw(st.integers(0, len(ids)))
+    end = data.draw(st.integers(begin, len(ids)))
+    assert codes.slice(begin, end).tolist() == ids[begin:end]
+    for i in data.draw(st.lists(st.integers(0, len(ids) - 1), max_size=20)):
+        assert codes[i] == ids[i]
+
+
+TEXT = st.lists(st.sampled_from(list("ab 'sT9.,\n\t é_\u00a0\u3000\U0001f600-") + ["  ", "'ll", " don't", "<|endoftext|>"]), max_size=60).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(TEXT, min_size=1, max_size=4))
+def test_pieces_give_the_same_ids(encoder, tokenizer, texts):
+    got = [x.tolist() for x in encoder.encode_batch(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def digest(tokenizer, rows):
+    """Expected rows, with ties of the id in any order."""
+    encoded = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for _, t in rows]
+    return encoded
+
+
+def check(tokenizer, rows, got):
+    ids = {}
+    for (i, t), e in zip(rows, digest(tokenizer, rows)):
+        ids.setdefault(i, []).append((len(e), zlib.crc32(np.array(e, "<u4").tobytes())))
+    got = sorted(got, key=lambda r: r["start"])
+    assert [r["start"] for r in got] == np.cumsum([0] + [r["n_tokens"] for r in got[:-1]]).tolist()
+    order = [r["doc_id"] for r in got]
+    assert order == sorted(order, key=lambda i: (i is not None, i))
+    found = {}
+    for r in got:
+        found.setdefault(r["doc_id"], []).append((r["n_tokens"], r["ids_crc32"]))
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in ids.items()}
+
+
+def test_awkward_rows(odd, odd_rows, tokenizer):
+    check(tokenizer, [r[:2] for r in odd_rows], T.token_codes(odd, tokenizer_path(), segment_ids=50).collect())
+
+
+def test_documents_and_random_access(spark, documents, tokenizer):
+    path = scratch_path(spark, "test-codes")
+    T.write_codes(documents, path, tokenizer_path(), segment_ids=5000)
+    rows = [tuple(r) for r in documents.select("doc_id", "text").orderBy("doc_id").collect()]
+    check(tokenizer, rows, T.read_documents(spark, path).collect())
+    stream = [i for e in digest(tokenizer, rows) for i in e]
+    some = random.Random(5).sample(range(len(stream)), 300)
+    asked = spark.createDataFrame([(p,) for p in some + [len(stream) + 5, -1]], "position long")
+    assert {r["position"]: r["token"] for r in T.tokens_at(spark, path, asked).collect()} == {p: stream[p] for p in some}
+    assert T.segments(spark, path).agg(F.max("n_ids")).first()[0] < 5000 + 60_000
+
+
+def test_empty(empty):
+    assert T.token_codes(empty, tokenizer_path()).count() == 0
