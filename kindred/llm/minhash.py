@@ -14,11 +14,14 @@
 * Links are confirmed on full sets: the stored sorted 64-bit shingle hashes.
 
 Without all pairs of a group, yet without losing a link that joins two
-components: every node is first compared with the smallest node that it meets,
-then with the smallest node of each of its buckets, and only buckets that still
-hold more than one component are paired out, across components only.  Pairs
-further apart than ``VERIFY_DISTANCE`` (similarity 0.8 gives that with
-probability below 1e-5) are not confirmed.
+components: every node is first compared with the most central node that it
+meets (the one with most candidates), then the buckets that still hold several
+components with one member each.  These two steps test the signature distance
+first: pairs further apart than ``VERIFY_DISTANCE`` (similarity 0.8 gives that
+with probability below 1e-6) are not confirmed.  The nodes of buckets that are
+still of several components are compared exactly, across components only, by a
+join on their rarest shingles with positional bounds; copies too far apart to be
+linked do not meet there, however many they are.
 
 Python runs in Arrow batches over whole columns (NumPy); joins, grouping and
 components are Spark's.  Large intermediate tables are stored in the shared
@@ -42,6 +45,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.common import bounded_broadcast, materialize, text_key
 from kindred.llm.components import connected_components
+from kindred.session import ship_package
 
 SHINGLE = 5
 THRESHOLD_PERCENT = 80
@@ -253,10 +257,11 @@ def class_components(docs: DataFrame, shingle: int, percent: int) -> tuple[DataF
         .agg(F.min("_id").alias("first_id"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "near-classes")
     keys = _chunk_keys(classes)
-    buckets = materialize(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("low"))
-                          .filter("n > 1").drop("n"), "near-buckets")
-    members = materialize(keys.join(bounded_broadcast(buckets), "key").select("key", "node", "low"), "near-members")
-    nodes = materialize(members.groupBy("node").agg(F.min("low").alias("low")), "near-nodes")
+    buckets = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-buckets")
+    members = materialize(keys.join(bounded_broadcast(buckets), "key").select("key", "node", "n"), "near-members")
+    # Whoever meets most others stands in the middle of its group.
+    nodes = materialize(members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree")), "near-nodes")
+    members = materialize(members.join(nodes, "node").select("key", "node", "degree"), "near-members")
     sig = classes.select("node", "sig")
     labels = materialize(nodes.select("node", F.col("node").alias("comp")), "near-labels")
 
@@ -265,35 +270,87 @@ def class_components(docs: DataFrame, shingle: int, percent: int) -> tuple[DataF
     sets = materialize(_full_sets(docs, wanted, shingle), "near-sets")
 
     def with_signatures(pairs: DataFrame) -> DataFrame:
-        return (pairs.join(sig.withColumnsRenamed({"node": "a", "sig": "sig_a"}), "a")
-                .join(sig.withColumnsRenamed({"node": "b", "sig": "sig_b"}), "b"))
+        return (pairs.join(sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")), "a")
+                .join(sig.select(F.col("node").alias("b"), F.col("sig").alias("sig_b")), "b"))
 
     def linked(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-        near = materialize(_near(with_signatures(pairs)).distinct(), "near-pairs")
+        """The labels after the near ones of the pairs are confirmed."""
+        near = materialize(_near(pairs).distinct(), "near-pairs")
         return _merge_labels(labels, materialize(_confirm(near, sets, percent), "near-links"))
 
-    # 1. Every node with the smallest node that it meets anywhere.
-    labels = linked(nodes.filter("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")), labels)
-    # 2. Every node with the smallest node of each of its buckets, unless one component already.
-    of = labels.withColumnRenamed("comp", "c")
-    star = members.filter("low < node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-    star = (star.join(of.withColumnsRenamed({"node": "a", "c": "ca"}), "a")
-            .join(of.withColumnsRenamed({"node": "b", "c": "cb"}), "b").filter("ca <> cb").select("a", "b"))
-    labels = linked(star, labels)
-    # 3. What is left: pairs across components in the same bucket.
-    placed = members.select("key", "node").join(labels, "node")
-    mixed = (placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
-             .filter("c0 <> c1").select("key"))
-    rest = materialize(placed.join(mixed, "key", "left_semi").join(sig, "node").select("key", "node", "comp", "sig"),
-                       "near-rest")
-    x = rest.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("sig").alias("sig_a"))
-    y = rest.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("sig").alias("sig_b"))
-    across = _near(x.join(y, "key").filter("ca < cb")).distinct()
-    near = materialize(across, "near-pairs")
-    labels = _merge_labels(labels, materialize(_confirm(near, sets, percent), "near-links"))
+    def centres(places: DataFrame) -> DataFrame:
+        """``key, degree, centre``: the member of each bucket that meets most others."""
+        top = places.groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top"))
+        return top.select("key", F.col("top.degree").alias("c_degree"), F.col("top.node").alias("centre"))
+
+    # 1. Every node with the most central node that it meets anywhere.
+    met = members.join(centres(members), "key").filter("centre <> node")
+    best = met.groupBy("node").agg(F.max(F.struct("c_degree", "centre")).alias("top"))
+    labels = linked(with_signatures(best.select(F.col("top.centre").alias("a"), F.col("node").alias("b"))), labels)
+    # 2. In every bucket that still holds several components, all members with its centre.
+    left = materialize(_mixed(members, members, labels), "near-left")
+    if left.isEmpty():
+        return rows, classes, labels
+    chosen = materialize(centres(left).select("key", "centre"), "near-centres")
+    star = (left.join(chosen, "key").filter("centre <> node")
+            .select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    star = (star.join(labels.select(F.col("node").alias("a"), F.col("comp").alias("ca")), "a")
+            .join(labels.select(F.col("node").alias("b"), F.col("comp").alias("cb")), "b")
+            .filter("ca <> cb").select("a", "b"))
+    labels = linked(with_signatures(star), labels)
+    # 3. What is left: compared exactly, across components.
+    rest = materialize(_mixed(left, members, labels).select("node").distinct().join(labels, "node"), "near-rest")
+    pairs = _prefix_pairs(rest, sets.join(rest.select("node"), "node", "left_semi"), percent)
+    confirmed = _confirm(materialize(pairs, "near-pairs"), sets, percent)
+    labels = _merge_labels(labels, materialize(confirmed, "near-links"))
     return rows, classes, labels
 
 
+def _prefix_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: pairs of nodes of different components (``node, comp``) that
+    can reach the similarity; every pair that reaches it is among them.
+
+    With all shingles in one order, rarest first, two sets that share at least
+    ``need`` shingles have their first common one at a place with ``need`` or
+    more behind it in both.  Copies of one text differ in rare shingles, which
+    come first, so that copies too far apart do not meet.
+    """
+    def run(batches):
+        for batch in batches:
+            values = [np.frombuffer(v.as_buffer(), np.int64) for v in batch.column(1)]
+            if values:
+                node = np.repeat(batch.column(0).to_numpy(), [v.size for v in values])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(values)), pa.array(node)], names=["h", "node"])
+
+    shingles = sets.select("node", "values").mapInArrow(run, "h long, node long")
+    shared = materialize(shingles.groupBy("h").agg(F.count("*").alias("k")).filter("k > 1"), "near-shared")
+    of_node = (shingles.join(shared, "h").groupBy("node")
+               .agg(F.array_sort(F.collect_list(F.struct("k", "h"))).alias("common")))
+    n = (F.octet_length("values") / 8).cast("long")
+    sized = (sets.select("node", n.alias("n")).join(of_node, "node").join(nodes, "node")
+             .withColumn("alone", F.col("n") - F.size("common")))
+    # Shingles of no other set come before all others; beyond the prefix nothing need be compared.
+    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1 - F.col("alone")
+    places = (sized.withColumn("take", prefix.cast("int")).filter("take > 0")
+              .select("node", "comp", "n", "alone", F.posexplode(F.slice("common", F.lit(1), F.col("take"))).alias("i", "c"))
+              .select(F.col("c.h").alias("h"), "node", "comp", "n", (F.col("n") - F.col("alone") - F.col("i")).alias("behind")))
+    places = materialize(places, "near-places")
+    mixed = (places.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+             .filter("c0 <> c1").select("h"))
+    places = materialize(places.join(mixed, "h", "left_semi"), "near-places")
+    x, y = (places.select("h", *[F.col(c).alias(f"{c}_{side}") for c in ("node", "comp", "n", "behind")]) for side in "ab")
+    need = F.ceil(F.lit(percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent))
+    met = x.join(y, (x["h"] == y["h"]) & (F.col("comp_a") < F.col("comp_b")) & (F.least("behind_a", "behind_b") >= need))
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
+
+
+def _mixed(places: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``places`` in buckets whose members are of several components."""
+    mixed = (members.select("key", "node").join(labels, "node").groupBy("key")
+             .agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key"))
+    return places.join(mixed, "key", "left_semi")
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """``node, values``: the sets of the wanted classes, each from the documents
     that have the class's first id."""
@@ -319,6 +376,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per input row: ``doc_id, text_key, n_shingles, class_id`` (the
     component's number; null for an empty set), ``component_id, kept`` (the id
     is its component's)."""
+    ship_package(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     rows, classes, labels = class_components(slim, shingle, percent)
     of = classes.select("node", "set_id", "first_id").join(labels, "node", "left") \

@@ -34,6 +34,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from kindred.session import ship_package
+
 #: Kinds in the order that breaks ties between equal starts.
 BASE_KINDS = ("email", "ip", "card", "phone")
 MORE_KINDS = ("login", "iban", "account", "ssn")
@@ -181,6 +183,7 @@ def _joined(spans) -> str:
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_email, n_ip, n_card, n_phone,
     n_more, base_sha256, spans`` (all spans as ``kind:start:end``)."""
+    ship_package(docs.sparkSession)
     slim = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("_text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
     names = [f"n_{k}" for k in BASE_KINDS] + ["n_more"]

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.minhash import text_blocks, word_hashes
 from kindred.llm.sampling import labelled_sample, remainder
+from kindred.session import ship_package
 
 SHAPE_TERMS = 512
 BINS = 16
@@ -144,6 +145,7 @@ def _weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
         text_col: str = "text", held_out: tuple[int, int] = HELD_OUT, max_per_class: int = MAX_PER_CLASS) -> dict | None:
     """The model: term weights, latent axes, labelled vectors; None without labels."""
+    ship_package(docs.sparkSession)
     out = remainder(F.col(id_col), held_out[0]) == held_out[1]
     sample = labelled_sample(docs, labels, label_col, out, {0: max_per_class, 1: max_per_class}, id_col, text_col)
     df, n = _document_frequencies(docs, text_col)

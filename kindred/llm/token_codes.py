@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.common import bounded_broadcast, text_key
-from kindred.session import scratch_path
+from kindred.session import scratch_path, ship_package
 
 BLOCK = 512
 END_ID = 2
@@ -195,6 +195,7 @@ def _encoder(path: str) -> Encoder:
 def write_codes(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                 end_id: int = END_ID, segment_ids: int = SEGMENT_IDS) -> None:
     """Encode every text, add ``end_id`` and write the segments below ``path``."""
+    ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("_id"), text_key(text).alias("_key"), text.alias("_text"))
     dealt = rows.repartitionByRange("_id", "_key").sortWithinPartitions("_id", "_key").select("_id", "_text")
@@ -242,6 +243,7 @@ def write_codes(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
 
 def segments(spark: SparkSession, path: str) -> DataFrame:
     """The segments with ``start``: the number of ids before each in all files."""
+    ship_package(spark)
     table = spark.read.parquet(path)
     # One row per part: as many as the writer had partitions.
     parts = table.groupBy("part").agg(F.sum("n_ids").alias("_n"))

@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.sampling import labelled_sample, remainder
+from kindred.session import ship_package
 
 #: Groups of the fixed list; an entry matches words that begin with it.
 WORDS = (
@@ -235,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
         held_out: tuple[int, int] = HELD_OUT, max_positive: int = MAX_POSITIVE,
         max_negative: int = MAX_NEGATIVE) -> dict:
     """The model: mined lexicon, weights, bias, label model."""
+    ship_package(docs.sparkSession)
     out = remainder(F.col(id_col), held_out[0]) == held_out[1]
     sample = labelled_sample(docs, labels, label_col, out, {0: max_negative, 1: max_positive}, id_col, text_col)
     mined = [w for w, _, _ in mine_lexicon(sample)]
