@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,6 +74,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir")
 
 
+_SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once per application (what
+    ``--py-files`` does), so that functions which run there can import it
+    whatever their working folder and search path are."""
+    sc = spark.sparkContext
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        here = os.path.dirname(os.path.abspath(__file__))
+        path = os.path.join(tempfile.mkdtemp(prefix="kindred-package-"), "kindred.zip")
+        with zipfile.ZipFile(path, "w") as out:
+            for folder, _, names in os.walk(here):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.join("kindred", os.path.relpath(full, here)))
+        sc.addPyFile(path)
+        _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the checkpoint folder for a staged table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
