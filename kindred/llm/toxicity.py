@@ -50,14 +50,22 @@ WORDS = (
     ("hate you", "despise you", "loathe you"),
     ("fuck", "shit", "bitch", "bastard", "asshole", "cunt"),
 )
-MINED_GROUPS = 12
+#: Mined entries vote in this many groups for each of two tiers: entries at
+#: least ``STRONG_ODDS`` times as frequent in toxic texts, and weaker ones.
+MINED_GROUPS = 6
+STRONG_ODDS = 50
 LEXICON = 1500
+#: An entry must stand in so many toxic texts, and in this share of them (a few
+#: copies of one text would otherwise make all its words entries).
 MIN_TEXTS = 5
+MIN_SHARE = 0.02
 PREFIXES = (4, 5, 6, 7)
 MAX_POSITIVE = 3000
 MAX_NEGATIVE = 6000
 #: Accuracy of a training label as a voter.
-LABEL_ACCURACY = 0.98
+LABEL_ACCURACY = 0.995
+#: Log odds that one voter can add.
+MOST_EVIDENCE = 4.0
 THRESHOLD = 0.7
 HELD_OUT = (3, 1)
 
@@ -67,7 +75,7 @@ PATTERNS = (
     re.compile(r"!{3,}"),
     re.compile(r"\b[A-Z]{4,}(?:[ ,]+[A-Z]{4,}){4,}"),
 )
-N_VOTERS = len(WORDS) + MINED_GROUPS + len(PATTERNS)
+N_VOTERS = len(WORDS) + 2 * MINED_GROUPS + len(PATTERNS)
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -80,9 +88,16 @@ def features_of(text: str) -> set[str]:
     return out
 
 
-def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TEXTS) -> list[tuple[str, int, int]]:
-    """``(entry, toxic texts, clean texts)`` of the entries that most favour
-    toxic texts, by log odds times the square root of their support."""
+def voter_of(entry: str, strong: bool) -> int:
+    """The voter of a mined entry.  Nested entries (a word and its beginnings)
+    share one, so that voters are less dependent."""
+    return len(WORDS) + (0 if strong else MINED_GROUPS) + sum(map(ord, entry[:PREFIXES[0]])) % MINED_GROUPS
+
+
+def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TEXTS,
+                 min_share: float = MIN_SHARE) -> list[tuple[str, int]]:
+    """``(entry, voter)`` of the entries that most favour toxic texts, by log
+    odds times the square root of their support."""
     def run(batches):
         ones, zeros = Counter(), Counter()
         for batch in batches:
@@ -102,21 +117,20 @@ def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TE
     counts = (sample.select("text", "label").mapInArrow(run, "entry string, ones long, zeros long")
               .groupBy("entry").agg(F.sum("ones").alias("ones"), F.sum("zeros").alias("zeros")))
     odds = F.log(((F.col("ones") + 0.5) / (n1 + 1)) / ((F.col("zeros") + 0.5) / (n0 + 1)))
-    best = (counts.filter(F.col("ones") >= min_texts).withColumn("odds", odds).filter("odds > 1.5")
+    best = (counts.filter(F.col("ones") >= max(min_texts, min_share * n1)).withColumn("odds", odds).filter("odds > 2")
             .orderBy((F.col("odds") * F.sqrt("ones")).desc(), "entry").limit(size))
-    return [(r["entry"], r["ones"], r["zeros"]) for r in best.collect()]
+    return [(r["entry"], voter_of(r["entry"], r["odds"] >= np.log(STRONG_ODDS))) for r in best.collect()]
 
 
 class Reader:
     """Reads a text once: the lexicon entries and patterns in it, and the votes."""
 
-    def __init__(self, mined: list[str]):
+    def __init__(self, mined: list[tuple[str, int]]):
         import ahocorasick
         fixed = [(w, g) for g, group in enumerate(WORDS) for w in group]
         groups = dict(fixed)
-        # Nested entries (a word and its beginnings) vote in one group, so that groups are less dependent.
-        for w in mined:
-            groups.setdefault(w, len(WORDS) + sum(map(ord, w[:PREFIXES[0]])) % MINED_GROUPS)
+        for w, voter in mined:
+            groups.setdefault(w, voter)
         self.entries = sorted(groups)
         self.n_features = len(self.entries) + len(PATTERNS)
         automaton = ahocorasick.Automaton()
@@ -148,11 +162,11 @@ class Reader:
         for k, p in enumerate(PATTERNS):
             if p.search(text if k >= 2 else low):
                 found.add(len(self.entries) + k)
-                votes.add(len(WORDS) + MINED_GROUPS + k)
+                votes.add(len(WORDS) + 2 * MINED_GROUPS + k)
         return sorted(found), sorted(votes)
 
 
-def vote_moments(docs: DataFrame, text_col: str, mined: list[str]) -> tuple[float, np.ndarray]:
+def vote_moments(docs: DataFrame, text_col: str, mined: list[tuple[str, int]]) -> tuple[float, np.ndarray]:
     """The number of documents and, for each pair of voters, how many both vote on."""
     def run(batches):
         reader, both, n = Reader(mined), np.zeros((N_VOTERS, N_VOTERS), np.int64), 0
@@ -207,28 +221,37 @@ class LabelModel:
         self.share = 1 / (1 + self.correlated.sum(axis=1))
 
     def posterior(self, votes: np.ndarray, labels: np.ndarray | None = None) -> np.ndarray:
-        """P(toxic) for rows of 0/1 votes; ``labels``: 1, 0 or nan."""
-        on = np.log(self.toxic_rate / self.clean_rate) * self.share
-        off = np.log((1 - self.toxic_rate) / (1 - self.clean_rate)) * self.share
-        z = np.log(self.balance / (1 - self.balance)) + votes @ on + (1 - votes) @ off
+        """P(toxic) for rows of 0/1 votes; ``labels``: 1, 0 or nan.  A voter that
+        does not vote abstains: it says nothing."""
+        on = np.clip(np.log(self.toxic_rate / self.clean_rate), 0, MOST_EVIDENCE) * self.share
+        prior = np.log(self.balance / (1 - self.balance))
+        z = prior + np.minimum(votes @ on, 2 * MOST_EVIDENCE)
         if labels is not None:
-            known = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY)) - np.log(self.balance / (1 - self.balance)) / 2
-            z = z + np.where(np.isnan(labels), 0, np.where(labels == 1, known, -known))
+            known = np.log(LABEL_ACCURACY / (1 - LABEL_ACCURACY))
+            z = z + np.where(np.isnan(labels), 0, np.where(labels == 1, known - prior, -known))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def fit_linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, steps: int = 400,
-               penalty: float = 2e-4) -> tuple[np.ndarray, float]:
+               penalty: float = 2e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on soft targets by accelerated gradient steps."""
-    w, b = np.zeros(x.shape[1]), 0.0
-    pw, pb = w.copy(), b
-    weight = weight / weight.sum()
-    rate = 4.0 / (1 + (weight[:, None] * x * x).sum())
+    weight = (weight / weight.sum()).astype(np.float32)
+    x = np.concatenate((x, np.ones((len(x), 1), np.float32)), axis=1)  # the last weight is the bias
+    v = np.ones(x.shape[1], np.float32)
+    for _ in range(30):  # the largest curvature, by power iteration
+        v = x.T @ (weight * (x @ v))
+        top = float(np.linalg.norm(v))
+        v /= top
+    rate = 1 / (0.26 * top + penalty)
+    keep = np.full(x.shape[1], penalty, np.float32)
+    keep[-1] = 0
+    w = last = np.zeros(x.shape[1], np.float32)
+    target = target.astype(np.float32)
     for t in range(steps):
-        yw, yb = w + t / (t + 3) * (w - pw), b + t / (t + 3) * (b - pb)
-        r = weight * (1 / (1 + np.exp(-np.clip(x @ yw + yb, -30, 30))) - target)
-        pw, pb = w, b
-        w, b = yw - rate * (x.T @ r + penalty * yw), yb - rate * r.sum()
+        y = w + t / (t + 3) * (w - last)
+        r = weight * (1 / (1 + np.exp(-np.clip(x @ y, -30, 30))) - target)
+        last, w = w, (y - rate * (x.T @ r + keep * y)).astype(np.float32)
+    w, b = w[:-1].astype(float), float(w[-1])
     return w, b
 
 
@@ -239,7 +262,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     ship_package(docs.sparkSession)
     out = remainder(F.col(id_col), held_out[0]) == held_out[1]
     sample = labelled_sample(docs, labels, label_col, out, {0: max_negative, 1: max_positive}, id_col, text_col)
-    mined = [w for w, _, _ in mine_lexicon(sample)]
+    mined = mine_lexicon(sample)
     n, both = vote_moments(docs, text_col, mined)
 
     def run(batches):
