@@ -3,7 +3,7 @@
 Typical use::
 
     from kindred.plans.migrate import migrate
-    result = migrate(spark, "s3://bucket/export/*.jsonl", "s3://bucket/typed")
+    result = migrate(spark, "/data/export/*.jsonl", "/data/typed")
 
 or job by job::
 

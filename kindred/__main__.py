@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--source-format", default="jsonl", help="jsonl | json | parquet | any Spark format")
     p.add_argument("--output-format", default="parquet")
     p.add_argument("--mode", default="overwrite")
-    p.add_argument("--exact-join", action="store_true", help="literal catalog-to-document join")
+    p.add_argument("--exact-join", action="store_true", help="run the catalog-to-document join for keys of several kinds")
     p.add_argument("--literal", action="store_true",
                    help="the source SQL's literal behaviour: lists read 'list', _id counted, no ISO expiry")
     p.add_argument("--no-checks", action="store_true")

@@ -15,21 +15,32 @@ from kindred import model
 
 DOC_TYPE = "map<string,variant>"
 
+# The range of a microsecond timestamp: some 292,000 years on both sides of 1970.
+MAX_EPOCH_MILLIS = 9.223372036854e15
+
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def parse(text: Column | str) -> Column:
-    """JSON text -> document map; anything but a JSON object (arrays,
-    scalars, malformed text) gives NULL.
+    """JSON text -> document map; anything but exactly one JSON object
+    (arrays, scalars, malformed text, a second value or any other text behind
+    the first) gives NULL.  The parser by itself stops after the first value,
+    so the text is parsed inside an object that ends with a check number of the
+    text: only a text that is one value on its own leaves that number in place.
 
     A field written twice stays twice in the map, as parsed.  Lookups through
     :func:`get` / :func:`text` with ``unique=False`` and :func:`dedupe` give
     JSONB's answer (the last occurrence wins); :func:`unique_keys` tells which
     documents need that.  Keeping the parse this plain keeps the whole stage
     inside whole-stage code generation (no higher-order functions)."""
-    return F.from_json(_c(text), DOC_TYPE)
+    t = _c(text)
+    check = F.xxhash64(t)
+    wrapped = F.from_json(F.concat(F.lit('{"d":['), t, F.lit('],"e":'), check.cast("string"), F.lit("}")),
+                          f"d array<{DOC_TYPE}>, e bigint")
+    one = F.filter(F.array(wrapped), lambda w: (w["e"] == check) & (F.size(w["d"]) == 1))
+    return F.get(one, F.lit(0))["d"][0]
 
 
 def unique_keys(m: Column | str) -> Column:
@@ -129,9 +140,31 @@ def epoch_millis_to_timestamp(text_col: Column) -> Column:
     the microsecond like ``to_timestamp(ms::double precision / 1000)``.
     Non-numeric, infinite, NaN or out-of-range values give NULL."""
     ms = text_col.try_cast("double")
-    ok = ms.isNotNull() & ~F.isnan(ms) & (F.abs(ms) <= F.lit(253402300799999.0))
+    ok = ms.isNotNull() & ~F.isnan(ms) & (F.abs(ms) <= F.lit(MAX_EPOCH_MILLIS))
     micros = F.bround((ms / F.lit(1000.0)) * F.lit(1000000.0), 0).cast("bigint")
-    return F.when(ok, F.timestamp_micros(micros))
+    # whole milliseconds stay exact also where a double of microseconds is not
+    whole = F.trim(text_col).try_cast("bigint")
+    exact = F.trim(text_col).rlike(r"^[+-]?[0-9]+$")
+    return F.when(ok, F.when(exact, F.timestamp_millis(whole)).otherwise(F.timestamp_micros(micros)))
+
+
+def exact_score(text_col: Column) -> Column:
+    """Numeric text -> score, NULL where the score type does not hold it
+    exactly: too many fraction digits, or (with an exponent) a value that the
+    cast changes."""
+    text_col = F.trim(text_col)
+    score = text_col.try_cast(model.SCORE_TYPE)
+    plain = text_col.rlike(r"^[+-]?[0-9]*\.?[0-9]*$")
+    fraction = F.regexp_extract(text_col, r"\.([0-9]*?)0*$", 1)
+    exact = F.when(plain, F.length(fraction) <= model.SCORE_SCALE) \
+        .otherwise(score.cast("double") == text_col.try_cast("double"))
+    return F.when(exact, score)
+
+
+def is_number(text_col: Column) -> Column:
+    """Text of a finite number."""
+    d = text_col.try_cast("double")
+    return F.coalesce(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), F.lit(False))
 
 
 def expire_timestamp(text_col: Column, iso: bool = True) -> Column:

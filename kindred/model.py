@@ -28,8 +28,10 @@ STORE_ID = "_id"
 # a single-character wildcard, "%" any run).
 IMPORTED_LIKE = "_imported_%:%"
 
-# Unbounded NUMERIC is held as DECIMAL(38,12): 26 integer and 12 fraction digits.
-SCORE_TYPE = T.DecimalType(38, 12)
+# Unbounded NUMERIC is held as DECIMAL(38,18): 20 integer and 18 fraction digits.
+# A number that does not fit exactly is a reject, never rounded.
+SCORE_SCALE = 18
+SCORE_TYPE = T.DecimalType(38, SCORE_SCALE)
 
 # Raw document input: one JSON object per row.
 DOCUMENTS = T.StructType([T.StructField("data", T.StringType(), False)])
@@ -129,6 +131,6 @@ DOMAINS = {
 #   imported     - not in legacy_imported
 DOCUMENT_REASONS = ("not_an_object", "missing_key", "null_key")
 CATALOG_REASONS = ("null_score", "null_value", "bad_expire")
-CHILD_REASONS = ("bad_score", "null_payload", "members_not_array",
+CHILD_REASONS = ("bad_score", "inexact_score", "null_payload", "members_not_array",
                  "null_member", "array_not_array")
 IMPORTED_REASONS = ("bad_imported_key", "bad_imported_type", "bad_imported_id")

@@ -138,10 +138,22 @@ _ORDERABLE = ("string", "boolean", "tinyint", "smallint", "int", "bigint", "floa
               "timestamp", "timestamp_ntz", "date")
 
 
-def profile(df: DataFrame, approx_distinct: bool = True) -> DataFrame:
+def profile(df: DataFrame, approx_distinct: bool = True, distinct: str | None = None) -> DataFrame:
     """Per-column statistics in one aggregation pass:
     ``(column_name, n_rows, n_nulls, min_value, max_value[, approx_distinct])``.
-    min/max are given for orderable scalar columns, as text."""
+    min/max are given for orderable scalar columns, as text.
+    ``distinct="exact"`` counts distinct values exactly (``n_distinct``, null
+    for documents): one more aggregation per column, without an Expand that
+    would multiply the rows."""
+    if distinct == "exact":
+        base = profile(df, approx_distinct=False)
+        counts = [df.select(F.col(f"`{f.name}`").alias("v")).distinct()
+                  .agg(F.count("v").alias("n_distinct")).select(F.lit(f.name).alias("column_name"), "n_distinct")
+                  for f in df.schema.fields if f.dataType.typeName() not in ("variant", "map")]
+        found = counts[0]
+        for c in counts[1:]:
+            found = found.unionByName(c)
+        return base.join(F.broadcast(found), "column_name", "left")  # a row per column
     aggs, cols = [F.count(F.lit(1)).alias("__n")], []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")

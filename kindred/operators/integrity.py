@@ -94,7 +94,7 @@ def orphans(children: dict[str, DataFrame], catalog: DataFrame) -> DataFrame:
     Children are first reduced to one row per ``(_key, type)`` (combined
     map-side), so the anti join compares keys with keys: a sorted set holding
     a third of all rows enters the join as one row."""
-    parent = catalog.select("_key", "type")
+    parent = catalog.select("_key", "type").distinct()
     parts = [df.groupBy("_key", "type").agg(F.count(F.lit(1)).alias("n_rows"))
              .join(parent, ["_key", "type"], "left_anti")
              .select(F.lit(name).alias("table_name"), "_key", "type", "n_rows")
@@ -153,6 +153,9 @@ def mixed_kind_keys(st: DataFrame) -> DataFrame:
 
 # --- cascades ----------------------------------------------------------------
 
+_ON = ["_key", "type"]
+
+
 def cascade_delete(catalog: DataFrame, children: dict[str, DataFrame],
                    predicate: Column, hot_threshold: int = skew.HOT_THRESHOLD
                    ) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -162,35 +165,56 @@ def cascade_delete(catalog: DataFrame, children: dict[str, DataFrame],
     The deleted set can be as large as the catalog (e.g. purging expired
     objects), so children are filtered with a shuffle anti join, never a
     collected key list; a child key holding more than ``hot_threshold`` rows
-    goes through a broadcast of its few deleted-key rows instead
-    (:func:`kindred.operators.skew.split_hot_join`)."""
+    goes through a broadcast of its one deleted-key row instead
+    (:func:`kindred.operators.skew.split_hot_join`).  Deleted keys are made
+    distinct first, so the broadcast holds at most one row per hot key."""
     hit = F.coalesce(predicate, F.lit(False))
-    deleted = catalog.where(hit).select("_key", "type")
+    deleted = catalog.where(hit).select(*_ON).distinct()
     kept = catalog.where(~hit)
-    out = {name: skew.split_hot_join(df, deleted, ["_key", "type"], "left_anti", hot_threshold)
-           for name, df in children.items()}
-    return kept, out
+    hot = skew.hot_keys([df.select(*_ON) for df in children.values()], _ON, hot_threshold)
+    return kept, {name: skew.split_hot_join(df, deleted, _ON, "left_anti", hot) for name, df in children.items()}
+
+
+def rename_conflicts(catalog: DataFrame, mapping: DataFrame) -> DataFrame:
+    """What a rename by ``mapping(_key, new_key)`` cannot carry out:
+    ``(_key, type, new_key, reason)``.
+
+    * ``ambiguous``: the key has several new keys;
+    * ``collision``: another object has, or would get, the same new
+      ``(key, type)``; an object that is itself renamed away does not count.
+    """
+    pairs = mapping.select("_key", "new_key").distinct()
+    n = pairs.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    objects = catalog.select(*_ON).distinct().join(pairs, "_key").join(n, "_key")
+    ambiguous = objects.where(F.col("_n") > 1).select(*_ON, "new_key", F.lit("ambiguous").alias("reason"))
+    clear = objects.where(F.col("_n") == 1).select(*_ON, "new_key")
+    # every place that is or would be taken: renamed objects at their new key, others where they are
+    moved = clear.select(F.col("new_key").alias("_at"), F.col("type").alias("_t"), F.lit(1).alias("_in"))
+    stay = (catalog.select(*_ON).distinct().join(clear.select(*_ON), _ON, "left_anti")
+            .select(F.col("_key").alias("_at"), F.col("type").alias("_t"), F.lit(1).alias("_in")))
+    full = moved.unionByName(stay).groupBy("_at", "_t").agg(F.sum("_in").alias("_n")).where(F.col("_n") > 1)
+    collision = (clear.join(full, (F.col("new_key") == F.col("_at")) & (F.col("type") == F.col("_t")))
+                 .where(F.col("_key") != F.col("new_key"))
+                 .select(*_ON, "new_key", F.lit("collision").alias("reason")))
+    return ambiguous.unionByName(collision)
 
 
 def cascade_rename(catalog: DataFrame, children: dict[str, DataFrame],
                    mapping: DataFrame, hot_threshold: int = skew.HOT_THRESHOLD
                    ) -> tuple[DataFrame, dict[str, DataFrame]]:
     """I8 (ON UPDATE CASCADE): rename catalog keys by ``mapping(_key, new_key)``
-    (one new key per key) and carry the new key to child rows with the same
-    ``(_key, type)``; hot child keys join by broadcast as in
-    :func:`cascade_delete`."""
-    m = mapping.select("_key", "new_key").dropDuplicates(["_key"])
-    cat = catalog.join(m, "_key", "left")
-    renamed = (cat.select(F.coalesce("new_key", "_key").alias("_key"), "type", "expireAt"))
-    # one move per (_key, type), even where the catalog repeats a pair (I5),
-    # so that no child row is multiplied
-    moves = (cat.where(F.col("new_key").isNotNull()).select("_key", "type", "new_key")
-             .dropDuplicates(["_key", "type"]))
+    and carry the new key to child rows with the same ``(_key, type)``; hot
+    child keys join by broadcast as in :func:`cascade_delete`.  An object with
+    a conflict (:func:`rename_conflicts`) keeps its key."""
+    pairs = mapping.select("_key", "new_key").distinct()
+    conflicts = rename_conflicts(catalog, mapping).select(*_ON).distinct()
+    moves = (catalog.select(*_ON).distinct().join(pairs, "_key").join(conflicts, _ON, "left_anti")
+             .select(*_ON, "new_key"))  # one per (_key, type)
+    hot = skew.hot_keys([df.select(*_ON) for df in [catalog, *children.values()]], _ON, hot_threshold)
 
     def _move(df: DataFrame) -> DataFrame:
-        cols = df.columns
-        j = skew.split_hot_join(df, moves, ["_key", "type"], "left", hot_threshold)
+        j = skew.split_hot_join(df, moves, _ON, "left", hot)
         return j.select(*[F.coalesce("new_key", "_key").alias("_key") if c == "_key" else F.col(c)
-                          for c in cols])
+                          for c in df.columns])
 
-    return renamed, {name: _move(df) for name, df in children.items()}
+    return _move(catalog), {name: _move(df) for name, df in children.items()}

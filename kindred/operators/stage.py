@@ -110,10 +110,11 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     expire_bad = c("expire_text").isNotNull() & c("expire_at").isNull()
     with_time = base.select(
         *base.columns,
-        c("score_text").try_cast(model.SCORE_TYPE).alias("score"),
+        J.exact_score(c("score_text")).alias("score"),
+        J.is_number(c("score_text")).alias("numeric"),
         expire_at.alias("expire_at"))
     routed = with_time.select(
-        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
+        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score", "numeric",
                          "expire_at", "imported", "doc_reason")],
         F.when(candidate & ~expire_bad,
                F.when(zset_ok, F.lit("zset")).otherwise(c("plain_kind"))).alias("kind"),
@@ -135,7 +136,8 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
         F.when(kind == "list", items).alias("items"))
 
     child_reason = (
-        F.when((kind == "zset") & c("score").isNull(), F.lit("bad_score"))
+        F.when((kind == "zset") & c("score").isNull(),
+               F.when(c("numeric"), F.lit("inexact_score")).otherwise(F.lit("bad_score")))
         .when((kind == "string") & c("payload").isNull(), F.lit("null_payload"))
         .when((kind == "set") & c("members").isNull(), F.lit("members_not_array"))
         .when((kind == "set") & J.has_null(c("members")), F.lit("null_member"))

@@ -3,8 +3,8 @@
 Default mode is join-free: a child is a filter + projection of the stage,
 with no shuffle.  That equals the source's catalog-to-document join whenever
 every key has a single kind and plain keys are unique (I2); both are reported
-by :mod:`kindred.operators.integrity`.  ``exact_*`` functions run the literal
-join for inputs where those checks fail.
+by :mod:`kindred.operators.integrity`.  :class:`Joined` and the ``exact_*``
+functions run the join for inputs where those checks fail.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kindred import model
 from kindred.functions import jsondoc as J
-from kindred.operators import skew
+from kindred.operators.stage import materialize
 
 
 def _kind(t: str):
@@ -121,80 +121,134 @@ def children(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> dict[str, Da
     }
 
 
-# --- literal join mode -------------------------------------------------------
+# --- join mode ---------------------------------------------------------------
 
-def _joined(catalog: DataFrame, st: DataFrame, t: str) -> DataFrame:
-    """Catalog keys of type ``t`` joined to *every* document with that key, as
-    the source SQL does (so documents of another kind under the same key
-    leak in).  The catalog side is reduced to distinct keys first: the
-    literal join would pair each of k duplicate catalog rows with each of k
-    documents (k*k rows); duplicates are reported by the key checks
-    instead.  A shuffle join on ``_key``; hot keys go by broadcast
-    (:func:`kindred.operators.skew.split_hot_join`)."""
+# Broadcast bound of the join mode: mixed keys (a catalog holds at most five rows of each).
+MAX_MIXED_KEYS = 100_000
+
+
+def mixed_keys(st: DataFrame) -> DataFrame:
+    """Keys whose documents do not all have the same kind (no kind counts as
+    one): the only keys for which the catalog-to-document join gives anything
+    but the join-free child.  Stored; two aggregations of scalars, no document
+    is read.  Refuses a stage that has not kept every document."""
     _require_all_documents(st)
-    keys = catalog.where(F.col("type") == t).select("_key").distinct()
-    docs = st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", "m")
-    return skew.split_hot_join(docs, keys, ["_key"], "inner")
+    kinds = (st.where(F.col("_key").isNotNull() & (F.col("reason").isNull() | ~F.col("reason").isin(*model.DOCUMENT_REASONS)))
+             .select("_key", F.coalesce("kind", F.lit("-")).alias("_kind")).distinct())
+    mixed = kinds.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select("_key")
+    return materialize(st.sparkSession, mixed, "mixed-keys")
 
 
 def _require_all_documents(st: DataFrame) -> None:
-    """The literal join reads every document; a stage built with
-    ``keep_documents="needed"`` has dropped some.  The stage's constant
-    ``all_docs`` column says which (one row is read), so this is an error
-    instead of a silently short table."""
-    first = st.select("all_docs").limit(1).collect()
-    if first and not first[0]["all_docs"]:
-        raise ValueError("exact-join mode needs a stage built with keep_documents='all'")
+    """The join reads every document of a mixed key; a stage built with
+    ``keep_documents="needed"`` has dropped some.  The stage's ``all_docs``
+    column says which; one aggregation reads that column of every row."""
+    if st.agg(F.min("all_docs").alias("a")).first()["a"] is False:
+        raise ValueError("the join mode needs a stage built with keep_documents='all'")
 
 
-def _t(name: str) -> F.Column:
-    return J.text("m", name)
+def _small(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """``df``, at most five rows per mixed key, broadcast if the keys are few enough."""
+    return F.broadcast(df) if keys.limit(MAX_MIXED_KEYS + 1).count() <= MAX_MIXED_KEYS else df
 
 
-def exact_legacy_hash(catalog: DataFrame, st: DataFrame, drop_fields: tuple[str, ...] = DROP
-                      ) -> DataFrame:
-    return (_joined(catalog, st, "hash")
-            .select("_key", _hash_data(drop_fields).alias("data"), F.lit("hash").alias("type")))
+class Joined:
+    """The child tables as the catalog-to-document join gives them: every
+    document whose key the catalog has under the table's type, so documents of
+    another kind under the same key are included.
+
+    Keys of one kind keep the join-free child; only documents of mixed keys are
+    joined, with distinct catalog keys, by broadcast while the mixed keys are at
+    most ``MAX_MIXED_KEYS`` (no document is shuffled then).  Rows that a NOT
+    NULL column would refuse are in :meth:`rejects`."""
+
+    def __init__(self, catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY,
+                 drop_fields: tuple[str, ...] = DROP, mixed: DataFrame | None = None):
+        self.st, self.list_field, self.drop_fields = st, list_field, drop_fields
+        self.mixed = mixed_keys(st) if mixed is None else mixed
+        types = catalog.select("_key", "type").distinct().join(self.mixed, "_key", "left_semi")
+        self.types = materialize(st.sparkSession, types, "mixed-types")
+
+    def _plain(self, child: DataFrame) -> DataFrame:
+        return child.join(_small(self.mixed, self.mixed), "_key", "left_anti")
+
+    def _docs(self, t: str, *columns: str) -> DataFrame:
+        """Documents of the mixed keys that the catalog has as ``t``."""
+        keys = self.types.where(F.col("type") == t).select("_key")
+        docs = self.st.where(F.col("_key").isNotNull() & F.col("m").isNotNull()).select("_key", *columns)
+        return docs.join(_small(keys, self.mixed), "_key", "left_semi")
+
+    def _items(self) -> F.Column:
+        return (F.when(~J.has("m", self.list_field), F.array().cast("array<string>"))
+                .otherwise(J.elements_text("m", self.list_field)))
+
+    def _strings(self) -> DataFrame:
+        payload = F.when(J.has("m", model.VALUE), J.text("m", model.VALUE)).otherwise(J.text("m", model.DATA))
+        return self._docs("string", "m").select("_key", payload.alias("data"))
+
+    def legacy_hash(self) -> DataFrame:
+        more = self._docs("hash", "m").select("_key", _hash_data(self.drop_fields).alias("data"), F.lit("hash").alias("type"))
+        return self._plain(legacy_hash(self.st, self.drop_fields)).unionByName(more)
+
+    def legacy_zset(self) -> DataFrame:
+        more = (self._docs("zset", "value", "score").where(F.col("value").isNotNull() & F.col("score").isNotNull())
+                .select("_key", "value", "score", F.lit("zset").alias("type")))
+        return self._plain(legacy_zset(self.st)).unionByName(more)
+
+    def legacy_set(self) -> DataFrame:
+        more = (self._docs("set", "m").select("_key", F.explode(J.elements_text("m", model.MEMBERS)).alias("member"))
+                .where(F.col("member").isNotNull()).select("_key", "member", F.lit("set").alias("type")))
+        return self._plain(legacy_set(self.st)).unionByName(more)
+
+    def legacy_list(self) -> DataFrame:
+        more = (self._docs("list", "m").select("_key", self._items().alias("array"), F.lit("list").alias("type"))
+                .where(F.col("array").isNotNull()))
+        return self._plain(legacy_list(self.st)).unionByName(more)
+
+    def legacy_string(self) -> DataFrame:
+        more = self._strings().where(F.col("data").isNotNull()).select("_key", "data", F.lit("string").alias("type"))
+        return self._plain(legacy_string(self.st)).unionByName(more)
+
+    def children(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name)() for name in model.CHILD_KIND}
+
+    def rejects(self) -> DataFrame:
+        """``(_key, table_name, reason)``: joined documents of mixed keys that a
+        child table cannot hold, besides :func:`rejects` of the stage."""
+        members = J.elements_text("m", model.MEMBERS)
+
+        def row(df: DataFrame, t: str, reason: F.Column) -> DataFrame:
+            return (df.select("_key", F.lit(f"legacy_{t}").alias("table_name"), reason.alias("reason"))
+                    .where(F.col("reason").isNotNull()))
+
+        score = (F.when(F.col("value").isNull(), F.lit("null_value")).when(F.col("score").isNull(), F.lit("bad_score")))
+        return (row(self._docs("zset", "m", "value", "score"), "zset", score)
+                .unionByName(row(self._docs("set", "m"), "set", F.when(members.isNull(), F.lit("members_not_array"))
+                                 .when(J.has_null(members), F.lit("null_member"))))
+                .unionByName(row(self._docs("list", "m"), "list", F.when(self._items().isNull(), F.lit("array_not_array"))))
+                .unionByName(row(self._strings(), "string", F.when(F.col("data").isNull(), F.lit("null_payload")))))
+
+
+def exact_legacy_hash(catalog: DataFrame, st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataFrame:
+    return Joined(catalog, st, drop_fields=drop_fields).legacy_hash()
 
 
 def exact_legacy_zset(catalog: DataFrame, st: DataFrame) -> DataFrame:
-    # The stage already holds every document's value text and parsed score,
-    # so only those scalars cross the join, not the documents.
-    keys = catalog.where(F.col("type") == "zset").select("_key").distinct()
-    docs = (st.where(F.col("_key").isNotNull() & F.col("value").isNotNull() & F.col("score").isNotNull())
-            .select("_key", "value", "score"))
-    return (skew.split_hot_join(docs, keys, ["_key"], "inner")
-            .select("_key", "value", "score", F.lit("zset").alias("type")))
+    return Joined(catalog, st).legacy_zset()
 
 
 def exact_legacy_set(catalog: DataFrame, st: DataFrame) -> DataFrame:
-    return (_joined(catalog, st, "set")
-            .select("_key", F.explode(J.elements_text("m", model.MEMBERS)).alias("member"))
-            .where(F.col("member").isNotNull())
-            .select("_key", "member", F.lit("set").alias("type")))
+    return Joined(catalog, st).legacy_set()
 
 
 def exact_legacy_list(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY) -> DataFrame:
-    items = (F.when(~J.has("m", list_field), F.array().cast("array<string>"))
-             .otherwise(J.elements_text("m", list_field)))
-    return (_joined(catalog, st, "list")
-            .select("_key", items.alias("array"), F.lit("list").alias("type"))
-            .where(F.col("array").isNotNull()))
+    return Joined(catalog, st, list_field).legacy_list()
 
 
 def exact_legacy_string(catalog: DataFrame, st: DataFrame) -> DataFrame:
-    payload = F.when(J.has("m", model.VALUE), _t(model.VALUE)).otherwise(_t(model.DATA))
-    return (_joined(catalog, st, "string")
-            .select("_key", payload.alias("data"), F.lit("string").alias("type"))
-            .where(F.col("data").isNotNull()))
+    return Joined(catalog, st).legacy_string()
 
 
 def exact_children(catalog: DataFrame, st: DataFrame, list_field: str = model.ARRAY,
                    drop_fields: tuple[str, ...] = DROP) -> dict[str, DataFrame]:
-    return {
-        "legacy_hash": exact_legacy_hash(catalog, st, drop_fields),
-        "legacy_zset": exact_legacy_zset(catalog, st),
-        "legacy_set": exact_legacy_set(catalog, st),
-        "legacy_list": exact_legacy_list(catalog, st, list_field),
-        "legacy_string": exact_legacy_string(catalog, st),
-    }
+    return Joined(catalog, st, list_field, drop_fields).children()

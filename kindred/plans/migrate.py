@@ -9,10 +9,12 @@ Jobs and their shuffles:
 * stage                   map-only (parse + classify), one write
 * legacy_object           one shuffle on ``_key`` (MIN per sorted set,
                           combined map-side)
-* children, imported,     map-only, each reads only its ``kind=`` folder of
-  rejects                 the stage and only its columns
-* exact-join children     shuffle join catalog x documents on ``_key``
-                          (only with ``exact_join=True``)
+* children                map-only, each reads only its ``kind=`` folder of
+                          the stage and only its columns
+* imported, rejects       map-only; they filter on other columns and read those
+                          columns of every folder
+* joined children         only with ``exact_join=True``: documents of keys with
+                          several kinds joined with the catalog
 * checks                  group-by counts (map-side combined) and anti joins
 
 Independent writes are submitted from a small thread pool so that short
@@ -75,19 +77,31 @@ def _write(df: DataFrame, path: str, fmt: str, mode: str, keys: tuple[str, ...]
 
 
 def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: str,
+            *args, keep_stage: bool = False, **options) -> MigrationResult:
+    """:func:`_migrate`, with the staged table deleted at the end, also when a
+    job fails, unless ``keep_stage``."""
+    stage_path = scratch_path(spark, "stage")
+    try:
+        return _migrate(spark, stage_path, source, target, *args, **options)
+    finally:
+        if not keep_stage:
+            S.delete_path(spark, stage_path)
+
+
+def _migrate(spark: SparkSession, stage_path: str, source: str | list[str] | DataFrame, target: str,
             source_format: str = "jsonl", output_format: str = "parquet",
             mode: str = "overwrite", exact_join: bool = False,
             list_field: str = model.ARRAY, drop_fields: tuple[str, ...] = (model.STORE_ID,),
             iso_expire: bool = True, checks: bool = True, cluster: bool = False,
             partition_catalog_by_type: bool = False, on_error: str = "reject",
-            parallel_writes: int = 4, keep_stage: bool = False,
+            parallel_writes: int = 4,
             output_options: dict[str, str] | None = None, documents_as: str = "variant",
             **read_options: str) -> MigrationResult:
     """Run the whole migration and write every table below ``target``.
 
     ``source`` is a path (read with ``source_format``) or a DataFrame with a
-    ``data`` column.  ``exact_join`` runs the literal catalog-to-document join
-    for the children.  ``cluster`` range-partitions and sorts each table on its
+    ``data`` column.  ``exact_join`` runs the catalog-to-document join for the
+    children and writes what it cannot place to ``join_rejects``.  ``cluster`` range-partitions and sorts each table on its
     primary key (file skipping on key lookups); ``partition_catalog_by_type``
     writes the catalog in ``type=`` folders.  ``on_error='fail'`` raises if
     any document is rejected, after the rejects are written.
@@ -100,7 +114,6 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
     target = target.rstrip("/")
     docs = (source if isinstance(source, DataFrame)
             else read_documents(spark, source, source_format, **read_options))
-    stage_path = scratch_path(spark, "stage")
     # the join-free jobs read documents only for hashes and imported records
     st = S.stage(spark, docs, path=stage_path, list_field=list_field,
                  drop_fields=drop_fields, iso_expire=iso_expire,
@@ -133,8 +146,9 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
         # the catalog feeds five joins: write it first, join against the file
         run({"legacy_object": (catalog, pk["legacy_object"], cat_parts)}, res.tables)
         catalog = load("legacy_object")
-        kids = TB.exact_children(catalog, st, list_field, drop_fields)
-        jobs = {}
+        joined = TB.Joined(catalog, st, list_field, drop_fields)
+        kids = joined.children()
+        jobs = {"join_rejects": (joined.rejects(), None, ())}
     else:
         kids = TB.children(st, drop_fields)
         jobs = {"legacy_object": (catalog, pk["legacy_object"], cat_parts)}
@@ -174,8 +188,6 @@ def migrate(spark: SparkSession, source: str | list[str] | DataFrame, target: st
             res.violations[n] = load_check(n).count()
 
     n_rejects = load("rejects").count() if on_error == "fail" else 0
-    if not keep_stage:
-        S.delete_path(spark, stage_path)
     if n_rejects:
         raise RejectedDocuments(f"{n_rejects} rejected rows, see {res.tables['rejects']}")
     return res

@@ -6,8 +6,8 @@ scale factor, and runs one job of the package.  Outputs are projected to
 oracle-friendly columns: timestamps as epoch millis, scores as DOUBLE, VARIANT
 documents exploded to ``(field, value)`` text rows, lists to ``(pos, item)``.
 
-The DuckDB twins re-state the source SQL directly - including the literal
-catalog-to-document joins - over the same documents, so they check the
+The DuckDB twins state the rules of SURVEY section 2 as one SQL query over the
+same documents - with the catalog-to-document joins - so they check the
 join-free Spark plans as well as the routing rules.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from kindred import model
 from kindred.operators import access, catalog as C, integrity as I, stage as S, tables as TB
 from kindred.session import scratch_path
-from kindred.sources.documents import read_documents
+from kindred.sources.documents import read_documents, write_array
 from kindred.sources.fixtures import duckdb_objects_sql, export_fixture
 
 # Fixed parameters of the registered queries (epoch millis, UTC).
@@ -33,6 +33,7 @@ TOP_N = 3
 NEXT_N = 10
 SCORE_LO, SCORE_HI = 100, 200
 RENAME_FROM, RENAME_TO = ":orders", ":purchases"
+LOOKUP_FROM, LOOKUP_TO = "customer:1", "customer:2"
 
 _EXPORTS: dict[tuple[str, str], str] = {}
 _STAGES: dict[tuple[str, str], DataFrame] = {}
@@ -138,10 +139,6 @@ def q_live_objects(spark, sf):
     return TB.live_objects(C.legacy_object(staged(spark, sf)), AS_OF_MS)
 
 
-def q_sessions_empty(spark, sf):
-    return TB.sessions_empty(spark)
-
-
 def q_rejects(spark, sf):
     return TB.rejects(staged(spark, sf)).select("_key", "reason")
 
@@ -162,18 +159,35 @@ def q_dup_key_type(spark, sf):
     return I.dup_key_type(C.legacy_object(staged(spark, sf)))
 
 
+def _dirty_children(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    """The child tables with rows no migration would write, taken from tables
+    of the same scale factor: parents that do not exist, missing values and
+    types outside the domain (checks of loaded tables must find these)."""
+    kids = _children(staged(spark, sf))
+    supplier = spark.read.parquet(f"{sf}/supplier.parquet")
+    customer = spark.read.parquet(f"{sf}/customer.parquet")
+    strings = supplier.selectExpr(
+        "concat('ghost:', s_suppkey) as _key", "case when s_acctbal >= 0 then s_name end as data",
+        "case when s_nationkey < 10 then 'string' when s_nationkey < 20 then 'text' end as type")
+    zsets = customer.selectExpr(
+        "concat('ghosts:', c_nationkey) as _key", "case when c_acctbal >= 0 then c_name end as value",
+        f"cast(c_custkey as {model.SCORE_TYPE.simpleString()}) as score",
+        "case when c_mktsegment = 'BUILDING' then 'hash' else 'zset' end as type")
+    return {**kids, "legacy_string": kids["legacy_string"].unionByName(strings),
+            "legacy_zset": kids["legacy_zset"].unionByName(zsets)}
+
+
 def q_orphans(spark, sf):
-    st = staged(spark, sf)
-    return I.orphans(_children(st), C.legacy_object(st))
+    return I.orphans(_dirty_children(spark, sf), C.legacy_object(staged(spark, sf)))
 
 
 def q_null_violations(spark, sf):
-    tables = _all_tables(staged(spark, sf))
+    tables = {**_all_tables(staged(spark, sf)), **_dirty_children(spark, sf)}
     return I._union([I.null_violations(df, table=name) for name, df in tables.items()])
 
 
 def q_domain_violations(spark, sf):
-    tables = _all_tables(staged(spark, sf))
+    tables = {**_all_tables(staged(spark, sf)), **_dirty_children(spark, sf)}
     return I._union([I.domain_violations(df, model.DOMAINS[name], name)
                      for name, df in tables.items()])
 
@@ -266,7 +280,7 @@ def q_missing_keys(spark, sf):
 
 
 def q_type_violations(spark, sf):
-    return I.type_violations(_children(staged(spark, sf)))
+    return I.type_violations(_dirty_children(spark, sf))
 
 
 def q_exact_join_string(spark, sf):
@@ -286,6 +300,68 @@ def q_exact_join_list(spark, sf):
             .select("_key", (F.col("pos") + 1).cast("bigint").alias("pos"), "item"))
 
 
+def _conflicting_mapping(cat: DataFrame) -> DataFrame:
+    """Renames that partly conflict: every order set gets a new key, those of
+    customers ending in 1 a second one, those ending in 2 all the same, those
+    ending in 3 the key of a set that exists."""
+    sets = cat.where((F.col("type") == "zset") & F.col("_key").endswith(RENAME_FROM)).select("_key").distinct()
+    stem = f"left(_key, length(_key) - {len(RENAME_FROM)})"
+    return sets.selectExpr("_key", f"explode(case when {stem} like '%1' then array({stem} || '{RENAME_TO}', {stem} || ':archive')"
+                           f" when {stem} like '%2' then array('all{RENAME_TO}')"
+                           f" when {stem} like '%3' then array('user:1:types')"
+                           f" else array({stem} || '{RENAME_TO}') end) as new_key")
+
+
+def q_rename_conflicts(spark, sf):
+    cat = C.legacy_object(staged(spark, sf))
+    return I.rename_conflicts(cat, _conflicting_mapping(cat))
+
+
+def q_join_rejects(spark, sf):
+    st = staged(spark, sf)
+    return TB.Joined(C.legacy_object(st), st).rejects()
+
+
+def q_array_documents(spark, sf):
+    """K3: the collection written as two-blank arrays, read back and staged."""
+    path = scratch_path(spark, "array")
+    write_array(read_documents(spark, exported(spark, sf), "parquet"), path)
+    st = S.stage(spark, read_documents(spark, path, "json"))
+    return (TB.rejects(st).select(F.lit("rejects").alias("part"), "reason")
+            .unionByName(C.legacy_object(st).select(F.lit("catalog").alias("part"), F.col("type").alias("reason")))
+            .groupBy("part", "reason").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_migrated_tables(spark, sf):
+    """The whole migration, its tables read back."""
+    from kindred.plans.migrate import migrate
+    res = migrate(spark, exported(spark, sf), scratch_path(spark, "migrated"), "parquet", checks=False)
+    def back(name: str) -> DataFrame:
+        return spark.read.parquet(res.tables[name])
+    parts = [back(n).select(F.lit(n).alias("table_name"), "_key", F.col("type").cast("string").alias("type"))
+             for n in ("legacy_object", *model.CHILD_KIND)]
+    parts.append(back("legacy_imported").select(F.lit("legacy_imported").alias("table_name"),
+                                                F.col("id").cast("string").alias("_key"), "type"))
+    parts.append(back("rejects").select(F.lit("rejects").alias("table_name"), "_key", F.col("reason").alias("type")))
+    return I._union(parts).groupBy("table_name", "_key", "type").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def q_clustered_lookup(spark, sf):
+    """The sorted sets clustered by key, written, and one range of keys read back."""
+    path = scratch_path(spark, "clustered")
+    access.write_clustered(TB.legacy_zset(staged(spark, sf)), path, ["_key", "value"])
+    back = spark.read.parquet(path)
+    return _zset_out(back.where((F.col("_key") >= LOOKUP_FROM) & (F.col("_key") < LOOKUP_TO)))
+
+
+def q_profile_tables(spark, sf):
+    """Statistics of every populated table, distinct values counted exactly."""
+    tables = _all_tables(staged(spark, sf))
+    return I._union([access.profile(df, distinct="exact").withColumn("table_name", F.lit(name))
+                     .select("table_name", "column_name", "n_rows", "n_nulls", "n_distinct")
+                     for name, df in tables.items()])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_object": q_legacy_object,
     "zset_objects": q_zset_objects,
@@ -298,7 +374,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "legacy_string": q_legacy_string,
     "legacy_imported": q_legacy_imported,
     "live_objects": q_live_objects,
-    "sessions_empty": q_sessions_empty,
     "rejects": q_rejects,
     "dup_plain_keys": q_dup_plain_keys,
     "dup_key_value": q_dup_key_value,
@@ -325,6 +400,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exact_join_list": q_exact_join_list,
     "missing_keys": q_missing_keys,
     "type_violations": q_type_violations,
+    "rename_conflicts": q_rename_conflicts,
+    "join_rejects": q_join_rejects,
+    "array_documents": q_array_documents,
+    "migrated_tables": q_migrated_tables,
+    "clustered_lookup": q_clustered_lookup,
+    "profile_tables": q_profile_tables,
 }
 
 
@@ -340,6 +421,11 @@ _PLAIN_KIND = (
     f" when {_has('array')} then 'list' when {_has('members')} then 'set' else 'hash' end"
     " else 'hash' end")
 
+# What the engine's score type holds exactly, stated on the text and a double.
+_SCORE_OK = ("(sd is not null and abs(sd) < 1e20 and case when regexp_full_match(st, '[+-]?[0-9]*[.]?[0-9]*')"
+             " then length(regexp_extract(st, '[.]([0-9]*?)0*$', 1)) <= 18"
+             " else try_cast(format('{:.18f}', sd) as double) = sd end)")
+
 _IMPORTED_TYPES_SQL = ", ".join("'" + t + "'" for t in model.IMPORTED_TYPES)
 
 # The routing, restated over the same documents: catalog and children as in
@@ -372,7 +458,8 @@ d as (
 ),
 dt as (
   select *,
-         coalesce(to_timestamp(try_cast(et as double) / 1000), try_cast(et as timestamptz)) as e,
+         coalesce(case when abs(try_cast(et as bigint)) < 9000000000000000 then make_timestamptz(try_cast(et as bigint) * 1000) end,
+                  to_timestamp(try_cast(et as double) / 1000), try_cast(et as timestamptz)) as e,
          et is not null and try_cast(et as double) is null and try_cast(et as timestamptz) is null as bad_exp,
          doc_reason is null and ((has_score and v is not null and s is not null)
                                  or (not has_score and not imp)) as candidate
@@ -394,9 +481,13 @@ legacy_object as (
 legacy_hash as (
   select k as _key, data, 'hash' as type from routed where kind = 'hash'
 ),
+scored as (
+  -- scores as text: exact if they have at most 18 fraction digits and 20 integer digits
+  select *, trim(s, ' ') as st, try_cast(trim(s, ' ') as double) as sd from routed
+),
 legacy_zset as (
-  select k as _key, v as value, try_cast(s as decimal(38,12)) as score, 'zset' as type
-  from routed where kind = 'zset' and try_cast(s as decimal(38,12)) is not null
+  select k as _key, v as value, sd as score, st as score_text, 'zset' as type
+  from scored where kind = 'zset' and {_SCORE_OK}
 ),
 legacy_set as (
   select * from (
@@ -438,6 +529,20 @@ def _sql(body: str) -> str:
     return "with " + _BASE.strip() + "\n" + body.strip()
 
 
+# The child tables with the rows that _dirty_children adds.
+_DIRTY = """
+, dirty_string as (
+  select _key, data, type from legacy_string union all
+  select 'ghost:' || s_suppkey, case when s_acctbal >= 0 then s_name end,
+         case when s_nationkey < 10 then 'string' when s_nationkey < 20 then 'text' end from supplier),
+dirty_zset as (
+  select _key, value, score, type from legacy_zset union all
+  select 'ghosts:' || c_nationkey, case when c_acctbal >= 0 then c_name end, c_custkey::double,
+         case when c_mktsegment = 'BUILDING' then 'hash' else 'zset' end from customer)
+"""
+_DIRTY_OF = {"legacy_string": "dirty_string", "legacy_zset": "dirty_zset"}
+
+
 def _ms_sql(c: str) -> str:
     return f"epoch_ms({c}) as {c}_ms"
 
@@ -451,14 +556,15 @@ select k as _key,
        when has_score and not imp and s is null then 'null_score'
        when has_score and not imp and v is null then 'null_value'
        when candidate and bad_exp then 'bad_expire'
-       when kind = 'zset' and try_cast(s as decimal(38,12)) is null then 'bad_score'
+       when kind = 'zset' and (sd is null or isnan(sd) or isinf(sd)) then 'bad_score'
+       when kind = 'zset' and not """ + _SCORE_OK + """ then 'inexact_score'
        when kind = 'string' and payload is null then 'null_payload'
        when kind = 'set' and json_type(data->'members') <> 'ARRAY' then 'members_not_array'
        when kind = 'set' and list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),
                                                           lambda x: x is null), true) then 'null_member'
        when kind = 'list' and json_type(data->'array') <> 'ARRAY' then 'array_not_array'
   end as reason
-from routed where reason is not null
+from scored where reason is not null
 union all
 select k as _key, imp_reason as reason from imp where imp_reason is not null
 """
@@ -500,7 +606,7 @@ def _null_sql() -> str:
     for name, schema in model.SCHEMAS.items():
         if name == "session":
             continue
-        src = name if name != "legacy_list" else "(select _key, arr as array, type from legacy_list)"
+        src = _DIRTY_OF.get(name, name) if name != "legacy_list" else "(select _key, arr as array, type from legacy_list)"
         for f in schema.fields:
             if not f.nullable:
                 parts.append(f"select '{name}' as table_name, '{f.name}' as column_name,"
@@ -514,7 +620,7 @@ def _domain_sql() -> str:
         for col, allowed in doms.items():
             lst = ", ".join("'" + a + "'" for a in allowed)
             parts.append(f"select '{name}' as table_name, '{col}' as column_name, {col}::varchar as value,"
-                         f" count(*)::bigint as n from {name} where {col} is null or {col} not in ({lst})"
+                         f" count(*)::bigint as n from {_DIRTY_OF.get(name, name)} where {col} is null or {col} not in ({lst})"
                          " group by all")
     return "\nunion all\n".join(parts)
 
@@ -523,12 +629,43 @@ def _profile_sql() -> str:
     def one(c: str, orderable: bool = True) -> str:
         mn = f"min({c})::varchar" if orderable else "null::varchar"
         mx = f"max({c})::varchar" if orderable else "null::varchar"
+        if c == "score":  # the engine's fixed number of fraction digits
+            mn, mx = ("try_cast(arg_" + f + "(score_text, score) as decimal(38,18))::varchar" for f in ("min", "max"))
         return (f"select '{c}' as column_name, count(*)::bigint as n_rows,"
                 f" count(*) filter (where {c} is null)::bigint as n_nulls,"
                 f" {mn} as min_value, {mx} as max_value from legacy_zset")
     return "\nunion all\n".join(one(c) for c in ("_key", "value", "score", "type"))
 
 
+def _profile_columns(name: str, schema) -> list[tuple[str, str, str]]:
+    """``(column, its SQL, distinct count SQL)``; documents have no distinct count."""
+    out = []
+    for f in schema.fields:
+        x = {"array": "arr", "score": "score_text"}.get(f.name, f.name)
+        variant = f.dataType.typeName() == "variant"
+        out.append((f.name, x, "null::bigint" if variant else
+                    f"count(distinct {'try_cast(score_text as decimal(38,18))' if f.name == 'score' else x})::bigint"))
+    return out
+
+
+_STEM = f"left(_key, length(_key) - {len(RENAME_FROM)})"
+_RENAMES = f"""
+, sets as (select distinct _key, {_STEM} as stem from legacy_object where type = 'zset' and suffix(_key, '{RENAME_FROM}')),
+map as (
+  select _key, unnest(case when stem like '%1' then [stem || '{RENAME_TO}', stem || ':archive']
+                           when stem like '%2' then ['all{RENAME_TO}'] when stem like '%3' then ['user:1:types']
+                           else [stem || '{RENAME_TO}'] end) as new_key from sets),
+objs as (select distinct _key, type from legacy_object),
+obj as (select o._key, o.type, m.new_key, count(*) over (partition by o._key, o.type) as n from objs o join map m on o._key = m._key),
+clear as (select * from obj where n = 1),
+taken as (
+  select _at, _t from (
+    select new_key as _at, type as _t from clear union all
+    select _key, type from objs where (_key, type) not in (select (_key, type) from clear))
+  group by all having count(*) > 1)
+"""
+
+
 ORACLE: dict[str, str] = {
     "legacy_object": _sql(_CAT),
     "zset_objects": _sql(_CAT + " where type = 'zset'"),
@@ -548,8 +685,6 @@ ORACLE: dict[str, str] = {
         " from legacy_imported) where field <> '_key'"),
     "live_objects": _sql(f"select _key, type from legacy_object where expireAt is null"
                          f" or expireAt > {_AS_OF_SQL}"),
-    "sessions_empty": "select null::varchar as sid, null::varchar as sess, null::timestamp as expire"
-                      " where false",
     "rejects": _sql(_REJECTS),
     "dup_plain_keys": _sql("select k as _key, count(*)::bigint as n from d where is_obj"
                            f" and {_has('_key')} and not has_score"
@@ -560,13 +695,13 @@ ORACLE: dict[str, str] = {
     "pk_violations": _sql(_pk_sql()),
     "dup_key_type": _sql("select _key, type, count(*)::bigint as n from legacy_object group by all"
                          " having count(*) > 1"),
-    "orphans": _sql("\nunion all\n".join(
-        f"select '{n}' as table_name, c._key, c.type, count(*)::bigint as n_rows from {n} c"
+    "orphans": _sql(_DIRTY + "\nunion all\n".join(
+        f"select '{n}' as table_name, c._key, c.type, count(*)::bigint as n_rows from {_DIRTY_OF.get(n, n)} c"
         " where not exists (select 1 from legacy_object l where l._key = c._key and l.type = c.type)"
         " group by all"
         for n in _CHILD_NAMES)),
-    "null_violations": _sql(_null_sql()),
-    "domain_violations": _sql(_domain_sql()),
+    "null_violations": _sql(_DIRTY + _null_sql()),
+    "domain_violations": _sql(_DIRTY + _domain_sql()),
     "cascade_delete": _sql(
         f", gone as (select _key, type from legacy_object where expireAt <= {_AS_OF_SQL})\n"
         + _table_counts_sql({
@@ -603,9 +738,8 @@ ORACLE: dict[str, str] = {
         f"select _key, field, data->>field as value from (select _key, data, {_FIELDS} from lj_exact"
         " where type = 'hash') where field not in ('_key', 'expireAt')"),
     "exact_join_zset": _sql(
-        "select _key, v as value, try_cast(s as decimal(38,12))::double as score from lj_exact"
-        " where type = 'zset' and v is not null and s is not null"
-        " and try_cast(s as decimal(38,12)) is not null"),
+        "select _key, v as value, sd as score from (select *, trim(s, ' ') as st, try_cast(trim(s, ' ') as double) as sd"
+        f" from lj_exact) where type = 'zset' and v is not null and s is not null and {_SCORE_OK}"),
     "exact_join_string": _sql(
         f"select _key, data from (select _key, case when {_has('value')} then v else data->>'data' end"
         " as data from lj_exact where type = 'string') where data is not null"),
@@ -619,7 +753,46 @@ ORACLE: dict[str, str] = {
         " when json_type(data->'array') = 'ARRAY' then from_json(data->'array', '[\"VARCHAR\"]') end as arr"
         " from lj_exact where type = 'list') where arr is not null"),
     "missing_keys": _sql("select k as _key, doc_reason as reason from routed where doc_reason is not null"),
-    "type_violations": _sql("\nunion all\n".join(
-        f"select '{n}' as table_name, _key, type from {n} where type is distinct from '{model.CHILD_KIND[n]}'"
+    "type_violations": _sql(_DIRTY + "\nunion all\n".join(
+        f"select '{n}' as table_name, _key, type from {_DIRTY_OF.get(n, n)} where type is distinct from '{model.CHILD_KIND[n]}'"
         for n in _CHILD_NAMES)),
+    "rename_conflicts": _sql(_RENAMES + """
+select _key, type, new_key, 'ambiguous' as reason from obj where n > 1
+union all
+select _key, type, new_key, 'collision' from clear join taken on new_key = _at and type = _t
+where _key <> new_key"""),
+    "join_rejects": _sql("""
+, mixed as (select k from routed where doc_reason is null group by k having count(distinct coalesce(kind, '-')) > 1),
+j as (
+  select l._key, l.type, o.*, trim(o.s, ' ') as st, try_cast(trim(o.s, ' ') as double) as sd
+  from (select distinct _key, type from legacy_object) l join routed o on l._key = o.k
+  where o.doc_reason is null and l._key in (select k from mixed)),
+why as (
+  select _key, 'legacy_' || type as table_name,
+         case type
+           when 'zset' then case when v is null then 'null_value' when s is null or not coalesce(""" + _SCORE_OK + """, false)
+                                 then 'bad_score' end
+           when 'set' then case when coalesce(json_type(data->'members'), '') <> 'ARRAY' then 'members_not_array'
+                                when list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),
+                                                                  lambda x: x is null), true) then 'null_member' end
+           when 'list' then case when """ + _has("array") + """ and json_type(data->'array') <> 'ARRAY' then 'array_not_array' end
+           when 'string' then case when case when """ + _has("value") + """ then v else data->>'data' end is null
+                                   then 'null_payload' end
+         end as reason from j)
+select _key, table_name, reason from why where reason is not null"""),
+    "array_documents": _sql("""
+, rej as (""" + _REJECTS + """)
+select 'rejects' as part, reason, count(*)::bigint as n from rej group by reason
+union all
+select 'catalog', type, count(*)::bigint from legacy_object group by type"""),
+    "migrated_tables": _sql(", rej as (" + _REJECTS + ")\n" + "\nunion all\n".join(
+        [f"select '{n}' as table_name, _key, type, count(*)::bigint as n_rows from {n} group by _key, type"
+         for n in ("legacy_object", *_CHILD_NAMES)]
+        + ["select 'legacy_imported', id::varchar, type, count(*)::bigint from legacy_imported group by id, type",
+           "select 'rejects', _key, reason, count(*)::bigint from rej group by _key, reason"])),
+    "clustered_lookup": _sql(_zset_sql("legacy_zset") + f" where _key >= '{LOOKUP_FROM}' and _key < '{LOOKUP_TO}'"),
+    "profile_tables": _sql("\nunion all\n".join(
+        f"select '{n}' as table_name, '{c}' as column_name, count(*)::bigint as n_rows,"
+        f" count(*) filter (where {x} is null)::bigint as n_nulls, {d} as n_distinct from {n}"
+        for n, schema in model.SCHEMAS.items() if n != "session" for c, x, d in _profile_columns(n, schema))),
 }

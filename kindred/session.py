@@ -56,7 +56,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     The cluster's setting always wins.  Only when it is unset do we choose
     one: a fresh temporary folder in local mode (tests), otherwise a folder
-    under the warehouse directory, which on a cluster is shared storage.
+    under the warehouse directory, unless that is on each machine's own disk.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
@@ -68,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="kindred-ckpt-")
     else:
         warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith("file:") or "://" not in warehouse and not warehouse.startswith("hdfs:"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share: the warehouse "
+                             f"folder {warehouse} is local to each machine")
         path = warehouse.rstrip("/") + "/_kindred_checkpoints"
     spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)

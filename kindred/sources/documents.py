@@ -7,14 +7,14 @@ Formats
   ``jsonl`` / ``text``  JSON Lines: one document per line.  Splittable, so a
                         large file is read by many tasks.  The recommended
                         interchange format.
-  ``json``              A JSON array of documents per file (what a one-shot
-                        export writes).  Such a file cannot be split: each file
-                        is read by one task, then exploded and repartitioned.
-                        Numbers keep their exact text.  The file is parsed
-                        as one VARIANT, so a document repeating a field needs
-                        ``spark.sql.variant.allowDuplicateKeys=true`` (set by
-                        :func:`kindred.session.build_session`); JSON Lines has
-                        no such limit.
+  ``json``              A JSON array of documents per file.  The form that a
+                        one-shot export writes, indented by two blanks, is
+                        split between documents, so many tasks read one file.
+                        An array in another layout is one piece: one task
+                        reads it whole.  A piece that is not valid JSON (a file
+                        cut off, say) is passed on as it is and ends among the
+                        rejects; so does a line for every file whose array is
+                        not closed.
   ``parquet``           A table with a ``data`` column (string or variant).
   anything else         Passed through to ``spark.read.format(...)``; when the
                         result has no ``data`` column its rows are serialised
@@ -46,14 +46,7 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
         df = spark.read.options(**options).text(paths)
         out = df.select(F.col("value").alias("data")).where(F.trim("data") != "")
     elif fmt == "json":
-        # One array per file arrives as one VARIANT row; explode it into
-        # documents and spread them before any heavy work.
-        raw = (spark.read.options(**options).option("multiLine", True)
-               .option("singleVariantColumn", "doc").json(paths))
-        exploded = raw.select(F.explode(F.expr("cast(doc as array<variant>)")).alias("d"))
-        out = exploded.select(F.col("d").cast("string").alias("data"))
-        n = partitions or spark.sparkContext.defaultParallelism
-        out = out.repartition(n)
+        out = _read_arrays(spark, paths, options)
     elif fmt == "parquet":
         df = spark.read.options(**options).parquet(*paths)
         out = df.select(_as_text(F.col(column), df.schema[column].dataType).alias("data"))
@@ -64,7 +57,7 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
             out = df.select(_as_text(F.col(column), df.schema[column].dataType).alias("data"))
         else:
             out = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data"))
-    if partitions and fmt != "json":
+    if partitions:
         out = out.repartition(partitions)
     elif fmt != "json":
         # a compressed JSON Lines file is unsplittable: spread few big inputs
@@ -73,6 +66,67 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
     return out
 
 
+# Where one document of a two-blank array ends and the next begins.  Text inside a
+# document cannot hold it: line ends in strings are escaped, and what is nested
+# deeper is indented further.
+_BETWEEN = "\n  },\n"
+
+
+def _read_arrays(spark: SparkSession, paths: list[str], options: dict[str, str]) -> DataFrame:
+    pieces = (spark.read.options(**options).option("lineSep", _BETWEEN).text(paths)
+              .withColumn("file", F.input_file_name()))
+    v = F.col("value")
+    # Brackets of the array itself stand at the start of a line; those of a document's fields are indented.
+    first = v.rlike(r"\A\[")
+    one_line = v.rlike(r"\A\[[ \t]*[^ \t\r\n]")
+    last = v.rlike(r"\n\]\s*\z") | (one_line & v.rlike(r"\]\s*\z"))
+    # A piece is the inside of an array again once brackets go and the closing brace that was cut off comes back.
+    body = F.when(first, F.regexp_replace(v, r"\A\[", "")).otherwise(v)
+    closed = pieces.select("file", v.alias("piece"), last.alias("last"), body.alias("body")).withColumn(
+        "body", F.when(F.col("last"), F.regexp_replace("body", r"\]\s*\z", ""))
+        .otherwise(F.concat("body", F.lit("\n  }"))))
+    # The check number behind the text shows that the parser read all of it.
+    check = F.xxhash64("body")
+    wrapped = F.from_json(F.concat(F.lit('{"d":['), "body", F.lit('],"e":'), check.cast("string"), F.lit("}")),
+                          "d array<variant>, e bigint")
+    listed = closed.select("file", "piece", "body", check.alias("check"), wrapped.alias("w")).select(
+        "piece", "body", F.when(F.col("w.e") == F.col("check"), F.col("w.d")).alias("docs"))
+    # One document: its own text, numbers as written.  Several: each one's text.  None: the piece, a reject later.
+    texts = F.when(F.col("docs").isNull(), F.array("piece")).when(F.size("docs") == 1, F.array(F.trim("body"))) \
+        .otherwise(F.transform("docs", lambda d: d.cast("string")))
+    out = listed.select(F.explode(texts).alias("data"))
+    open_files = (pieces.groupBy("file").agg(F.max(last).alias("closed"), F.max(F.trim("value") != "").alias("any"))
+                  .filter(F.col("any") & ~F.col("closed")))
+    return out.unionByName(open_files.select(F.concat(F.lit("array not closed in "), "file").alias("data")))
+
+
+def write_array(docs: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Write a collection as JSON arrays, one per partition, in the layout that
+    :func:`read_documents` splits: two blanks before a document, its closing
+    brace on a line of its own.  Only JSON objects of one line have a place in
+    it; other texts are written as they are, each as an element of its own."""
+    t = F.trim("data")
+    inner = t.rlike(r"(?s)^\{.+\}\z")
+    element = F.when(inner, F.concat(F.lit("  {\n    "), F.expr("substring(trim(data), 2, length(trim(data)) - 2)"), F.lit("\n  }"))) \
+        .otherwise(F.concat(F.lit("  "), t))
+    rows = docs.where(F.col("data").isNotNull()).select(element.alias("value"))
+
+    def lines(batches):
+        import pyarrow as pa
+        held = None  # an element ends with a comma or closes the array
+        for b in batches:
+            out = []
+            for v in b.column(0).to_pylist():
+                if held is not None:
+                    out.append(held + ",")
+                held = v if held is not None else "[\n" + v
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held + "\n]"])], names=["value"])
+
+    rows.mapInArrow(lines, "value string").write.mode(mode).text(path)
+
+
 def write_documents(docs: DataFrame, path: str, fmt: str = "jsonl",
                     mode: str = "errorifexists", compression: str | None = None) -> None:
     """Write a collection: JSON Lines (one file per partition) or parquet."""

@@ -120,6 +120,24 @@ DIRTY_SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
                          "to_json(named_struct('_key', concat('_imported_user:', s_suppkey, ':', s_nationkey),"
                          " 'name', s_name))",
                          None, None),
+    "zset_far_expiry": ("region",
+                        "to_json(named_struct('_key', concat('region:', r_regionkey, ':far'), 'value', r_name,"
+                        " 'score', r_regionkey, 'expireAt', 8640000000000000 - r_regionkey * 1000))",
+                        None, None),
+    "zset_fine_score": ("nation",
+                        "to_json(named_struct('_key', concat('region:', n_regionkey, ':fine'), 'value', n_name,"
+                        " 'score', concat('0.1234567890123456', n_nationkey)))",
+                        None, None),
+    "zset_inexact_score": ("nation",
+                           "to_json(named_struct('_key', concat('region:', n_regionkey, ':inexact'), 'value', n_name,"
+                           " 'score', concat('0.12345678901234567', n_nationkey, '9')))",
+                           None, None),
+    "zset_huge_score": ("region",
+                        "to_json(named_struct('_key', concat('region:', r_regionkey, ':huge'), 'value', r_name,"
+                        " 'score', concat(r_regionkey + 1, 'e30')))",
+                        None, None),
+    "doc_trailing_text": ("region", "concat(to_json(named_struct('_key', concat('region:', r_regionkey, ':twice'),"
+                          " 'value', r_name)), ' ', to_json(named_struct('_key', r_name)))", None, None),
     "doc_missing_key": ("region", "to_json(named_struct('name', r_name))", None, None),
     "doc_null_key": ("region",
                      "to_json(named_struct('_key', cast(null as string), 'value', r_name)" + _KEEP_NULLS + ")",
@@ -157,6 +175,16 @@ DIRTY_DUCKDB_FAMILIES: dict[str, str] = {
                        " as data from customer",
     "imported_bad_key": "select json_object('_key', '_imported_user:' || s_suppkey || ':' || s_nationkey,"
                         " 'name', s_name) as data from supplier",
+    "zset_far_expiry": "select json_object('_key', 'region:' || r_regionkey || ':far', 'value', r_name,"
+                       " 'score', r_regionkey, 'expireAt', 8640000000000000 - r_regionkey * 1000) as data from region",
+    "zset_fine_score": "select json_object('_key', 'region:' || n_regionkey || ':fine', 'value', n_name,"
+                       " 'score', '0.1234567890123456' || n_nationkey) as data from nation",
+    "zset_inexact_score": "select json_object('_key', 'region:' || n_regionkey || ':inexact', 'value', n_name,"
+                          " 'score', '0.12345678901234567' || n_nationkey || '9') as data from nation",
+    "zset_huge_score": "select json_object('_key', 'region:' || r_regionkey || ':huge', 'value', r_name,"
+                       " 'score', (r_regionkey + 1) || 'e30') as data from region",
+    # Not one JSON value: stated as the array that any such text is rejected like.
+    "doc_trailing_text": "select to_json([r_name, r_name]) as data from region",
     "doc_missing_key": "select json_object('name', r_name) as data from region",
     "doc_null_key": "select json_object('_key', null, 'value', r_name) as data from region",
     "doc_not_object": "select to_json([r_name]) as data from region",

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kindred.operators.stage import STAGE_COLUMNS, classify
-from kindred.session import scratch_path
 
 
 def document_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None
@@ -35,18 +34,21 @@ def document_stream(spark: SparkSession, source_dir: str, max_files_per_trigger:
 
 def stream_stage(spark: SparkSession, source_dir: str, stage_dir: str,
                  checkpoint: str | None = None, available_now: bool = True,
-                 processing_time: str | None = None, **classify_options) -> StreamingQuery:
+                 processing_time: str | None = None, max_files_per_trigger: int | None = None,
+                 **classify_options) -> StreamingQuery:
     """Start the ingest stream: ``source_dir`` (JSON Lines) -> ``stage_dir``.
 
     ``available_now`` processes everything present and stops (a scheduled
     incremental load); otherwise give ``processing_time`` (e.g. ``"1 minute"``)
-    for a continuously running ingest.  The checkpoint defaults to a folder
-    below the shared checkpoint directory.
+    for a continuously running ingest.  The checkpoint belongs to the staged
+    table: it defaults to ``<stage_dir>_checkpoint``, so every later start of
+    the same ingest goes on where the last one stopped.  (With a new checkpoint
+    over an old table the sink would skip batches it has already committed.)
     """
-    staged = classify(document_stream(spark, source_dir), **classify_options)
+    staged = classify(document_stream(spark, source_dir, max_files_per_trigger), **classify_options)
     w = (staged.writeStream.format("parquet")
          .option("path", stage_dir)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt"))
+         .option("checkpointLocation", checkpoint or stage_dir.rstrip("/") + "_checkpoint")
          .partitionBy("kind")
          .outputMode("append"))
     if processing_time:

@@ -92,12 +92,36 @@ def test_hot_key_split_equals_plain_join(spark):
     big = spark.createDataFrame(hot + cold, "_key string, type string, value string").repartition(5)
     small = spark.createDataFrame([("h", "zset", "H"), ("k1", "zset", "K"), ("zz", "zset", "Z")],
                                   "_key string, type string, new_key string")
+    found = skew.hot_keys([big], ["_key", "type"], 100)
+    assert [tuple(r) for r in found.keys.collect()] == [("h", "zset")] and found.n == 1
     for how in ("inner", "left", "left_anti", "left_semi"):
         plain = sorted(map(tuple, big.join(small, ["_key", "type"], how).collect()))
-        split = sorted(map(tuple, skew.split_hot_join(big, small, ["_key", "type"], how,
-                                                      threshold=100).collect()))
-        assert plain == split, how
-    assert [tuple(r) for r in skew.hot_keys(big, ["_key"], 100).collect()] == [("h",)]
+        for max_hot in (10, 0):  # by broadcast, and salted
+            split = skew.split_hot_join(big, small, ["_key", "type"], how, found, max_hot)
+            assert plain == sorted(map(tuple, split.collect())), (how, max_hot)
+
+
+def test_deleted_keys_are_broadcast_once_per_key(spark):
+    """However often the catalog repeats a deleted pair."""
+    catalog = spark.createDataFrame([("h", "zset", None)] * 500, "_key string, type string, expireAt timestamp")
+    kids = {"legacy_zset": spark.createDataFrame([("h", f"m{i}", 1.0, "zset") for i in range(300)],
+                                                 "_key string, value string, score double, type string")}
+    kept, out = I.cascade_delete(catalog, kids, F.col("_key") == "h", hot_threshold=50)
+    assert kept.count() == 0 and out["legacy_zset"].count() == 0
+
+
+def test_rename_conflicts_are_reported_and_not_carried_out(spark):
+    catalog = spark.createDataFrame([(k, "zset", None) for k in "abcdex"], "_key string, type string, expireAt timestamp")
+    kids = {"legacy_zset": spark.createDataFrame([(k, "m", 1.0, "zset") for k in "abcdex"],
+                                                 "_key string, value string, score double, type string")}
+    mapping = spark.createDataFrame([("a", "A"), ("a", "B"), ("b", "x"), ("c", "N"), ("d", "N"), ("e", "E")],
+                                    "_key string, new_key string")
+    got = {(r["_key"], r["new_key"], r["reason"]) for r in I.rename_conflicts(catalog, mapping).collect()}
+    assert got == {("a", "A", "ambiguous"), ("a", "B", "ambiguous"), ("b", "x", "collision"),
+                   ("c", "N", "collision"), ("d", "N", "collision")}
+    new, out = I.cascade_rename(catalog, kids, mapping)
+    assert sorted(r["_key"] for r in new.collect()) == sorted(r["_key"] for r in out["legacy_zset"].collect()) \
+        == ["E", "a", "b", "c", "d", "x"]
 
 
 def test_cascades_with_a_hot_key(spark):
