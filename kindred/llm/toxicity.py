@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.common import materialize
 from kindred.llm.sampling import labelled_sample, remainder
 from kindred.session import ship_package
 
@@ -88,6 +89,13 @@ def features_of(text: str) -> set[str]:
     return out
 
 
+def _family(text):
+    """Equal for most near copies: the smallest hash of two adjoining words."""
+    words = F.split(F.lower(text), r"[^\p{L}]+")
+    return F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0))),
+                                   lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1))))
+
+
 def voter_of(entry: str, strong: bool) -> int:
     """The voter of a mined entry.  Nested entries (a word and its beginnings)
     share one, so that voters are less dependent."""
@@ -97,7 +105,8 @@ def voter_of(entry: str, strong: bool) -> int:
 def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TEXTS,
                  min_share: float = MIN_SHARE) -> list[tuple[str, int]]:
     """``(entry, voter)`` of the entries that most favour toxic texts, by log
-    odds times the square root of their support."""
+    odds times the square root of their support.  Of near copies one text
+    counts, or all their words would seem to favour its label."""
     def run(batches):
         ones, zeros = Counter(), Counter()
         for batch in batches:
@@ -110,6 +119,8 @@ def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TE
                                               pa.array([zeros[x] for x in some], pa.int64())],
                                              names=["entry", "ones", "zeros"])
 
+    sample = materialize(sample.withColumn("family", _family(F.col("text"))).groupBy("family", "label")
+                         .agg(F.min("text").alias("text")), "toxic-families")
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
