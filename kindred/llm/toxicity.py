@@ -89,11 +89,14 @@ def features_of(text: str) -> set[str]:
     return out
 
 
-def _family(text):
-    """Equal for most near copies: the smallest hash of two adjoining words."""
-    words = F.split(F.lower(text), r"[^\p{L}]+")
-    return F.array_min(F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - 2, F.lit(0))),
-                                   lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1))))
+def _one_of_near_copies(sample: DataFrame) -> DataFrame:
+    """``text, label``: one text of those with the same smallest hash of two
+    adjoining words, as most near copies have."""
+    w = F.col("_words")
+    split = sample.select("text", "label", F.split(F.lower("text"), r"[^\p{L}]+").alias("_words"))
+    pairs = F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.xxhash64(a, b))
+    return split.select("text", "label", F.array_min(pairs).alias("_family")).groupBy("_family", "label").agg(
+        F.min("text").alias("text")).select("text", "label")
 
 
 def voter_of(entry: str, strong: bool) -> int:
@@ -119,8 +122,7 @@ def mine_lexicon(sample: DataFrame, size: int = LEXICON, min_texts: int = MIN_TE
                                               pa.array([zeros[x] for x in some], pa.int64())],
                                              names=["entry", "ones", "zeros"])
 
-    sample = materialize(sample.withColumn("family", _family(F.col("text"))).groupBy("family", "label")
-                         .agg(F.min("text").alias("text")), "toxic-families")
+    sample = materialize(_one_of_near_copies(sample), "toxic-families")
     totals = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     if not n1 or not n0:
