@@ -1,12 +1,14 @@
 """Cross-site line de-duplication by distinct-site spread.
 
-A line (blanks trimmed) that stands on many different sites is boilerplate.
+A line (blanks trimmed) that stands on many different sites is boilerplate.  If
+``long_words`` is set, a line of more words than that goes from ``long_sites``
+sites on: short lines recur by chance, long passages only as copies.
 
-1. Lines that occur fewer times than ``min_sites`` in all cannot be spread that
+1. Lines that occur fewer times than the sites they need cannot be spread that
    far; counting hashes with map-side combine leaves the frequent ones.
 2. For these a HyperLogLog sketch of sites per line hash, merged by aggregation,
    estimates the spread; a hot line costs one sketch per task.
-3. Estimates outside ``min_sites`` times ``1 +- band`` decide at once (the band
+3. Estimates outside the sites needed times ``1 +- band`` decide at once (the band
    is many standard errors wide).  Lines inside it get an exact distinct count.
 4. Boilerplate lines are taken out of every document.
 
@@ -25,8 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred.llm.common import bounded_broadcast, materialize, text_key
+from kindred.llm.mixing import n_words
 
+#: Fixed by the SQL of ``op6_line_dedup``.
 MIN_SITES = 10
+#: Of the long-line query: lines of more than so many words go from so many sites on.
+LONG_WORDS = 50
+LONG_SITES = 2
 #: Estimates this far from the threshold need no exact count (standard error: 1.6 %).
 BAND = 0.2
 LOG_REGISTERS = 12
@@ -42,24 +49,40 @@ def _line_hash(line: Column) -> Column:
     return F.when(clean != "", F.xxhash64(clean))
 
 
+def _need(line: Column, min_sites: int, long_words: int | None, long_sites: int) -> Column:
+    """The sites from which on a line is boilerplate."""
+    if long_words is None:
+        return F.lit(min_sites)
+    # So many words take at least so many characters; most lines need no count.
+    is_long = (F.length(line) > 2 * long_words) & (n_words(line) > long_words)
+    return F.when(is_long, F.lit(long_sites)).otherwise(F.lit(min_sites))
+
+
 def spread_lines(docs: DataFrame, text_col: str = "text", site_col: str = "source", min_sites: int = MIN_SITES,
-                 band: float = BAND, log_registers: int = LOG_REGISTERS) -> DataFrame:
+                 band: float = BAND, log_registers: int = LOG_REGISTERS, long_words: int | None = None,
+                 long_sites: int = LONG_SITES) -> DataFrame:
     """``line_hash, n_lines, n_sites`` (exact near the threshold, else estimated)
-    of the lines on at least ``min_sites`` sites."""
+    of the lines on at least ``min_sites`` sites (long ones: ``long_sites``)."""
     site = F.coalesce(F.concat(F.lit("s"), F.col(site_col).cast("string")), F.lit("-"))  # a sketch skips empty strings
-    lines = (docs.select(site.alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
-             .select("site", _line_hash(F.col("line")).alias("line_hash")).filter("line_hash is not null"))
-    often = materialize(lines.groupBy("line_hash").agg(F.count("*").alias("n_lines"))
-                        .filter(F.col("n_lines") >= min_sites), "line-frequent")
+    split = docs.select(site.alias("site"), F.explode(_lines(F.col(text_col))).alias("line"))
+    lines = split.select("site", _line_hash(F.col("line")).alias("line_hash")).filter("line_hash is not null")
+    counted = (split.select(_line_hash(F.col("line")).alias("line_hash"),
+                            _need(F.col("line"), min_sites, long_words, long_sites).alias("need"))
+               .filter("line_hash is not null"))
+    often = materialize(counted.groupBy("line_hash").agg(F.count("*").alias("n_lines"), F.min("need").alias("need"))
+                        .filter(F.col("n_lines") >= F.col("need")), "line-frequent")
     sketched = materialize(
         lines.join(bounded_broadcast(often.select("line_hash")), "line_hash", "left_semi").groupBy("line_hash")
-        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_registers))).alias("n_sites")), "line-sketched")
-    low, high = min_sites * (1 - band), min_sites * (1 + band)
+        .agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_registers))).alias("n_sites"))
+        .join(often, "line_hash"), "line-sketched")
+    low, high = F.col("need") * (1 - band), F.col("need") * (1 + band)
     near = sketched.filter(F.col("n_sites").between(low, high)).select("line_hash")
     exact = (lines.join(bounded_broadcast(near), "line_hash", "left_semi").distinct()
-             .groupBy("line_hash").agg(F.count("*").alias("n_sites")).filter(F.col("n_sites") >= min_sites))
+             .groupBy("line_hash").agg(F.count("*").alias("n_sites"))
+             .join(often, "line_hash").filter(F.col("n_sites") >= F.col("need")))
     clear = sketched.filter(F.col("n_sites") > high)
-    return exact.unionByName(clear).join(often, "line_hash").select("line_hash", "n_lines", "n_sites")
+    columns = ("line_hash", "n_lines", "n_sites")
+    return exact.select(*columns).unionByName(clear.select(*columns))
 
 
 def remove_spread_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", site_col: str = "source",

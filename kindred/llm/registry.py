@@ -66,6 +66,12 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
+def q_long_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``q_line_dedup``, and long lines go from ``LONG_SITES`` sites on."""
+    out = line_dedup.remove_spread_lines(table(spark, sf_dir, "documents"), long_words=line_dedup.LONG_WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score per document."""
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -94,6 +100,7 @@ QUERIES = {
     "op4_url_filter": q_url_filter,
     "op5_minhash_near_dedup": q_near_dedup,
     "op6_line_dedup": q_line_dedup,
+    "op6_long_line_dedup": q_long_line_dedup,
     "op7_quality_classifier": q_quality,
     "op8_exact_dedup": q_exact_dedup,
     "op9_toxicity": q_toxicity,

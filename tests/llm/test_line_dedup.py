@@ -45,5 +45,39 @@ def test_many_sites(spark):
     assert re.search("line 995", next(k[1] for k in got if k[0] == 0))
 
 
+def test_production_value(spark):
+    """At the query's own threshold a line on so many sites goes, one on fewer stays."""
+    rows = [(i, "\n".join(f"line {k}" for k in (L.MIN_SITES - 1, L.MIN_SITES) if i < k) + f"\nown {i}", f"site{i}")
+            for i in range(L.MIN_SITES)]
+    got = Counter(tuple(r) for r in L.remove_spread_lines(
+        spark.createDataFrame(rows, "doc_id long, text string, source string")).collect())
+    assert got == brute(rows, L.MIN_SITES) and all(k[3] == 1 for k in got)
+
+
+def long_brute(rows):
+    sites = defaultdict(set)
+    for _, t, s in rows:
+        for line in (t or "").split("\n"):
+            if line.strip(" "):
+                sites[line.strip(" ")].add(s)
+    is_long = {x: len(re.findall(r"[^\x20\x09-\x0D]+", x)) > L.LONG_WORDS for x in sites}
+    bad = {x for x, s in sites.items() if len(s) >= (L.LONG_SITES if is_long[x] else L.MIN_SITES)}
+    out = []
+    for i, t, _ in rows:
+        lines = [] if t is None else t.split("\n")
+        keep = [x for x in lines if x.strip(" ") not in bad]
+        out.append((i, None if t is None else "\n".join(keep), len(lines), len(lines) - len(keep)))
+    return Counter(out), sum(is_long[x] for x in bad)
+
+
+def test_long_lines(documents, odd, odd_rows):
+    rows = [tuple(r) for r in documents.select("doc_id", "text", "source").collect()]
+    want, n_long = long_brute(rows)
+    assert Counter(tuple(r) for r in L.remove_spread_lines(documents, long_words=L.LONG_WORDS).collect()) == want
+    assert n_long > 100  # at MIN_SITES alone: none
+    want, _ = long_brute([(r[0], r[1], r[3]) for r in odd_rows])
+    assert Counter(tuple(r) for r in L.remove_spread_lines(odd, long_words=L.LONG_WORDS).collect()) == want
+
+
 def test_empty(empty):
     assert L.remove_spread_lines(empty).count() == 0
