@@ -35,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import materialize
+from kindred.llm.common import bounded_broadcast, materialize
+from kindred.llm.minhash import near_duplicates
 from kindred.llm.sampling import labelled_sample, remainder
 from kindred.session import ship_package
 
@@ -90,13 +91,13 @@ def features_of(text: str) -> set[str]:
 
 
 def _one_of_near_copies(sample: DataFrame) -> DataFrame:
-    """``text, label``: one text of those with the same smallest hash of two
-    adjoining words, as most near copies have."""
-    w = F.col("_words")
-    split = sample.select("text", "label", F.split(F.lower("text"), r"[^\p{L}]+").alias("_words"))
-    pairs = F.zip_with(w, F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.xxhash64(a, b))
-    return split.select("text", "label", F.array_min(pairs).alias("_family")).groupBy("_family", "label").agg(
-        F.min("text").alias("text")).select("text", "label")
+    """``text, label``: one text of each label in each near-copy component of
+    the (bounded) sample, as ``minhash`` confirms them on full sets."""
+    texts = sample.select("text", "label", F.xxhash64("text").alias("_hash"))
+    families = near_duplicates(texts, "_hash").select(F.col("doc_id").alias("_hash"), F.col("component_id").alias("_family"))
+    families = materialize(families.distinct(), "toxic-components")
+    return (texts.join(bounded_broadcast(families), "_hash").groupBy("_family", "label")
+            .agg(F.min("text").alias("text")).select("text", "label"))
 
 
 def voter_of(entry: str, strong: bool) -> int:

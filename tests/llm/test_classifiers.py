@@ -74,6 +74,20 @@ def test_drop_toxic(spark, odd):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_only_near_copies_count_once(spark):
+    """Texts that share a common passage, or end in a sign, are no copies."""
+    common = " ".join("abcdefghij"[k % 10] * 3 + "klmnopqrst"[k // 10] for k in range(30))
+
+    def own(i, n):
+        return " ".join(f"{'abcdefghij'[i // 10]}{'klmnopqrst'[i % 10]}{'uvwxyz'[k % 6]}{'abcdefghij'[k // 6]}" for k in range(n))
+
+    apart = [(f"{common} {own(i, 40)}!", i % 2) for i in range(40)]
+    copy = [(f"{own(50, 60)} {own(51, 60)} last{x}", 1) for x in "abc"]
+    got = toxicity._one_of_near_copies(spark.createDataFrame(apart + copy, "text string, label int")).collect()
+    left = {(r["text"], r["label"]) for r in got}
+    assert len(got) == 41 and left >= set(apart) and len(left & set(copy)) == 1
+
+
 def test_label_model_finds_accuracies():
     """Independent voters of known rates, two of them copies of each other."""
     rng = np.random.default_rng(3)
