@@ -354,6 +354,13 @@ def q_clustered_lookup(spark, sf):
     return _zset_out(back.where((F.col("_key") >= LOOKUP_FROM) & (F.col("_key") < LOOKUP_TO)))
 
 
+def q_clustered_zset(spark, sf):
+    """The sorted sets clustered by key, written, and the whole table read back."""
+    path = scratch_path(spark, "clustered")
+    access.write_clustered(TB.legacy_zset(staged(spark, sf)), path, ["_key", "value"])
+    return _zset_out(spark.read.parquet(path))
+
+
 def q_profile_tables(spark, sf):
     """Statistics of every populated table, distinct values counted exactly."""
     tables = _all_tables(staged(spark, sf))
@@ -405,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "array_documents": q_array_documents,
     "migrated_tables": q_migrated_tables,
     "clustered_lookup": q_clustered_lookup,
+    "clustered_zset": q_clustered_zset,
     "profile_tables": q_profile_tables,
 }
 
@@ -790,6 +798,7 @@ select 'catalog', type, count(*)::bigint from legacy_object group by type"""),
          for n in ("legacy_object", *_CHILD_NAMES)]
         + ["select 'legacy_imported', id::varchar, type, count(*)::bigint from legacy_imported group by id, type",
            "select 'rejects', _key, reason, count(*)::bigint from rej group by _key, reason"])),
+    "clustered_zset": _sql(_zset_sql("legacy_zset")),
     "clustered_lookup": _sql(_zset_sql("legacy_zset") + f" where _key >= '{LOOKUP_FROM}' and _key < '{LOOKUP_TO}'"),
     "profile_tables": _sql("\nunion all\n".join(
         f"select '{n}' as table_name, '{c}' as column_name, count(*)::bigint as n_rows,"

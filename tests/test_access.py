@@ -73,3 +73,11 @@ def test_write_clustered(spark, zset, tmp_path):
     access.write_clustered(zset, out, ["_key", "value"])
     back = spark.read.parquet(out)
     assert back.count() == zset.count()
+
+
+def test_clustered_zset_is_the_whole_table(spark, zset):
+    """Every row is written and read back, not only the keys of clustered_lookup."""
+    got = registry.QUERIES["clustered_zset"](spark, SF_SMALL).collect()
+    want = zset.select("_key", "value", F.col("score").cast("double").alias("score")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert len(got) > registry.QUERIES["clustered_lookup"](spark, SF_SMALL).count() > 0
