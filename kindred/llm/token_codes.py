@@ -18,7 +18,8 @@ at the first document end after ``segment_ids`` ids.
 Encoding runs in Arrow batches on the executors.  The tokenizer's pre-tokens
 never cross a blank that stands between other characters, so texts are cut
 there and every piece is encoded by the library once per worker and kept in a
-bounded memory; the ids are the same as those of the whole text.
+bounded memory; the ids are the same as those of the whole text.  An added
+token that a text holds literally is one piece and one id, as in the library.
 
 Defined results: a null text is empty and gives only the end id; null ids come
 first; rows with the same id are ordered by the hash of their text; an empty
@@ -126,10 +127,19 @@ class Encoder:
     APART = re.compile(r" (?:[^\W\d_]+|[0-9]+)\Z")
     JOINED = 64
 
-    def __init__(self, tokenizer_path: str, memory: int = MEMORY_PIECES):
+    def __init__(self, tokenizer_path: str, memory: int = MEMORY_PIECES, added_tokens: bool = False):
+        """With ``added_tokens``, an added token inside a text is its one id, as
+        the library has it by default; without, it is ordinary text."""
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._tokenizer.encode_special_tokens = True  # special strings inside a text are ordinary text
+        self._tokenizer.encode_special_tokens = True  # this class finds the added tokens itself
+        added = self._tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        for t in added.values():
+            if not t.special or t.lstrip or t.rstrip or t.single_word or t.normalized:
+                raise ValueError(f"added token {t.content!r} is not matched literally")
+        self._added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
+        # At one place the longest token is the library's match.
+        self._at_added = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
         self._pieces: dict[str, bytes] = {}
         self._tokens: dict[str, bytes] = {}
         self._limit = memory
@@ -148,6 +158,12 @@ class Encoder:
         first, *others = text.split(" ")
         return ([first] if first else []) + [" " + x for x in others]
 
+    def _cut(self, text: str) -> list[str]:
+        """``pieces`` of the text between added tokens, and these whole."""
+        if not any(t in text for t in self._added):
+            return self.pieces(text)
+        return [p for part in self._at_added.split(text) for p in ([part] if part in self._added else self.pieces(part))]
+
     def _learn_tokens(self, new: list[str]) -> None:
         """Encode pre-tokens; those that stay apart in a row share one call,
         and the bytes that each id stands for show where a pre-token ends."""
@@ -166,7 +182,7 @@ class Encoder:
             self._tokens[token] = np.array(e.ids, "<u4").tobytes()
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) for t in texts]
+        cut = [self._cut(t) for t in texts]
         known, tokens, split = self._pieces, self._tokens, self.PRE_TOKEN.findall
         new = {p for pieces in cut for p in pieces if p not in known}
         if len(known) + len(new) > self._limit:
@@ -174,7 +190,8 @@ class Encoder:
             new = {p for pieces in cut for p in pieces}
         if len(tokens) > self._limit:
             tokens.clear()
-        inside = {p: split(p) for p in new}
+        known.update((p, self._added[p]) for p in new if p in self._added)
+        inside = {p: split(p) for p in new if p not in self._added}
         self._learn_tokens(list({t for ts in inside.values() for t in ts if t not in tokens}))
         get = tokens.__getitem__
         for p, ts in inside.items():
@@ -188,7 +205,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def _encoder(path: str) -> Encoder:
     """One per worker process: its memory serves all tasks that the worker runs."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
+        _ENCODERS[path] = Encoder(path, added_tokens=True)
     return _ENCODERS[path]
 
 

@@ -46,6 +46,24 @@ def test_pieces_give_the_same_ids(encoder, tokenizer, texts):
     assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.fixture(scope="module")
+def unmodified():
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(tokenizer_path())
+
+
+@settings(max_examples=300, deadline=None)
+@given(texts=st.lists(TEXT, min_size=1, max_size=4))
+def test_added_tokens_as_in_the_library(unmodified, texts):
+    got = [x.tolist() for x in T._encoder(tokenizer_path()).encode_batch(texts)]
+    assert got == [unmodified.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_added_tokens_in_documents(spark, unmodified):
+    rows = [(1, "a <|endoftext|> b"), (2, "x<|endoftext|>y  <|endoftext|>"), (3, "<|endoftext|><|endoftext|> \n"), (4, "plain text")]
+    check(unmodified, rows, T.token_codes(spark.createDataFrame(rows, "doc_id long, text string"), tokenizer_path()).collect())
+
+
 def digest(tokenizer, rows):
     """Expected rows, with ties of the id in any order."""
     encoded = [tokenizer.encode(t or "", add_special_tokens=False).ids + [2] for _, t in rows]
