@@ -11,7 +11,7 @@ from kindred.operators import catalog as C
 from kindred.operators import tables as TB
 from kindred.plans import registry
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

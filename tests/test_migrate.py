@@ -12,7 +12,7 @@ from kindred.sources.documents import write_documents
 from kindred.sources.fixtures import SPARK_FAMILIES, fixture_documents
 from kindred.streaming import read_stage, stream_stage
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -8,7 +8,7 @@ from kindred.operators import stage as S
 from kindred.operators import tables as TB
 from kindred.plans import registry
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 def plan(df, mode="formatted"):

@@ -7,7 +7,7 @@ import pytest
 from kindred.sources.documents import read_documents, write_documents
 from kindred.sources.fixtures import fixture_documents
 
-from conftest import SF_SMALL
+from testdata_paths import SF_SMALL
 
 
 def canon(rows):
