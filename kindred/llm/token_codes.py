@@ -15,11 +15,10 @@ of ids before it in its part, and the codes are binary columns.  Documents are
 dealt by ranges of ``(id, text hash)``; a part is one range.  A segment closes
 at the first document end after ``segment_ids`` ids.
 
-Encoding runs in Arrow batches on the executors.  The tokenizer's pre-tokens
-never cross a blank that stands between other characters, so texts are cut
-there and every piece is encoded by the library once per worker and kept in a
-bounded memory; the ids are the same as those of the whole text.  An added
-token that a text holds literally is one piece and one id, as in the library.
+Encoding runs in Arrow batches on the executors.  Texts are cut before blanks
+(see ``pieces``) and every distinct piece is encoded by the library once per
+worker and kept in a bounded memory; the ids are the same as those of the whole
+text.  A text that holds an added token literally goes to the library whole.
 
 Defined results: a null text is empty and gives only the end id; null ids come
 first; rows with the same id are ordered by the hash of their text; an empty
@@ -33,23 +32,24 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kindred.llm import pieces as P
 from kindred.llm.common import bounded_broadcast, text_key
 from kindred.session import scratch_path, ship_package
 
 BLOCK = 512
 END_ID = 2
 SEGMENT_IDS = 1 << 18
-#: Pieces kept per Python worker; the memory is emptied when full.
-MEMORY_PIECES = 600_000
+#: Pieces, and bytes of their ids, kept per Python worker; the memory starts anew when full.
+MEMORY_PIECES, MEMORY_BYTES = 1_000_000, 128 << 20
+#: Text encoded at a time.
+SLICE_BYTES = 4 << 20
 #: Ids decoded at a time while files are read back.
 SLICE_IDS = 1 << 20
-#: A cut before a blank is safe unless white space stands on both of its sides
-#: (or before it, at the text's end).
-UNSAFE = re.compile(r"\s (?:\s|\Z)")
 
 CODE_SCHEMA = ("part int, segment int, first long, n_ids long, doc_ids array<{id}>, doc_sizes array<long>, "
                "levels array<binary>, bitmaps array<binary>, ranks array<binary>")
@@ -118,85 +118,56 @@ class Codes:
 # -- encoding ---------------------------------------------------------------
 
 class Encoder:
-    """Encodes texts with a tokenizer file, remembering the ids of pieces and
-    of the pre-tokens in them."""
+    """Encodes texts with a tokenizer file, remembering the ids of pieces."""
 
-    #: What the tokenizer's byte-level pre-tokenizer cuts a text into.
-    PRE_TOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-    #: Pre-tokens that may stand in a row in one text without any merging into its neighbour.
-    APART = re.compile(r" (?:[^\W\d_]+|[0-9]+)\Z")
-    JOINED = 64
-
-    def __init__(self, tokenizer_path: str, memory: int = MEMORY_PIECES, added_tokens: bool = False):
+    def __init__(self, tokenizer_path: str, memory: int = MEMORY_PIECES, added_tokens: bool = False,
+                 memory_bytes: int = MEMORY_BYTES):
         """With ``added_tokens``, an added token inside a text is its one id, as
         the library has it by default; without, it is ordinary text."""
-        from tokenizers import Tokenizer
-        self._tokenizer = Tokenizer.from_file(tokenizer_path)
-        self._tokenizer.encode_special_tokens = True  # this class finds the added tokens itself
-        added = self._tokenizer.get_added_tokens_decoder() if added_tokens else {}
-        for t in added.values():
-            if not t.special or t.lstrip or t.rstrip or t.single_word or t.normalized:
-                raise ValueError(f"added token {t.content!r} is not matched literally")
-        self._added = {t.content: np.array([i], "<u4").tobytes() for i, t in added.items()}
-        # At one place the longest token is the library's match.
-        self._at_added = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
-        self._pieces: dict[str, bytes] = {}
-        self._tokens: dict[str, bytes] = {}
-        self._limit = memory
-        vocabulary = self._tokenizer.get_vocab()
-        self._bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)  # byte-level: a character a byte
-        for token, i in vocabulary.items():
-            self._bytes_of[i] = len(token)
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Pieces whose ids, put in a row, are the text's ids."""
-        if not text:
-            return []
-        if UNSAFE.search(text):
-            return [text]
-        first, *others = text.split(" ")
-        return ([first] if first else []) + [" " + x for x in others]
-
-    def _cut(self, text: str) -> list[str]:
-        """``pieces`` of the text between added tokens, and these whole."""
-        if not any(t in text for t in self._added):
-            return self.pieces(text)
-        return [p for part in self._at_added.split(text) for p in ([part] if part in self._added else self.pieces(part))]
-
-    def _learn_tokens(self, new: list[str]) -> None:
-        """Encode pre-tokens; those that stay apart in a row share one call,
-        and the bytes that each id stands for show where a pre-token ends."""
-        apart = [t for t in new if self.APART.match(t)]
-        rest = [t for t in new if not self.APART.match(t)]
-        rows = [apart[i:i + self.JOINED] for i in range(0, len(apart), self.JOINED)]
-        for row, e in zip(rows, self._tokenizer.encode_batch_fast(["".join(r) for r in rows], add_special_tokens=False)):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum(self._bytes_of[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(t.encode()) for t in row])) + 1
-            data, begin = ids.tobytes(), 0
-            for token, cut in zip(row, cuts.tolist()):
-                self._tokens[token] = data[4 * begin:4 * cut]
-                begin = cut
-        for token, e in zip(rest, self._tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
-            self._tokens[token] = np.array(e.ids, "<u4").tobytes()
+        self._library = P.ByteEncoder(tokenizer_path, special_as_text=not added_tokens)
+        added = self._library.tokenizer.get_added_tokens_decoder() if added_tokens else {}
+        self._added = "|".join(re.escape(t.content) for t in added.values())
+        encode = self._library.encode
+        self._first = P.Memory(lambda new: [encode(new)], memory, memory_bytes)
+        self._rest = P.Memory(lambda new: [encode([" " + p for p in new])], memory, memory_bytes)
+
+    def encode(self, texts: pa.Array) -> pa.LargeListArray:
+        """Per text (none null) its ids."""
+        if self._added:
+            # White space before an added token counts as the text's end: such texts go to the library whole.
+            held = pc.match_substring_regex(texts, self._added)
+            if pc.any(held).as_py():
+                at = held.to_numpy(zero_copy_only=False)
+                order = np.empty(len(at), np.int64)
+                order[~at] = np.arange((~at).sum())
+                order[at] = (~at).sum() + np.arange(at.sum())
+                parts = [self._cut_and_encode(texts.filter(pc.invert(held))), self._library.whole(texts.filter(held).to_pylist())]
+                return pa.concat_arrays(parts).take(pa.array(order))
+        return self._cut_and_encode(texts)
+
+    def _cut_and_encode(self, texts: pa.Array) -> pa.LargeListArray:
+        n = len(texts)
+        if not n:
+            return self._library.whole([])
+        split = P.cut(texts)
+        ptr = split.offsets.to_numpy().astype(np.int64)
+        values = split.values.slice(ptr[0], ptr[-1] - ptr[0])
+        ptr -= ptr[0]
+        is_rest = np.ones(len(values), bool)
+        is_rest[ptr[:-1]] = False
+        codes, tables, known = np.empty(len(values), np.int64), [], 0
+        for memory, at in ((self._first, ~is_rest), (self._rest, is_rest)):
+            coded = pc.dictionary_encode(values.filter(pa.array(at)))
+            if len(coded):
+                places = memory.places(coded.dictionary.to_pylist())
+                codes[at] = known + coded.indices.to_numpy()
+                tables.append(memory.table[0].take(pa.array(places)))
+                known += len(places)
+        ids = pa.concat_arrays(tables).take(pa.array(codes))
+        return pa.LargeListArray.from_arrays(ids.offsets.take(pa.array(ptr)), ids.values)
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._cut(t) for t in texts]
-        known, tokens, split = self._pieces, self._tokens, self.PRE_TOKEN.findall
-        new = {p for pieces in cut for p in pieces if p not in known}
-        if len(known) + len(new) > self._limit:
-            known.clear()
-            new = {p for pieces in cut for p in pieces}
-        if len(tokens) > self._limit:
-            tokens.clear()
-        known.update((p, self._added[p]) for p in new if p in self._added)
-        inside = {p: split(p) for p in new if p not in self._added}
-        self._learn_tokens(list({t for ts in inside.values() for t in ts if t not in tokens}))
-        get = tokens.__getitem__
-        for p, ts in inside.items():
-            known[p] = b"".join(map(get, ts))
-        return [np.frombuffer(b"".join(map(known.__getitem__, pieces)), "<u4") for pieces in cut]
+        return [x.values.to_numpy() for x in self.encode(pa.array(texts, pa.string()))]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -223,34 +194,39 @@ def write_codes(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, part = _encoder(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4")
-        segment, first, n, doc_ids, parts = 0, 0, 0, [], []
+        end = np.uint32(end_id)
+        segment, first, n, held = 0, 0, 0, []
+        arrow = None
 
         def close():
-            nonlocal segment, first, n, doc_ids, parts
-            levels, bitmaps, ranks = encode_codes(np.concatenate(parts))
-            row = {"part": part, "segment": segment, "first": first, "n_ids": n, "doc_ids": doc_ids,
-                   "doc_sizes": [len(x) + 1 for x in parts[::2]], "levels": levels, "bitmaps": bitmaps, "ranks": ranks}
-            segment, first, n, doc_ids, parts = segment + 1, first + n, 0, [], []
-            return pa.RecordBatch.from_pylist([row], schema=arrow)
+            nonlocal segment, first, n, held
+            doc_ids, sizes, ids = zip(*held)
+            levels, bitmaps, ranks = encode_codes(np.concatenate(ids))
+            row = [part, segment, first, n, pa.concat_arrays(doc_ids), np.concatenate(sizes), levels, bitmaps, ranks]
+            segment, first, n, held = segment + 1, first + n, 0, []
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, arrow)], schema=arrow)
 
-        arrow = None
         for batch in batches:
             if arrow is None:
                 arrow = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("first", pa.int64()),
                                    ("n_ids", pa.int64()), ("doc_ids", pa.list_(batch.schema.field("_id").type)),
                                    ("doc_sizes", pa.list_(pa.int64())), ("levels", pa.list_(pa.binary())),
                                    ("bitmaps", pa.list_(pa.binary())), ("ranks", pa.list_(pa.binary()))])
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                encoded = encoder.encode_batch(some.column(1).to_pylist())
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoded):
-                    doc_ids.append(doc_id)
-                    parts += [ids, end]
-                    n += len(ids) + 1
+            for begin, stop in P.byte_slices(batch.column(1), SLICE_BYTES):
+                doc_ids, texts = (batch.column(c).slice(begin, stop - begin) for c in (0, 1))
+                found = encoder.encode(texts)
+                sizes = pc.list_value_length(found).to_numpy().astype(np.int64)
+                ids = np.insert(found.flatten().to_numpy(), np.cumsum(sizes), end)
+                sizes += 1
+                ends, done, taken = np.cumsum(sizes), 0, 0
+                while done < len(sizes):
+                    upto = min(int(np.searchsorted(ends, taken + segment_ids - n)) + 1, len(sizes))
+                    held.append((doc_ids.slice(done, upto - done), sizes[done:upto], ids[taken:ends[upto - 1]]))
+                    n += int(ends[upto - 1]) - taken
+                    done, taken = upto, int(ends[upto - 1])
                     if n >= segment_ids:
                         yield close()
-        if parts:
+        if held:
             yield close()
 
     dealt.mapInArrow(encode, schema).write.option("compression", "none").parquet(path)
@@ -283,13 +259,20 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 start, doc_ids, sizes, levels, bitmaps, ranks = (batch.column(c)[k] for c in range(6))
                 codes = Codes(*([x.as_buffer() for x in col] for col in (levels, bitmaps, ranks)))
                 sizes = np.asarray(sizes.values, dtype=np.int64)
-                begins = np.concatenate(([0], np.cumsum(sizes)[:-1])).astype(np.int64)
-                sums = []
-                for begin, size in zip(begins.tolist(), sizes.tolist()):
-                    crc = 0
-                    for at in range(begin, begin + size, SLICE_IDS):
-                        crc = zlib.crc32(codes.slice(at, min(at + SLICE_IDS, begin + size)), crc)
-                    sums.append(crc)
+                ends = np.cumsum(sizes)
+                begins, n = ends - sizes, int(ends[-1])
+                sums, doc, begin = [0] * len(sizes), 0, 0
+                stops = ends.tolist()
+                for at in range(0, n, SLICE_IDS):
+                    upto = min(at + SLICE_IDS, n)
+                    some = memoryview(codes.slice(at, upto)).cast("B")
+                    while doc < len(stops):
+                        stop = min(stops[doc], upto)
+                        sums[doc] = zlib.crc32(some[4 * (begin - at):4 * (stop - at)], sums[doc])
+                        begin = stop
+                        if stops[doc] > upto:
+                            break
+                        doc += 1
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids.values, pa.array(begins + start.as_py()), pa.array(sizes), pa.array(sums, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
