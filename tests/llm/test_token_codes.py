@@ -39,6 +39,30 @@ def test_codes(ids, data):
 TEXT = st.lists(st.sampled_from(list("ab 'sT9.,\n\t é_\u00a0\u3000\U0001f600-") + ["  ", "'ll", " don't", "<|endoftext|>"]), max_size=60).map("".join)
 
 
+#: All control characters and blanks, number letters, marks, unassigned and any other code points.
+ODD = st.lists(st.sampled_from([chr(c) for c in (*range(0x21), *range(0x7F, 0xA1))]) | st.sampled_from(list("ab'9. _") + ["'s", "  "])
+               | st.sampled_from([chr(c) for c in (0x1680, 0x180E, *range(0x2000, 0x2010), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF,
+                                                   0xBD, 0xB2, 0x2167, 0x3007, 0x301, 0x903, 0x378, 0x2FE0, 0xE000, 0x10FFFF)])
+               | st.characters(codec="utf-8"), max_size=25).map("".join)
+
+
+@settings(max_examples=1000, deadline=None)
+@given(texts=st.lists(ODD, min_size=1, max_size=6))
+def test_odd_code_points(encoder, unmodified, tokenizer, texts):
+    for e, library in ((encoder, tokenizer), (T._encoder(tokenizer_path()), unmodified)):
+        got = [x.tolist() for x in e.encode_batch(texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("lower", range(0, 0x110000, 0x22000))
+def test_every_code_point(unmodified, lower):
+    texts = [f"{c} a{c} {c}  {c}b {c}{c} {c}'s\n {c}" for c in map(chr, range(lower, lower + 0x22000, 3)) if not "\ud800" <= c <= "\udfff"]
+    for k in range(0, len(texts), 5000):
+        got = T._encoder(tokenizer_path()).encode_batch(texts[k:k + 5000])
+        want = unmodified.encode_batch(texts[k:k + 5000], add_special_tokens=False)
+        assert [x.tolist() for x in got] == [e.ids for e in want]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(TEXT, min_size=1, max_size=4))
 def test_pieces_give_the_same_ids(encoder, tokenizer, texts):
