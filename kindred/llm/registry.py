@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import (decontaminate, exact_dedup, line_dedup, minhash, mixing, pii, quality, token_codes,
-                         toxicity, url_filter)
+from kindred.llm import (decontaminate, exact_dedup, line_dedup, merkle, minhash, mixing, pii, quality, quality_rules,
+                         sampling, token_alignment, token_codes, toxicity, url_filter)
 
 #: Fixed values of the URL query: (verdict, host, path).
 URL_RULES = (
@@ -25,9 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def q_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +93,24 @@ def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_personal_data(table(spark, sf_dir, "documents")).drop("n_more")
 
 
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict per document."""
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", *quality_rules.BASE, "base_failed", "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+def q_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof and check per document; where 7 divides the id's CRC-32, of a row whose n_chars grew by 1."""
+    found = merkle.manifest(table(spark, sf_dir, "documents"), changed={"n_chars": F.col("n_chars") + 1},
+                            changes=sampling.remainder(F.col("doc_id"), 7) == 0)
+    return merkle.verify(found).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers per document."""
+    return token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_source_mixing": q_mixing,
     "op2_benchmark_decontamination": q_decontamination,
@@ -105,6 +123,9 @@ QUERIES = {
     "op8_exact_dedup": q_exact_dedup,
     "op9_toxicity": q_toxicity,
     "op10_pii": q_pii,
+    "op11_quality_rules": q_quality_rules,
+    "op12_merkle_manifest": q_merkle,
+    "op13_token_alignment": q_token_alignment,
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -194,4 +215,50 @@ FROM k GROUP BY doc_id""",
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_merkle_manifest": """
+WITH RECURSIVE e AS (
+  SELECT doc_id, n_chars, coalesce('=' || lang, '') AS grp,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR), '-')
+           || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         coalesce(strlen(text) || ':' || text, '-') AS tail,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                                                        lambda c: CAST(ascii(c) AS BIGINT))),
+             lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+               lambda r, z: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END)), 4294967295) AS crc
+  FROM documents),
+f AS (
+  SELECT doc_id, grp, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+         sha256(head || coalesce(strlen(CAST(n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END AS VARCHAR)) || ':'
+                                 || (n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END), '-') || tail) AS changed FROM e),
+l AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id ASC NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY grp) AS n FROM f),
+t(grp, lvl, pos, h, n) AS (
+  SELECT grp, 0, pos, leaf, n FROM l
+  UNION ALL
+  SELECT grp, lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2
+  FROM t WHERE n > 1 GROUP BY grp, lvl, pos // 2),
+s AS (SELECT grp, h AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+u(lvl, pos, h, n) AS (
+  SELECT 0, pos, subroot, n FROM s
+  UNION ALL
+  SELECT lvl + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 1) // 2 FROM u WHERE n > 1 GROUP BY lvl, pos // 2),
+steps AS (
+  SELECT l.grp, l.pos, g.lvl, t.h, t.pos < l.pos >> g.lvl AS before
+  FROM l JOIN (SELECT DISTINCT grp, lvl FROM t WHERE n > 1) g ON l.grp = g.grp
+  LEFT JOIN t ON t.grp = l.grp AND t.lvl = g.lvl AND t.pos = xor(l.pos >> g.lvl, 1)
+  UNION ALL
+  SELECT l.grp, l.pos, 1000 + g.lvl, u.h, u.pos < s.pos >> g.lvl
+  FROM l JOIN s ON l.grp = s.grp CROSS JOIN (SELECT DISTINCT lvl FROM u WHERE n > 1) g
+  LEFT JOIN u ON u.lvl = g.lvl AND u.pos = xor(s.pos >> g.lvl, 1)),
+p AS (
+  SELECT grp, pos, coalesce(string_agg(h, '' ORDER BY lvl), '') AS proof,
+         list(CASE WHEN h IS NULL THEN 'N' WHEN before THEN 'L' || h ELSE 'R' || h END ORDER BY lvl) AS path
+  FROM steps GROUP BY grp, pos),
+o AS (
+  SELECT l.doc_id, l.leaf, s.subroot, r.h AS root, sha256(coalesce(p.proof, '')) AS proof_sha256,
+         list_reduce(list_prepend(l.changed, coalesce(p.path, [])), lambda a, b: sha256(
+           CASE b[1] WHEN 'L' THEN b[2:] || a WHEN 'R' THEN a || b[2:] ELSE a END)) AS folded_root
+  FROM l JOIN s ON l.grp = s.grp LEFT JOIN p ON l.grp = p.grp AND l.pos = p.pos JOIN (SELECT h FROM u WHERE n = 1) r ON true)
+SELECT *, folded_root = root AS verified FROM o""",
 }
