@@ -49,10 +49,10 @@ from kindred.llm.common import materialize
 from kindred.session import ship_package
 
 #: Text of a block, and of the pieces whose matrices are built at once.
-BLOCK_BYTES = 4 << 20
-MATRIX_BYTES = 1 << 20
+BLOCK_BYTES = 2 << 20
+MATRIX_BYTES = 1 << 19
 #: Pieces, and bytes of their results, kept per Python worker; the memory starts anew when full.
-MEMORY_PIECES, MEMORY_BYTES = 400_000, 128 << 20
+MEMORY_PIECES, MEMORY_BYTES = 300_000, 96 << 20
 SPACE = "▁"
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
