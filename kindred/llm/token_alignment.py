@@ -19,7 +19,7 @@ links are those of its pieces.
 
 *Counts.*  Documents are taken in blocks of ``BLOCK_BYTES`` of text.  A block is
 one stored row: per document the id pairs it links and how often, as places
-in the block's list of distinct pairs.  Only these distinct pairs, with the number of the
+in the block's list of distinct pairs, compressed.  Only these distinct pairs, with the number of the
 block's documents that hold them, are shuffled to be counted over the corpus;
 the counts go back to the blocks by one join.  Neither depends on how many
 documents share a pair, and nothing is broadcast.
@@ -52,7 +52,7 @@ from kindred.session import ship_package
 BLOCK_BYTES = 2 << 20
 MATRIX_BYTES = 1 << 19
 #: Pieces, and bytes of their results, kept per Python worker; the memory starts anew when full.
-MEMORY_PIECES, MEMORY_BYTES = 300_000, 96 << 20
+MEMORY_PIECES, MEMORY_BYTES = 150_000, 48 << 20
 SPACE = "▁"
 
 COUNTS = ("n_a", "n_b", "n_groups", "n_links", "n_overlaps")
@@ -268,6 +268,16 @@ def _aligner(a_path: str, b_path: str) -> Aligner:
     return _ALIGNERS[a_path, b_path]
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Rising or small numbers as few bytes: differences, compressed."""
+    return pa.compress(np.diff(numbers, prepend=numbers.dtype.type(0)).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: pa.Scalar, dtype: type, n: int) -> np.ndarray:
+    raw = pa.decompress(data.as_buffer(), n * np.dtype(dtype).itemsize, codec="zstd", asbytes=True)
+    return np.cumsum(np.frombuffer(raw, dtype), dtype=dtype)
+
+
 # -- corpus -----------------------------------------------------------------------
 
 def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -292,7 +302,7 @@ def blocks(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", te
                 some = batch.slice(begin, end - begin)
                 b = aligner.block(some.column(1))
                 row = [n, some.column(0).to_pylist(), *(b[c] for c in COUNTS), b["groups_sha256"], b["pairs"], b["pair_docs"],
-                       b["ptr"].tobytes(), b["at"].tobytes(), b["times"].tobytes()]
+                       _pack(b["ptr"]), _pack(b["at"]), _pack(b["times"])]
                 yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds)], names=names)
                 n += 1
 
@@ -326,7 +336,8 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {name: batch.column(i)[k] for i, name in enumerate(columns)}
-                at, times, ptr = (np.frombuffer(row[c].as_buffer(), t) for c, t in (("at", np.int32), ("times", np.int64), ("ptr", np.int64)))
+                ptr = _unpack(row["ptr"], np.int64, len(row["doc_ids"]) + 1)
+                at, times = _unpack(row["at"], np.int32, int(ptr[-1])), _unpack(row["times"], np.int64, int(ptr[-1]))
                 n_docs, best = np.zeros(0, np.int64), np.zeros(0, bool)
                 if row["answer"].is_valid:
                     answer = row["answer"].values
