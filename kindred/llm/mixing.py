@@ -8,7 +8,8 @@
   ``max_epochs`` times its own size, the excess shared out again by weight.
 * A source is taken in complete epochs first.  The rest of its target is the
   fractional selection: documents in key order while their sizes sum up to it;
-  the document that crosses the target is taken in part.
+  the document that crosses the target is taken whole or left, whichever ends
+  nearer to the target (taken, if both are as near).
 
 No task sees a whole source.  The keys of a source with n documents are cut
 into about sqrt(n) ranges of about sqrt(n) documents; the sizes summed per
@@ -95,7 +96,8 @@ def _keys(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: st
 def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle: tuple[float, ...], max_epochs: int,
            budget_share: float, seed: str, quality: Column | None, whole_rows: bool) -> DataFrame:
     """Keys of the documents with ``_target, _epochs`` and ``_part`` (words of
-    the fractional selection); with ``_row``, the input row, if asked for."""
+    the fractional selection: all of the document's or none); with ``_row``, the
+    input row, if asked for."""
     light = materialize(_keys(docs, id_col, text_col, source_col, seed, quality), "mix-keys")
     sources = light.groupBy("_source").agg(F.sum("_words").alias("_size"), F.count("*").alias("_n"),
                                            F.avg("_quality").alias("_mean"))
@@ -129,8 +131,9 @@ def _taken(docs: DataFrame, id_col: str, text_col: str, source_col: str, cycle:
                 .rowsBetween(Window.unboundedPreceding, -1))
     on_edge = (placed.filter("_range = _edge")
                .withColumn("_seen", F.col("_before") + F.coalesce(F.sum("_words").over(in_order), F.lit(0)))
-               .withColumn("_part", F.least(F.col("_words"), F.greatest(F.lit(0).cast("long"),
-                                                                       F.col("_rest") - F.col("_seen"))))
+               .withColumn("_part", F.when((F.col("_rest") > F.col("_seen"))
+                                           & (2 * (F.col("_rest") - F.col("_seen")) >= F.col("_words")), F.col("_words"))
+                           .otherwise(F.lit(0).cast("long")))
                .drop("_seen"))
     return off_edge.unionByName(on_edge)
 
@@ -147,29 +150,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         (F.col("_epochs") * F.col("_words") + F.col("_part")).alias("taken"), F.col("_key").alias("sample_key"))
 
 
-def first_words(text: Column, n: Column) -> Column:
-    """The text up to the end of its n-th word."""
-    spans = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    return F.array_join(F.slice(spans, F.lit(1), n.cast("int")), "")
-
-
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                     cycle: tuple[float, ...] = CYCLE, max_epochs: int = MAX_EPOCHS, budget_share: float = 1.0,
                     seed: str = SEED, quality: Column | None = None) -> DataFrame:
     """The mix as rows of ``docs``: a whole copy per epoch and one more if the
-    document is selected; of the one document per source that crosses the
-    target, its first words."""
+    document is selected."""
     rows = _taken(docs, id_col, text_col, source_col, cycle, max_epochs, budget_share, seed, quality, True)
-    cut = (F.col("_part") > 0) & (F.col("_part") < F.col("_words"))
     copies = F.when(F.col("_words") > 0, F.col("_epochs") + (F.col("_part") > 0).cast("long")).otherwise(0)
-    copied = (rows.filter(copies > 0)
-              .select("_row", F.when(cut, F.col("_part")).alias("_cut"), (F.col("_epochs") + 1).alias("_last"),
-                      F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("_copy")))
-    out = []
-    for c in docs.columns:
-        value = F.col("_row").getField(c)
-        if c == text_col:
-            value = F.when(F.col("_cut").isNotNull() & (F.col("_copy") == F.col("_last")),
-                           first_words(value, F.col("_cut"))).otherwise(value)
-        out.append(value.alias(c))
-    return copied.select(*out)
+    copied = rows.filter(copies > 0).select("_row", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    return copied.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -161,7 +161,7 @@ o AS (
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seen
   FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source)
 SELECT doc_id, size, source_size, target,
-       CAST(epochs * size + least(size, greatest(0, rest - seen)) AS BIGINT) AS taken FROM o""",
+       CAST(epochs * size + CASE WHEN rest > seen AND 2 * (rest - seen) >= size THEN size ELSE 0 END AS BIGINT) AS taken FROM o""",
     "op2_benchmark_decontamination": rf"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
