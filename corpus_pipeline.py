@@ -9,11 +9,10 @@ is written as Parquet and reread as the next stage's documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kindred.llm import decontaminate, minhash, mixing, token_codes, toxicity
 from kindred.llm.common import materialize
-from kindred.llm.registry import NEAR_SHINGLE, table, tokenizer_path
+from kindred.llm.registry import table, tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +21,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: its smallest id (of
-    repeated rows with that id and set, one by text)."""
-    return minhash.keep_one(docs, shingle=NEAR_SHINGLE)
+    """One document of each near-duplicate group (shingles of five words) stays:
+    its smallest id (of repeated rows with that id and set, one by text)."""
+    return minhash.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +33,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole copies by epoch, then the fractional selection."""
-    mixed = mixing.mixed_documents(docs)
-    return mixed.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else mixed
+    return mixing.mixed_documents(docs)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
