@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kindred import model
+from kindred.functions import numeric
 
 DOC_TYPE = "map<string,variant>"
 
@@ -149,22 +150,10 @@ def epoch_millis_to_timestamp(text_col: Column) -> Column:
 
 
 def exact_score(text_col: Column) -> Column:
-    """Numeric text -> score, NULL where the score type does not hold it
-    exactly: too many fraction digits, or (with an exponent) a value that the
-    cast changes."""
-    text_col = F.trim(text_col)
-    score = text_col.try_cast(model.SCORE_TYPE)
-    plain = text_col.rlike(r"^[+-]?[0-9]*\.?[0-9]*$")
-    fraction = F.regexp_extract(text_col, r"\.([0-9]*?)0*$", 1)
-    exact = F.when(plain, F.length(fraction) <= model.SCORE_SCALE) \
-        .otherwise(score.cast("double") == text_col.try_cast("double"))
-    return F.when(exact, score)
-
-
-def is_number(text_col: Column) -> Column:
-    """Text of a finite number."""
-    d = text_col.try_cast("double")
-    return F.coalesce(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), F.lit(False))
+    """Numeric text -> score decimal, NULL where that type does not hold the
+    number exactly (and for what is no number)."""
+    number = numeric.number_text(text_col)
+    return F.when(numeric.fraction_digits(number) <= model.SCORE_SCALE, number.try_cast(model.SCORE_TYPE))
 
 
 def expire_timestamp(text_col: Column, iso: bool = True) -> Column:

@@ -28,8 +28,8 @@ STORE_ID = "_id"
 # a single-character wildcard, "%" any run).
 IMPORTED_LIKE = "_imported_%:%"
 
-# Unbounded NUMERIC is held as DECIMAL(38,18): 20 integer and 18 fraction digits.
-# A number that does not fit exactly is a reject, never rounded.
+# Unbounded NUMERIC is held as text with a key that sorts as the numbers do; beside
+# them stands a DECIMAL(38,18) for arithmetic, null where it would have to round.
 SCORE_SCALE = 18
 SCORE_TYPE = T.DecimalType(38, SCORE_SCALE)
 
@@ -49,7 +49,9 @@ LEGACY_HASH = T.StructType([
 LEGACY_ZSET = T.StructType([
     T.StructField("_key", T.StringType(), False),
     T.StructField("value", T.StringType(), False),
-    T.StructField("score", SCORE_TYPE, False),
+    T.StructField("score", SCORE_TYPE, True),
+    T.StructField("score_text", T.StringType(), False),
+    T.StructField("score_key", T.StringType(), False),
     T.StructField("type", T.StringType(), False),
 ])
 LEGACY_SET = T.StructType([
@@ -131,6 +133,6 @@ DOMAINS = {
 #   imported     - not in legacy_imported
 DOCUMENT_REASONS = ("not_an_object", "missing_key", "null_key")
 CATALOG_REASONS = ("null_score", "null_value", "bad_expire")
-CHILD_REASONS = ("bad_score", "inexact_score", "null_payload", "members_not_array",
+CHILD_REASONS = ("bad_score", "null_payload", "members_not_array",
                  "null_member", "array_not_array")
 IMPORTED_REASONS = ("bad_imported_key", "bad_imported_type", "bad_imported_id")

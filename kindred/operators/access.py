@@ -10,9 +10,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kindred.functions import numeric as N
 from kindred.operators.stage import materialize
 from kindred.operators.tables import _as_of
 
@@ -41,10 +44,28 @@ def objects_of_type(catalog: DataFrame, type_: str) -> DataFrame:
     return catalog.where(F.col("type") == type_)
 
 
-def _zset_order() -> list[Column]:
+def _score_column(zset: DataFrame) -> str:
+    """What a sorted set is ordered by: the key of numbers without bounds where
+    the table has it."""
+    return "score_key" if "score_key" in zset.columns else "score"
+
+
+def _zset_order(zset: DataFrame) -> list[Column]:
     # Score descending as declared; equal scores by member text descending,
     # which fixes an order the source leaves open.
-    return [F.col("score").desc(), F.col("value").desc()]
+    return [F.col(_score_column(zset)).desc(), F.col("value").desc()]
+
+
+def _bound(zset: DataFrame, value) -> Column:
+    """A score bound: a number, or the text of one of any size."""
+    column = _score_column(zset)
+    if column == "score":
+        return F.lit(value).cast(zset.schema["score"].dataType)
+    text = format(Decimal(str(value)), "f") if isinstance(value, (int, float, Decimal)) else str(value)
+    key = zset.sparkSession.range(1).select(N.order_key(N.number_text(F.lit(text))).alias("k")).first()["k"]
+    if key is None:
+        raise ValueError(f"{value!r} is not a number")
+    return F.lit(key)
 
 
 def zset_top_n(zset: DataFrame, n: int) -> DataFrame:
@@ -52,18 +73,20 @@ def zset_top_n(zset: DataFrame, n: int) -> DataFrame:
     1-based ``rank``.  Spark plans a partial WindowGroupLimit before the
     shuffle, so each map task sends at most ``n`` rows per key: a huge set
     costs no more shuffle than a small one."""
-    w = Window.partitionBy("_key").orderBy(*_zset_order())
+    w = Window.partitionBy("_key").orderBy(*_zset_order(zset))
     return (zset.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= n))
 
 
 def zset_range_by_score(zset: DataFrame, lo=None, hi=None) -> DataFrame:
-    """Members with ``lo <= score <= hi`` (either bound may be open)."""
+    """Members with ``lo <= score <= hi`` (either bound may be open; numbers, or
+    their text where no other type holds them)."""
     cond = F.lit(True)
+    score = F.col(_score_column(zset))
     if lo is not None:
-        cond = cond & (F.col("score") >= F.lit(lo).cast(zset.schema["score"].dataType))
+        cond = cond & (score >= _bound(zset, lo))
     if hi is not None:
-        cond = cond & (F.col("score") <= F.lit(hi).cast(zset.schema["score"].dataType))
+        cond = cond & (score <= _bound(zset, hi))
     return zset.where(cond)
 
 
@@ -72,7 +95,8 @@ _IDX_BITS = 33  # monotonically_increasing_id = partition index << 33 | row inde
 
 def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
     """1-based rank of every member within its set (score descending, then
-    member descending): ``(_key, value, score, rank)``.
+    member descending): ``(_key, value, score, rank)`` and, where the table has
+    them, ``score_text, score_key``.
 
     A window partitioned by ``_key`` would sort each set inside one task; one
     set may hold a third of all rows.  Instead, with no step that groups a
@@ -89,12 +113,13 @@ def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
        cross a partition boundary have any - at most two per partition - so
        that table is bounded by the partition count and is broadcast.
     """
-    rows = zset.select("_key", "value", "score")
-    ordered = (rows.repartitionByRange("_key", *_zset_order())
-               .sortWithinPartitions("_key", *_zset_order())
+    columns = ["_key", "value", "score", *[c for c in ("score_text", "score_key") if c in zset.columns]]
+    rows = zset.select(*columns)
+    ordered = (rows.repartitionByRange("_key", *_zset_order(zset))
+               .sortWithinPartitions("_key", *_zset_order(zset))
                .withColumn("_rid", F.monotonically_increasing_id()))
     tagged = materialize(spark, ordered, "zset-rank").select(
-        "_key", "value", "score",
+        *columns,
         F.shiftrightunsigned("_rid", _IDX_BITS).alias("_pid"),
         F.col("_rid").bitwiseAND(F.lit((1 << _IDX_BITS) - 1)).alias("_pos"))
 
@@ -112,7 +137,7 @@ def zset_rank(spark: SparkSession, zset: DataFrame) -> DataFrame:
                      (F.sum("_n").over(Window.partitionBy("_key").orderBy("_pid")) - F.col("_n"))
                      .alias("_carry")))
     return (local.join(F.broadcast(carry), ["_key", "_pid"], "left")
-            .select("_key", "value", "score",
+            .select(*columns,
                     (F.col("_r") + F.coalesce(F.col("_carry"), F.lit(0))).alias("rank")))
 
 

@@ -38,10 +38,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import model
+from kindred.functions import jsonb as JB
 from kindred.functions import jsondoc as J
-from kindred.session import scratch_path
+from kindred.functions import numeric as N
+from kindred.session import scratch_path, ship_package
 
-STAGE_COLUMNS = ("data", "m", "uniq", "_key", "has_score", "value", "score", "expire_at",
+STAGE_COLUMNS = ("data", "m", "uniq", "texts", "_key", "has_score", "value", "score", "score_text", "expire_at",
                  "kind", "payload", "members", "items", "reason",
                  "imported", "imp_type", "imp_id", "imp_reason", "all_docs")
 
@@ -55,9 +57,21 @@ def _plain_kind(m: Column, ignore: tuple[str, ...]) -> Column:
             .otherwise(F.lit("hash")))
 
 
+def field_text(name: str) -> Column:
+    """A field's text out of ``texts`` where a document has them, else out of ``m``."""
+    return F.when(F.col("texts").isNotNull(), F.col("texts")[name]).otherwise(J.text("m", name))
+
+
+def field_elements(name: str) -> Column:
+    """An array field's elements as text; null if the field is no array."""
+    if name not in JB.ARRAY_FIELDS:
+        return J.elements_text("m", name)
+    return F.when(F.col("texts").isNotNull(), F.col("texts")[name]).otherwise(J.elements_text("m", name))
+
+
 def classify(docs: DataFrame, list_field: str = model.ARRAY,
              drop_fields: tuple[str, ...] = (model.STORE_ID,),
-             iso_expire: bool = True, keep_documents: str = "all") -> DataFrame:
+             iso_expire: bool = True, keep_documents: str = "all", json_text: str = "jsonb") -> DataFrame:
     """Parse and classify documents (column ``data``) -> stage rows.
 
     ``list_field`` is the field read as a list's payload (``"list"`` gives the
@@ -69,7 +83,10 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     where an output reads it (hash documents and imported records; every
     other kind is carried by the stage's scalar columns), which makes the
     staged table far smaller; ``"all"`` keeps it everywhere, as the
-    exact-join mode needs.
+    exact-join mode needs.  ``json_text="jsonb"`` gives the text of numbers and
+    nested values as JSONB prints it (:mod:`kindred.functions.jsonb`: an Arrow
+    function, given the documents that need it); ``"variant"`` takes VARIANT's
+    text everywhere.
 
     Apart from the small projection that resolves repeated fields, every
     expression is a plain built-in (no lambdas), so the classification
@@ -77,6 +94,8 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     """
     c = F.col
     m = c("m")
+    if json_text == "jsonb":
+        ship_package(docs.sparkSession)
     # Repeated fields are resolved once, up front, for the documents that
     # have them (the lambda only runs there).  Being a lambda, this
     # projection also ends the first code-generated stage, so that both
@@ -84,13 +103,17 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     parsed = (docs.select("data", J.parse(c("data")).alias("m0"))
               .select("data", "m0", J.unique_keys(c("m0")).alias("uniq"))
               .select("data", J.dedupe(c("m0"), c("uniq")).alias("m"), "uniq"))
+    if json_text not in ("jsonb", "variant"):
+        raise ValueError(f"json_text must be 'jsonb' or 'variant', not {json_text!r}")
+    none = F.lit(None).cast(JB.TYPE)
+    parsed = parsed.select("data", "m", "uniq", (JB.field_texts(c("data")) if json_text == "jsonb" else none).alias("texts"))
 
     def text(name: str) -> Column:
-        return J.text(m, name)
+        return field_text(name)
 
     key = text(model.KEY)
     base = parsed.select(
-        "data", "m", "uniq",
+        "data", "m", "uniq", "texts",
         key.alias("_key"),
         J.has(m, model.SCORE).alias("has_score"),
         text(model.VALUE).alias("value"),
@@ -111,10 +134,10 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     with_time = base.select(
         *base.columns,
         J.exact_score(c("score_text")).alias("score"),
-        J.is_number(c("score_text")).alias("numeric"),
+        N.number_text(c("score_text")).alias("number"),
         expire_at.alias("expire_at"))
     routed = with_time.select(
-        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score", "numeric",
+        *[c(x) for x in ("data", "m", "uniq", "texts", "_key", "has_score", "value", "score", "number",
                          "expire_at", "imported", "doc_reason")],
         F.when(candidate & ~expire_bad,
                F.when(zset_ok, F.lit("zset")).otherwise(c("plain_kind"))).alias("kind"),
@@ -126,9 +149,9 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
 
     kind = c("kind")
     payload = F.when(J.has(m, model.VALUE), c("value")).otherwise(text(model.DATA))
-    members = J.elements_text(m, model.MEMBERS)
+    members = field_elements(model.MEMBERS)
     items = (F.when(~J.has(m, list_field), F.array().cast("array<string>"))
-             .otherwise(J.elements_text(m, list_field)))
+             .otherwise(field_elements(list_field)))
     with_payload = routed.select(
         *routed.columns,
         F.when(kind == "string", payload).alias("payload"),
@@ -136,8 +159,7 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
         F.when(kind == "list", items).alias("items"))
 
     child_reason = (
-        F.when((kind == "zset") & c("score").isNull(),
-               F.when(c("numeric"), F.lit("inexact_score")).otherwise(F.lit("bad_score")))
+        F.when((kind == "zset") & c("number").isNull(), F.lit("bad_score"))
         .when((kind == "string") & c("payload").isNull(), F.lit("null_payload"))
         .when((kind == "set") & c("members").isNull(), F.lit("members_not_array"))
         .when((kind == "set") & J.has_null(c("members")), F.lit("null_member"))
@@ -160,7 +182,7 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
                         .when(~c("_itype").isin(*model.IMPORTED_TYPES), F.lit("bad_imported_type"))
                         .when(c("_iid").isNull(), F.lit("bad_imported_id")))
     reasons = parts.select(
-        *[c(x) for x in ("data", "m", "uniq", "_key", "has_score", "value", "score",
+        *[c(x) for x in ("data", "m", "uniq", "texts", "_key", "has_score", "value", "score", "number",
                          "expire_at", "kind", "payload", "members", "items", "reason")],
         c("imported_ok").alias("imported"),
         imp_reason.alias("imp_reason"),
@@ -176,7 +198,8 @@ def classify(docs: DataFrame, list_field: str = model.ARRAY,
     return reasons.select(
         # raw text is kept only where a reject needs it
         F.when(c("reason").isNotNull() | c("imp_reason").isNotNull(), c("data")).alias("data"),
-        doc.alias("m"), "uniq", "_key", "has_score", "value", "score", "expire_at", "kind", "payload",
+        doc.alias("m"), "uniq", "texts", "_key", "has_score", "value", "score", c("number").alias("score_text"), "expire_at",
+        "kind", "payload",
         "members", "items", "reason", "imported",
         F.when(good_imp, c("_itype")).alias("imp_type"),
         F.when(good_imp, c("_iid")).alias("imp_id"),

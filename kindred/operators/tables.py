@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from kindred import model
 from kindred.functions import jsondoc as J
-from kindred.operators.stage import materialize
+from kindred.functions import numeric as N
+from kindred.operators.stage import field_elements, field_text, materialize
 
 
 def _kind(t: str):
@@ -40,9 +41,17 @@ def legacy_hash(st: DataFrame, drop_fields: tuple[str, ...] = DROP) -> DataFrame
 
 
 def legacy_zset(st: DataFrame) -> DataFrame:
-    """``(_key, value, score)``; scores that are not numbers are rejects."""
-    return (st.where(_kind("zset") & F.col("score").isNotNull())
-            .select("_key", "value", "score", F.lit("zset").alias("type")))
+    """``(_key, value)`` with the score three times: ``score``, a decimal,
+    null where that type does not hold the number exactly; ``score_text``, the
+    number without bounds; ``score_key``, a text that sorts as the numbers do
+    (:mod:`kindred.functions.numeric`).  Scores that are not numbers are rejects."""
+    return _scored(st.where(_kind("zset") & F.col("score_text").isNotNull()))
+
+
+def _scored(rows: DataFrame) -> DataFrame:
+    number = F.col("score_text")
+    return rows.select("_key", "value", "score", N.plain_text(number).alias("score_text"),
+                       N.order_key(number).alias("score_key"), F.lit("zset").alias("type"))
 
 
 def legacy_set(st: DataFrame) -> DataFrame:
@@ -180,28 +189,28 @@ class Joined:
 
     def _items(self) -> F.Column:
         return (F.when(~J.has("m", self.list_field), F.array().cast("array<string>"))
-                .otherwise(J.elements_text("m", self.list_field)))
+                .otherwise(field_elements(self.list_field)))
 
     def _strings(self) -> DataFrame:
-        payload = F.when(J.has("m", model.VALUE), J.text("m", model.VALUE)).otherwise(J.text("m", model.DATA))
-        return self._docs("string", "m").select("_key", payload.alias("data"))
+        payload = F.when(J.has("m", model.VALUE), field_text(model.VALUE)).otherwise(field_text(model.DATA))
+        return self._docs("string", "m", "texts").select("_key", payload.alias("data"))
 
     def legacy_hash(self) -> DataFrame:
         more = self._docs("hash", "m").select("_key", _hash_data(self.drop_fields).alias("data"), F.lit("hash").alias("type"))
         return self._plain(legacy_hash(self.st, self.drop_fields)).unionByName(more)
 
     def legacy_zset(self) -> DataFrame:
-        more = (self._docs("zset", "value", "score").where(F.col("value").isNotNull() & F.col("score").isNotNull())
-                .select("_key", "value", "score", F.lit("zset").alias("type")))
+        more = _scored(self._docs("zset", "value", "score", "score_text")
+                       .where(F.col("value").isNotNull() & F.col("score_text").isNotNull()))
         return self._plain(legacy_zset(self.st)).unionByName(more)
 
     def legacy_set(self) -> DataFrame:
-        more = (self._docs("set", "m").select("_key", F.explode(J.elements_text("m", model.MEMBERS)).alias("member"))
+        more = (self._docs("set", "m", "texts").select("_key", F.explode(field_elements(model.MEMBERS)).alias("member"))
                 .where(F.col("member").isNotNull()).select("_key", "member", F.lit("set").alias("type")))
         return self._plain(legacy_set(self.st)).unionByName(more)
 
     def legacy_list(self) -> DataFrame:
-        more = (self._docs("list", "m").select("_key", self._items().alias("array"), F.lit("list").alias("type"))
+        more = (self._docs("list", "m", "texts").select("_key", self._items().alias("array"), F.lit("list").alias("type"))
                 .where(F.col("array").isNotNull()))
         return self._plain(legacy_list(self.st)).unionByName(more)
 
@@ -215,17 +224,17 @@ class Joined:
     def rejects(self) -> DataFrame:
         """``(_key, table_name, reason)``: joined documents of mixed keys that a
         child table cannot hold, besides :func:`rejects` of the stage."""
-        members = J.elements_text("m", model.MEMBERS)
+        members = field_elements(model.MEMBERS)
 
         def row(df: DataFrame, t: str, reason: F.Column) -> DataFrame:
             return (df.select("_key", F.lit(f"legacy_{t}").alias("table_name"), reason.alias("reason"))
                     .where(F.col("reason").isNotNull()))
 
-        score = (F.when(F.col("value").isNull(), F.lit("null_value")).when(F.col("score").isNull(), F.lit("bad_score")))
-        return (row(self._docs("zset", "m", "value", "score"), "zset", score)
-                .unionByName(row(self._docs("set", "m"), "set", F.when(members.isNull(), F.lit("members_not_array"))
+        score = (F.when(F.col("value").isNull(), F.lit("null_value")).when(F.col("score_text").isNull(), F.lit("bad_score")))
+        return (row(self._docs("zset", "m", "value", "score_text"), "zset", score)
+                .unionByName(row(self._docs("set", "m", "texts"), "set", F.when(members.isNull(), F.lit("members_not_array"))
                                  .when(J.has_null(members), F.lit("null_member"))))
-                .unionByName(row(self._docs("list", "m"), "list", F.when(self._items().isNull(), F.lit("array_not_array"))))
+                .unionByName(row(self._docs("list", "m", "texts"), "list", F.when(self._items().isNull(), F.lit("array_not_array"))))
                 .unionByName(row(self._strings(), "string", F.when(F.col("data").isNull(), F.lit("null_payload")))))
 
 

@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import model
+from kindred.functions import jsondoc as J, numeric as N
 from kindred.operators import access, catalog as C, integrity as I, stage as S, tables as TB
 from kindred.session import scratch_path
 from kindred.sources.documents import read_documents, write_array
+from kindred.sources.dump import write_dump
 from kindred.sources.fixtures import duckdb_objects_sql, export_fixture
 
 # Fixed parameters of the registered queries (epoch millis, UTC).
@@ -114,7 +116,7 @@ def q_legacy_hash_fields(spark, sf):
 
 def q_legacy_zset(spark, sf):
     return TB.legacy_zset(staged(spark, sf)).select(
-        "_key", "value", F.col("score").cast("double").alias("score"))
+        "_key", "value", F.col("score_text").cast("double").alias("score"), "score_text", "score_key")
 
 
 def q_legacy_set(spark, sf):
@@ -171,8 +173,9 @@ def _dirty_children(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "case when s_nationkey < 10 then 'string' when s_nationkey < 20 then 'text' end as type")
     zsets = customer.selectExpr(
         "concat('ghosts:', c_nationkey) as _key", "case when c_acctbal >= 0 then c_name end as value",
-        f"cast(c_custkey as {model.SCORE_TYPE.simpleString()}) as score",
-        "case when c_mktsegment = 'BUILDING' then 'hash' else 'zset' end as type")
+        f"cast(c_custkey as {model.SCORE_TYPE.simpleString()}) as score", "string(c_custkey) as score_text",
+        "case when c_mktsegment = 'BUILDING' then 'hash' else 'zset' end as type") \
+        .withColumn("score_key", N.order_key(F.col("score_text")))
     return {**kids, "legacy_string": kids["legacy_string"].unionByName(strings),
             "legacy_zset": kids["legacy_zset"].unionByName(zsets)}
 
@@ -237,7 +240,7 @@ def q_objects_of_type(spark, sf):
 
 
 def _zset_out(df: DataFrame, *extra: str) -> DataFrame:
-    return df.select("_key", "value", F.col("score").cast("double").alias("score"), *extra)
+    return df.select("_key", "value", F.col("score_text").cast("double").alias("score"), *extra)
 
 
 def q_zset_top_n(spark, sf):
@@ -354,6 +357,14 @@ def q_clustered_lookup(spark, sf):
     return _zset_out(back.where((F.col("_key") >= LOOKUP_FROM) & (F.col("_key") < LOOKUP_TO)))
 
 
+def q_dumped_objects(spark, sf):
+    """The documents written as a store's binary dump, read back and staged (K1)."""
+    path = scratch_path(spark, "dump")
+    objects = spark.read.parquet(exported(spark, sf)).where(J.parse("data").isNotNull())
+    write_dump(objects, path)
+    return _catalog_out(C.legacy_object(S.stage(spark, read_documents(spark, path, "bson"))))
+
+
 def q_clustered_zset(spark, sf):
     """The sorted sets clustered by key, written, and the whole table read back."""
     path = scratch_path(spark, "clustered")
@@ -412,6 +423,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "array_documents": q_array_documents,
     "migrated_tables": q_migrated_tables,
     "clustered_lookup": q_clustered_lookup,
+    "dumped_objects": q_dumped_objects,
     "clustered_zset": q_clustered_zset,
     "profile_tables": q_profile_tables,
 }
@@ -434,6 +446,8 @@ _SCORE_OK = ("(sd is not null and abs(sd) < 1e20 and case when regexp_full_match
              " then length(regexp_extract(st, '[.]([0-9]*?)0*$', 1)) <= 18"
              " else try_cast(format('{:.18f}', sd) as double) = sd end)")
 
+_NUMBER_OK = "coalesce(regexp_full_match(st, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,5})?'), false)"
+
 _IMPORTED_TYPES_SQL = ", ".join("'" + t + "'" for t in model.IMPORTED_TYPES)
 
 # The routing, restated over the same documents: catalog and children as in
@@ -490,12 +504,34 @@ legacy_hash as (
   select k as _key, data, 'hash' as type from routed where kind = 'hash'
 ),
 scored as (
-  -- scores as text: exact if they have at most 18 fraction digits and 20 integer digits
   select *, trim(s, ' ') as st, try_cast(trim(s, ' ') as double) as sd from routed
 ),
+digits as (
+  -- a score's text in parts: before and behind the point, exponent
+  select *, regexp_extract(st, '^[+-]?([0-9]*)', 1) as wi, regexp_extract(st, '[.]([0-9]*)', 1) as fr,
+         coalesce(try_cast(regexp_extract(st, '[eE](.*)$', 1) as bigint), 0) as ex
+  from scored where kind = 'zset' and {_NUMBER_OK}
+),
+placed as (
+  select *, wi || fr as wr, ltrim(wi || fr, '0') as ld, rtrim(ltrim(wi || fr, '0'), '0') as sig, length(fr) - ex as scale,
+         cast(greatest(length(wi || fr) - (length(fr) - ex), 0) as bigint) as cut from digits
+),
+texts as (
+  select *, 1000000 + sign(if(starts_with(st, '-'), -1, 1)) * (length(wi) - (length(wr) - length(ld)) + ex) as pw,
+         ltrim(case when scale <= 0 then wr || repeat('0', -scale) else left(wr, cut) end, '0') as l,
+         case when scale <= 0 then '' else repeat('0', greatest(scale - length(wr), 0)) || substr(wr, cut + 1) end as r
+  from placed
+),
 legacy_zset as (
-  select k as _key, v as value, sd as score, st as score_text, 'zset' as type
-  from scored where kind = 'zset' and {_SCORE_OK}
+  -- score: a double to compare with; score_dec: what a fixed decimal holds exactly
+  select k as _key, v as value, sd as score, case when {_SCORE_OK} then try_cast(st as decimal(38,18)) end as score_dec,
+         case when sig <> '' and starts_with(st, '-') then '-' else '' end || case l when '' then '0' else l end
+           || case r when '' then '' else '.' || r end as score_text,
+         case when sig = '' then '1'
+              when starts_with(st, '-') then '0' || lpad(pw::bigint::varchar, 7, '0') || translate(sig, '0123456789', '9876543210') || '~'
+              else '2' || lpad(pw::bigint::varchar, 7, '0') || sig end as score_key,
+         'zset' as type
+  from texts
 ),
 legacy_set as (
   select * from (
@@ -544,8 +580,10 @@ _DIRTY = """
   select 'ghost:' || s_suppkey, case when s_acctbal >= 0 then s_name end,
          case when s_nationkey < 10 then 'string' when s_nationkey < 20 then 'text' end from supplier),
 dirty_zset as (
-  select _key, value, score, type from legacy_zset union all
-  select 'ghosts:' || c_nationkey, case when c_acctbal >= 0 then c_name end, c_custkey::double,
+  select _key, value, score, score_text, score_key, type from legacy_zset union all
+  select 'ghosts:' || c_nationkey, case when c_acctbal >= 0 then c_name end, c_custkey::double, c_custkey::varchar,
+         case c_custkey when 0 then '1'
+              else '2' || lpad((1000000 + length(c_custkey::varchar))::varchar, 7, '0') || rtrim(c_custkey::varchar, '0') end,
          case when c_mktsegment = 'BUILDING' then 'hash' else 'zset' end from customer)
 """
 _DIRTY_OF = {"legacy_string": "dirty_string", "legacy_zset": "dirty_zset"}
@@ -564,8 +602,7 @@ select k as _key,
        when has_score and not imp and s is null then 'null_score'
        when has_score and not imp and v is null then 'null_value'
        when candidate and bad_exp then 'bad_expire'
-       when kind = 'zset' and (sd is null or isnan(sd) or isinf(sd)) then 'bad_score'
-       when kind = 'zset' and not """ + _SCORE_OK + """ then 'inexact_score'
+       when kind = 'zset' and not """ + _NUMBER_OK + """ then 'bad_score'
        when kind = 'string' and payload is null then 'null_payload'
        when kind = 'set' and json_type(data->'members') <> 'ARRAY' then 'members_not_array'
        when kind = 'set' and list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),
@@ -635,24 +672,23 @@ def _domain_sql() -> str:
 
 def _profile_sql() -> str:
     def one(c: str, orderable: bool = True) -> str:
+        c = "score_dec" if c == "score" else c
         mn = f"min({c})::varchar" if orderable else "null::varchar"
         mx = f"max({c})::varchar" if orderable else "null::varchar"
-        if c == "score":  # the engine's fixed number of fraction digits
-            mn, mx = ("try_cast(arg_" + f + "(score_text, score) as decimal(38,18))::varchar" for f in ("min", "max"))
-        return (f"select '{c}' as column_name, count(*)::bigint as n_rows,"
+        return (f"select '{'score' if c == 'score_dec' else c}' as column_name, count(*)::bigint as n_rows,"
                 f" count(*) filter (where {c} is null)::bigint as n_nulls,"
                 f" {mn} as min_value, {mx} as max_value from legacy_zset")
-    return "\nunion all\n".join(one(c) for c in ("_key", "value", "score", "type"))
+    return "\nunion all\n".join(one(c) for c in ("_key", "value", "score", "score_text", "score_key", "type"))
 
 
 def _profile_columns(name: str, schema) -> list[tuple[str, str, str]]:
     """``(column, its SQL, distinct count SQL)``; documents have no distinct count."""
     out = []
     for f in schema.fields:
-        x = {"array": "arr", "score": "score_text"}.get(f.name, f.name)
+        x = {"array": "arr", "score": "score_dec"}.get(f.name, f.name)
         variant = f.dataType.typeName() == "variant"
         out.append((f.name, x, "null::bigint" if variant else
-                    f"count(distinct {'try_cast(score_text as decimal(38,18))' if f.name == 'score' else x})::bigint"))
+                    f"count(distinct {x})::bigint"))
     return out
 
 
@@ -676,6 +712,7 @@ taken as (
 
 ORACLE: dict[str, str] = {
     "legacy_object": _sql(_CAT),
+    "dumped_objects": _sql(_CAT),
     "zset_objects": _sql(_CAT + " where type = 'zset'"),
     "plain_objects": _sql(_CAT + " where type <> 'zset'"),
     "type_counts": _sql("select type, count(*)::bigint as n_objects, count(expireAt)::bigint as n_expiring"
@@ -683,7 +720,7 @@ ORACLE: dict[str, str] = {
     "legacy_hash_fields": _sql(
         f"select _key, field, data->>field as value from (select _key, data, {_FIELDS} from legacy_hash)"
         " where field not in ('_key', 'expireAt')"),
-    "legacy_zset": _sql(_zset_sql("legacy_zset")),
+    "legacy_zset": _sql(_zset_sql("legacy_zset", "score_text", "score_key")),
     "legacy_set": _sql("select _key, member from legacy_set where member is not null"),
     "legacy_list": _sql("select _key, unnest(range(1, len(arr) + 1)) as pos, unnest(arr) as item"
                         " from legacy_list"),
@@ -733,11 +770,11 @@ ORACLE: dict[str, str] = {
     "zset_top_n": _sql(
         "select * from (" + _zset_sql(
             "legacy_zset",
-            "row_number() over (partition by _key order by score desc, value desc)::bigint as rank")
+            "row_number() over (partition by _key order by score_key desc, value desc)::bigint as rank")
         + f") where rank <= {TOP_N}"),
     "zset_range_by_score": _sql(_zset_sql("legacy_zset") + f" where score between {SCORE_LO} and {SCORE_HI}"),
     "zset_rank": _sql(_zset_sql(
-        "legacy_zset", "row_number() over (partition by _key order by score desc, value desc)::bigint as rank")),
+        "legacy_zset", "row_number() over (partition by _key order by score_key desc, value desc)::bigint as rank")),
     "profile_zset": _sql(_profile_sql()),
     "mixed_kind_keys": _sql(
         "select k as _key, string_agg(distinct kind, ',' order by kind) as kinds, count(*)::bigint as n_docs"
@@ -747,7 +784,7 @@ ORACLE: dict[str, str] = {
         " where type = 'hash') where field not in ('_key', 'expireAt')"),
     "exact_join_zset": _sql(
         "select _key, v as value, sd as score from (select *, trim(s, ' ') as st, try_cast(trim(s, ' ') as double) as sd"
-        f" from lj_exact) where type = 'zset' and v is not null and s is not null and {_SCORE_OK}"),
+        f" from lj_exact) where type = 'zset' and v is not null and s is not null and {_NUMBER_OK}"),
     "exact_join_string": _sql(
         f"select _key, data from (select _key, case when {_has('value')} then v else data->>'data' end"
         " as data from lj_exact where type = 'string') where data is not null"),
@@ -778,7 +815,7 @@ j as (
 why as (
   select _key, 'legacy_' || type as table_name,
          case type
-           when 'zset' then case when v is null then 'null_value' when s is null or not coalesce(""" + _SCORE_OK + """, false)
+           when 'zset' then case when v is null then 'null_value' when s is null or not """ + _NUMBER_OK + """
                                  then 'bad_score' end
            when 'set' then case when coalesce(json_type(data->'members'), '') <> 'ARRAY' then 'members_not_array'
                                 when list_contains(list_transform(from_json(data->'members', '["VARCHAR"]'),

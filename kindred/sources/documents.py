@@ -7,14 +7,16 @@ Formats
   ``jsonl`` / ``text``  JSON Lines: one document per line.  Splittable, so a
                         large file is read by many tasks.  The recommended
                         interchange format.
-  ``json``              A JSON array of documents per file.  The form that a
-                        one-shot export writes, indented by two blanks, is
-                        split between documents, so many tasks read one file.
-                        An array in another layout is one piece: one task
-                        reads it whole.  A piece that is not valid JSON (a file
-                        cut off, say) is passed on as it is and ends among the
-                        rejects; so does a line for every file whose array is
-                        not closed.
+  ``json``              A JSON array of documents per file, in any layout; many
+                        tasks read one file (:mod:`kindred.sources.arrays`).
+                        Elements are passed on as they are written; one that
+                        is not valid JSON ends among the rejects, as does a
+                        line for every file whose array is not closed.
+                        Compressed files, and file systems that only Spark
+                        opens, go through Spark's text reader, which splits
+                        arrays indented by two blanks (what a one-shot export
+                        writes) and reads others whole.
+  ``bson``              Dumps of a document store (:mod:`kindred.sources.dump`).
   ``parquet``           A table with a ``data`` column (string or variant).
   anything else         Passed through to ``spark.read.format(...)``; when the
                         result has no ``data`` column its rows are serialised
@@ -23,10 +25,18 @@ Formats
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.sources.arrays import read_arrays
+from kindred.sources.dump import read_dump
+
+# Paths that ``pyarrow.fs`` opens and whose files are not compressed.
+_OPENS = re.compile(r"(?:(?:file|hdfs|s3|gs):|(?![a-z0-9+]+:))(?!.*\.(?:gz|bz2|zst|lz4|snappy|deflate)\Z)", re.S)
+
 
 def _as_text(col: F.Column, dtype: T.DataType) -> F.Column:
     if isinstance(dtype, T.StringType):
@@ -46,7 +56,13 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
         df = spark.read.options(**options).text(paths)
         out = df.select(F.col("value").alias("data")).where(F.trim("data") != "")
     elif fmt == "json":
-        out = _read_arrays(spark, paths, options)
+        if not options and all(_OPENS.match(p) for p in paths):
+            from kindred.operators.stage import _split_bytes
+            out = read_arrays(spark, paths, _split_bytes(spark))
+        else:
+            out = _read_arrays(spark, paths, options)
+    elif fmt == "bson":
+        out = read_dump(spark, paths, **{k: int(v) for k, v in options.items()})
     elif fmt == "parquet":
         df = spark.read.options(**options).parquet(*paths)
         out = df.select(_as_text(F.col(column), df.schema[column].dataType).alias("data"))
@@ -59,7 +75,7 @@ def read_documents(spark: SparkSession, path: str | list[str], fmt: str = "jsonl
             out = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("data"))
     if partitions:
         out = out.repartition(partitions)
-    elif fmt != "json":
+    elif fmt not in ("json", "bson"):
         # a compressed JSON Lines file is unsplittable: spread few big inputs
         from kindred.operators.stage import spread
         out = spread(spark, out)

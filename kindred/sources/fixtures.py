@@ -136,6 +136,16 @@ DIRTY_SPARK_FAMILIES: dict[str, tuple[str, str, str | None, str | None]] = {
                         "to_json(named_struct('_key', concat('region:', r_regionkey, ':huge'), 'value', r_name,"
                         " 'score', concat(r_regionkey + 1, 'e30')))",
                         None, None),
+    "zset_wide_text": ("customer",
+                       "to_json(named_struct('_key', concat('nation:', c_nationkey, ':wide'), 'value', c_name, 'score',"
+                       " concat(case when c_acctbal < 0 then '-' else '' end, c_custkey,"
+                       " '9876543210987654321098765432109876543.', c_custkey, '0')))",
+                       None, None),
+    # Written as a number, with more digits than any fixed type has.
+    "zset_wide_number": ("supplier",
+                         "concat('{\"_key\":\"nation:', s_nationkey, ':wide\",\"value\":\"', s_name, '\",\"score\":',"
+                         " s_suppkey + 1, '9876543210987654321098765432109876543210}')",
+                         None, None),
     "doc_trailing_text": ("region", "concat(to_json(named_struct('_key', concat('region:', r_regionkey, ':twice'),"
                           " 'value', r_name)), ' ', to_json(named_struct('_key', r_name)))", None, None),
     "doc_missing_key": ("region", "to_json(named_struct('name', r_name))", None, None),
@@ -183,6 +193,11 @@ DIRTY_DUCKDB_FAMILIES: dict[str, str] = {
                           " 'score', '0.12345678901234567' || n_nationkey || '9') as data from nation",
     "zset_huge_score": "select json_object('_key', 'region:' || r_regionkey || ':huge', 'value', r_name,"
                        " 'score', (r_regionkey + 1) || 'e30') as data from region",
+    "zset_wide_text": "select json_object('_key', 'nation:' || c_nationkey || ':wide', 'value', c_name, 'score',"
+                      " case when c_acctbal < 0 then '-' else '' end || c_custkey || '9876543210987654321098765432109876543.'"
+                      " || c_custkey || '0') as data from customer",
+    "zset_wide_number": "select ('{\"_key\":\"nation:' || s_nationkey || ':wide\",\"value\":\"' || s_name || '\",\"score\":'"
+                        " || (s_suppkey + 1) || '9876543210987654321098765432109876543210}')::json as data from supplier",
     # Not one JSON value: stated as the array that any such text is rejected like.
     "doc_trailing_text": "select to_json([r_name, r_name]) as data from region",
     "doc_missing_key": "select json_object('name', r_name) as data from region",

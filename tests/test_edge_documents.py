@@ -129,7 +129,7 @@ def test_lists(out):
 
 
 def test_sets(out):
-    assert sorted(m for k, m in out["set"] if k == "k") == ["2", "x", '{"q":1}']
+    assert sorted(m for k, m in out["set"] if k == "k") == ["2", "x", '{"q": 1}']
     assert cat_of(out, "l") == [("l", "set", None)]
     assert not [m for k, m in out["set"] if k == "l"]
     assert [m for k, m in out["set"] if k == "m"] == ["x"]

@@ -1,0 +1,107 @@
+"""Unbounded numbers: order keys and texts against Python's decimals."""
+
+import json
+import random
+from decimal import Decimal, localcontext
+
+import pytest
+from pyspark.sql import functions as F
+
+from kindred.functions import numeric as N
+from kindred.operators import access, stage as S, tables as TB
+
+CASES = ["0", "-0", "0.000", "1", "-1", "+5", "007", "5.", ".5", "-.5", "1.10", "1.50e1", "1e3", "1E+3", "15e-1", "1e21", "-1e21",
+         "12345678901234567890123456789012345678901.5", "12345678901234567890123456789012345678901.50", "0.000012345678901234567",
+         "1e-30", "-1e-30", "9.99e99", "1e100", "1e131071", "1e-131071", "100", "99", "101", "1e2", "0.1e3", "-99", "-100", "-101"]
+NO_NUMBERS = ["", " ", "x", "NaN", "Infinity", "1e", "e5", ".", "+", "1e131072", "1e99999999999", "0x1F", "1_000", "1d", "1 2", "--1"]
+
+
+def numbers(seed, n):
+    rnd = random.Random(seed)
+    out = list(CASES)
+    for _ in range(n):
+        digits = "".join(rnd.choice("0123456789") for _ in range(rnd.choice([1, 2, 3, 20, 45])))
+        at = rnd.randrange(len(digits) + 1)
+        text = rnd.choice(["", "-", "+"]) + digits[:at] + rnd.choice(["", "."]) * (0 < at) + digits[at:]
+        out.append(text + rnd.choice(["", "", f"e{rnd.randrange(-60, 60)}"]))
+    return out
+
+
+def as_decimal(text):
+    with localcontext() as c:
+        c.prec, c.Emax, c.Emin = 300, 10 ** 6, -10 ** 6
+        return Decimal(text)
+
+
+def test_keys_order_as_numbers(spark):
+    texts = numbers(5, 3000)
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", N.order_key(N.number_text(F.col("t"))).alias("k"), N.plain_text(F.col("t")).alias("p"))
+    rows = rows.withColumn("back", N.key_text(F.col("k"))).collect()
+    values = sorted({as_decimal(t) for t in texts})
+    place = {v: i for i, v in enumerate(values)}
+    keys = {}
+    for r in rows:
+        assert keys.setdefault(place[as_decimal(r["t"])], r["k"]) == r["k"], r["t"]
+        assert as_decimal(r["p"]) == as_decimal(r["back"]) == as_decimal(r["t"]), r["t"]
+        assert "e" not in r["p"].lower() and "e" not in r["back"].lower()
+    ordered = [keys[i] for i in range(len(values))]
+    assert ordered == sorted(ordered) and len(set(ordered)) == len(ordered)
+
+
+def test_texts(spark):
+    want = {"1.10": "1.10", "1.50e1": "15.0", "1e3": "1000", "15e-1": "1.5", ".5": "0.5", "5.": "5", "-0": "0", "0.000": "0.000", "+5": "5",
+            "007": "7", "-.5": "-0.5", "1e-3": "0.001", "-0.0": "0.0"}
+    got = spark.createDataFrame([(t,) for t in want], "t string").select("t", N.plain_text(F.col("t")).alias("p")).collect()
+    assert {r["t"]: r["p"] for r in got} == want
+
+
+def test_no_numbers(spark):
+    rows = spark.createDataFrame([(t,) for t in [*NO_NUMBERS, None]], "t string").select(N.number_text(F.col("t")).alias("n"))
+    assert rows.filter("n is not null").count() == 0
+
+
+BIG = "1234567890123456789012345678901234567890"
+
+
+@pytest.fixture(scope="module")
+def zset(spark):
+    scores = [BIG, BIG[:-1] + "1", BIG + ".5", "-" + BIG, "1e400", "1e-400", "0", "7", "0.1234567890123456789", "-1e400", BIG + ".50"]
+    docs = [json.dumps({"_key": "z", "value": f"v{i:02}", "score": s}) for i, s in enumerate(scores)]
+    docs += [f'{{"_key":"y","value":"v{i:02}","score":{s}}}' for i, s in enumerate(scores)]  # numbers as JSON writes them
+    st = S.stage(spark, spark.createDataFrame([(d,) for d in docs], "data string").repartition(5))
+    assert TB.rejects(st).count() == 0
+    table = TB.legacy_zset(st)
+    assert {(r["_key"], r["value"]): as_decimal(r["score_text"]) for r in table.collect()} \
+        == {(k, f"v{i:02}"): as_decimal(s) for k in "yz" for i, s in enumerate(scores)}
+    return table, scores
+
+
+def test_rank_and_top(spark, zset):
+    table, scores = zset
+    order = sorted(((as_decimal(s), f"v{i:02}") for i, s in enumerate(scores)), reverse=True)
+    want = {v: r for r, (_, v) in enumerate(order, 1)}
+    for got in (access.zset_rank(spark, table), access.zset_top_n(table, 100)):
+        assert {(r["_key"], r["value"]): r["rank"] for r in got.collect()} == {(k, v): r for k in "yz" for v, r in want.items()}
+
+
+@pytest.mark.parametrize("lo,hi", [(BIG, None), (None, "-1"), ("-" + BIG, BIG + ".5"), (0, 7), ("1e-400", 1), (0.1, None)])
+def test_range(zset, lo, hi):
+    table, scores = zset
+    want = sorted(f"v{i:02}" for i, s in enumerate(scores)
+                  if (lo is None or as_decimal(s) >= as_decimal(str(lo))) and (hi is None or as_decimal(s) <= as_decimal(str(hi))))
+    got = access.zset_range_by_score(table.filter("_key = 'z'"), lo, hi)
+    assert sorted(r["value"] for r in got.collect()) == want
+
+
+def test_range_prunes_on_the_key(spark, zset, tmp_path):
+    path = str(tmp_path / "z")
+    access.write_clustered(zset[0], path, ["score_key"])
+    plan = access.zset_range_by_score(spark.read.parquet(path), BIG, None)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(score_key,2" in plan
+
+
+def test_score_holds_what_fits(zset):
+    for r in zset[0].collect():
+        assert r["score"] is None or as_decimal(str(r["score"])) == as_decimal(r["score_text"])
+    assert zset[0].filter("score is not null").count() >= 4

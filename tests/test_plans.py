@@ -89,7 +89,7 @@ def test_range_filters_reach_the_scan(spark, st, tmp_path):
     out = str(tmp_path / "z")
     access.write_clustered(TB.legacy_zset(st), out, ["_key", "value"])
     p = plan(access.zset_range_by_score(spark.read.parquet(out), 100, 200))
-    assert "PushedFilters: [IsNotNull(score), GreaterThanOrEqual(score," in p
+    assert "PushedFilters: [IsNotNull(score_key), GreaterThanOrEqual(score_key," in p
 
 
 def test_spread_rule_at_cluster_scale():
