@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from kindred import model
 from kindred.operators import skew
+from kindred.operators.stage import materialize
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -169,7 +170,8 @@ def cascade_delete(catalog: DataFrame, children: dict[str, DataFrame],
     (:func:`kindred.operators.skew.split_hot_join`).  Deleted keys are made
     distinct first, so the broadcast holds at most one row per hot key."""
     hit = F.coalesce(predicate, F.lit(False))
-    deleted = catalog.where(hit).select(*_ON).distinct()
+    # Stored once: every child joins it.
+    deleted = materialize(catalog.sparkSession, catalog.where(hit).select(*_ON).distinct(), "deleted-keys")
     kept = catalog.where(~hit)
     hot = skew.hot_keys([df.select(*_ON) for df in children.values()], _ON, hot_threshold)
     return kept, {name: skew.split_hot_join(df, deleted, _ON, "left_anti", hot) for name, df in children.items()}
@@ -208,8 +210,9 @@ def cascade_rename(catalog: DataFrame, children: dict[str, DataFrame],
     a conflict (:func:`rename_conflicts`) keeps its key."""
     pairs = mapping.select("_key", "new_key").distinct()
     conflicts = rename_conflicts(catalog, mapping).select(*_ON).distinct()
-    moves = (catalog.select(*_ON).distinct().join(pairs, "_key").join(conflicts, _ON, "left_anti")
-             .select(*_ON, "new_key"))  # one per (_key, type)
+    # One per (_key, type), stored once: the catalog and every child join it, and conflicts read the catalog several times.
+    moves = materialize(catalog.sparkSession, catalog.select(*_ON).distinct().join(pairs, "_key")
+                        .join(conflicts, _ON, "left_anti").select(*_ON, "new_key"), "moves")
     hot = skew.hot_keys([df.select(*_ON) for df in [catalog, *children.values()]], _ON, hot_threshold)
 
     def _move(df: DataFrame) -> DataFrame:

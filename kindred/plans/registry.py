@@ -335,18 +335,46 @@ def q_array_documents(spark, sf):
             .groupBy("part", "reason").agg(F.count(F.lit(1)).alias("n")))
 
 
+def _document_payload(c: str) -> Column:
+    """A VARIANT document as ``field=text`` in order of the fields."""
+    entries = F.transform(F.map_entries(F.col(c).cast(S.J.DOC_TYPE)),
+                          lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"].cast("string"), F.lit("~"))))
+    return F.array_join(F.array_sort(entries), "&")
+
+
+#: What a row of a migrated table holds besides its key and type.
+_PAYLOADS: dict[str, Callable[[], Column]] = {
+    "legacy_object": lambda: F.coalesce(F.unix_millis("expireAt").cast("string"), F.lit("~")),
+    "legacy_hash": lambda: _document_payload("data"),
+    "legacy_zset": lambda: F.concat_ws("|", "value", "score_text", "score_key"),
+    "legacy_set": lambda: F.col("member"),
+    "legacy_list": lambda: F.array_join("array", "|", "~"),
+    "legacy_string": lambda: F.col("data"),
+    "legacy_imported": lambda: _document_payload("data"),
+}
+
+
 def q_migrated_tables(spark, sf):
-    """The whole migration, its tables read back."""
+    """The whole migration, its tables read back with all they hold, and how
+    many violations each of its checks has written."""
     from kindred.plans.migrate import migrate
-    res = migrate(spark, exported(spark, sf), scratch_path(spark, "migrated"), "parquet", checks=False)
-    def back(name: str) -> DataFrame:
-        return spark.read.parquet(res.tables[name])
-    parts = [back(n).select(F.lit(n).alias("table_name"), "_key", F.col("type").cast("string").alias("type"))
-             for n in ("legacy_object", *model.CHILD_KIND)]
-    parts.append(back("legacy_imported").select(F.lit("legacy_imported").alias("table_name"),
-                                                F.col("id").cast("string").alias("_key"), "type"))
-    parts.append(back("rejects").select(F.lit("rejects").alias("table_name"), "_key", F.col("reason").alias("type")))
-    return I._union(parts).groupBy("table_name", "_key", "type").agg(F.count(F.lit(1)).alias("n_rows"))
+    res = migrate(spark, exported(spark, sf), scratch_path(spark, "migrated"), "parquet")
+
+    def back(name: str, key: Column | str = "_key") -> DataFrame:
+        key = F.col(key) if isinstance(key, str) else key
+        return spark.read.parquet(res.tables[name]).select(
+            F.lit(name).alias("table_name"), key.alias("_key"), F.col("type").cast("string").alias("type"), _PAYLOADS[name]().alias("payload"))
+
+    parts = [back(n) for n in ("legacy_object", *model.CHILD_KIND)]
+    parts.append(back("legacy_imported", F.col("id").cast("string")))
+    nothing = F.lit(None).cast("string").alias("payload")
+    parts.append(spark.read.parquet(res.tables["rejects"]).select(F.lit("rejects").alias("table_name"), "_key",
+                                                                  F.col("reason").alias("type"), nothing))
+    rows = I._union(parts).groupBy("table_name", "_key", "type", "payload").agg(F.count(F.lit(1)).alias("n_rows"))
+    checks = [spark.read.parquet(path).agg(F.lit("check").alias("table_name"), F.lit(name).alias("_key"),
+                                           F.lit(None).cast("string").alias("type"), nothing, F.count(F.lit(1)).alias("n_rows"))
+              for name, path in ((k.removeprefix("_checks/"), v) for k, v in res.checks.items())]
+    return I._union([rows, *checks])
 
 
 def q_clustered_lookup(spark, sf):
@@ -830,11 +858,6 @@ select _key, table_name, reason from why where reason is not null"""),
 select 'rejects' as part, reason, count(*)::bigint as n from rej group by reason
 union all
 select 'catalog', type, count(*)::bigint from legacy_object group by type"""),
-    "migrated_tables": _sql(", rej as (" + _REJECTS + ")\n" + "\nunion all\n".join(
-        [f"select '{n}' as table_name, _key, type, count(*)::bigint as n_rows from {n} group by _key, type"
-         for n in ("legacy_object", *_CHILD_NAMES)]
-        + ["select 'legacy_imported', id::varchar, type, count(*)::bigint from legacy_imported group by id, type",
-           "select 'rejects', _key, reason, count(*)::bigint from rej group by _key, reason"])),
     "clustered_zset": _sql(_zset_sql("legacy_zset")),
     "clustered_lookup": _sql(_zset_sql("legacy_zset") + f" where _key >= '{LOOKUP_FROM}' and _key < '{LOOKUP_TO}'"),
     "profile_tables": _sql("\nunion all\n".join(
@@ -842,3 +865,23 @@ select 'catalog', type, count(*)::bigint from legacy_object group by type"""),
         f" count(*) filter (where {x} is null)::bigint as n_nulls, {d} as n_distinct from {n}"
         for n, schema in model.SCHEMAS.items() if n != "session" for c, x, d in _profile_columns(n, schema))),
 }
+
+_DOCUMENT_SQL = ("(select string_agg(f || '=' || coalesce(data->>f, '~'), '&' order by f)"
+                 " from (select unnest(list_distinct(json_keys(data))) as f) where f not in ({}))")
+_PAYLOAD_SQL = {
+    "legacy_object": "coalesce(epoch_ms(expireAt)::varchar, '~')",
+    "legacy_hash": "coalesce(" + _DOCUMENT_SQL.format("'_key', 'expireAt', '_id'") + ", '')",
+    "legacy_zset": "concat_ws('|', value, score_text, score_key)",
+    "legacy_set": "member",
+    "legacy_list": "array_to_string(list_transform(arr, lambda x: coalesce(x, '~')), '|')",
+    "legacy_string": "data",
+    "legacy_imported": "coalesce(" + _DOCUMENT_SQL.format("'_key', '_id'") + ", '')",
+}
+_CLEAN_CHECKS = ("orphans", "type_violations", "null_violations", "domain_violations")  # none on migrated tables
+ORACLE["migrated_tables"] = _sql(", rej as (" + _REJECTS + ")\n" + "\nunion all\n".join(
+    [f"select '{n}' as table_name, {'id::varchar' if n == 'legacy_imported' else '_key'} as _key, type, {x} as payload,"
+     f" count(*)::bigint as n_rows from {n} group by all" for n, x in _PAYLOAD_SQL.items()]
+    + ["select 'rejects', _key, reason, null::varchar, count(*)::bigint from rej group by all"]
+    + [f"select 'check', '{n}', null, null, (select count(*)::bigint from ({ORACLE[n]}))"
+       for n in ("dup_plain_keys", "dup_key_value", "mixed_kind_keys", "pk_violations", "dup_key_type")]
+    + [f"select 'check', '{n}', null, null, 0" for n in _CLEAN_CHECKS]))
