@@ -12,8 +12,9 @@ sites on: short lines recur by chance, long passages only as copies.
    is many standard errors wide).  Lines inside it get an exact distinct count.
 4. Boilerplate lines are taken out of every document.
 
-Native functions throughout.  Line hashes are joined, never texts; the list of
-lines to remove meets the documents by their row key.
+Native functions throughout.  Line hashes are joined, and the places of the lines
+to remove meet the documents by their row key: by broadcast while a count proves
+few rows and places, so that no text is moved; beyond that by a shuffle join.
 
 Defined results: a null text has no lines and stays null; blank lines are never
 boilerplate and always kept; a null site is a site of its own; repeated rows are
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.llm.common import bounded_broadcast, materialize, text_key
+from kindred.llm.common import BROADCAST_ROWS, bounded_broadcast, materialize, text_key
 from kindred.llm.mixing import n_words
 
 #: Fixed by the SQL of ``op6_line_dedup``.
@@ -37,6 +38,8 @@ LONG_SITES = 2
 #: Estimates this far from the threshold need no exact count (standard error: 1.6 %).
 BAND = 0.2
 LOG_REGISTERS = 12
+#: Line places (4 bytes each) that a broadcast may hold.
+BROADCAST_PLACES = 2_000_000
 
 
 def _lines(text: Column) -> Column:
@@ -96,6 +99,9 @@ def remove_spread_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
            .join(bounded_broadcast(spread), "line_hash", "left_semi")
            .groupBy("_id", "_key").agg(F.collect_set("pos").alias("_out")))
     hit = materialize(hit, "line-hits").withColumnsRenamed({"_id": "_hid", "_key": "_hkey"})
+    size = hit.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("_out")), F.lit(0)).alias("places")).first()
+    if size["rows"] <= BROADCAST_ROWS and size["places"] <= BROADCAST_PLACES:
+        hit = F.broadcast(hit)
     joined = rows.join(hit, F.col("_id").eqNullSafe(F.col("_hid")) & (F.col("_key") == F.col("_hkey")), "left")
     keep = F.filter(_lines(F.col("_text")), lambda line, i: ~F.array_contains("_out", i))
     text = F.when(F.col("_out").isNull(), F.col("_text")).otherwise(F.array_join(keep, "\n"))

@@ -81,3 +81,14 @@ def test_long_lines(documents, odd, odd_rows):
 
 def test_empty(empty):
     assert L.remove_spread_lines(empty).count() == 0
+
+
+def test_both_joins_agree(documents, monkeypatch):
+    from kindred.llm import line_dedup
+    plans, results = [], []
+    for places in (line_dedup.BROADCAST_PLACES, -1):
+        monkeypatch.setattr(line_dedup, "BROADCAST_PLACES", places)
+        out = line_dedup.remove_spread_lines(documents, min_sites=4)
+        plans.append("BroadcastHashJoin" in out._jdf.queryExecution().executedPlan().toString())
+        results.append(sorted(map(str, out.collect())))
+    assert results[0] == results[1] and plans[0]
