@@ -169,12 +169,27 @@ def cascade_delete(catalog: DataFrame, children: dict[str, DataFrame],
     goes through a broadcast of its one deleted-key row instead
     (:func:`kindred.operators.skew.split_hot_join`).  Deleted keys are made
     distinct first, so the broadcast holds at most one row per hot key."""
-    hit = F.coalesce(predicate, F.lit(False))
-    # Stored once: every child joins it.
-    deleted = materialize(catalog.sparkSession, catalog.where(hit).select(*_ON).distinct(), "deleted-keys")
-    kept = catalog.where(~hit)
+    deleted = deleted_keys(catalog, predicate)
+    return catalog.where(~is_hit(predicate)), without_deleted(children, deleted, hot_threshold)
+
+
+def is_hit(predicate: Column) -> Column:
+    """A predicate that is null deletes nothing."""
+    return F.coalesce(predicate, F.lit(False))
+
+
+def deleted_keys(catalog: DataFrame, predicate: Column) -> DataFrame:
+    """Distinct ``(_key, type)`` of the catalog rows to delete, stored once as every child joins them."""
+    return materialize(catalog.sparkSession, catalog.where(is_hit(predicate)).select(*_ON).distinct(), "deleted-keys")
+
+
+def without_deleted(children: dict[str, DataFrame], deleted: DataFrame,
+                    hot_threshold: int = skew.HOT_THRESHOLD) -> dict[str, DataFrame]:
+    """The child rows that a cascading delete leaves."""
+    if not children:
+        return {}
     hot = skew.hot_keys([df.select(*_ON) for df in children.values()], _ON, hot_threshold)
-    return kept, {name: skew.split_hot_join(df, deleted, _ON, "left_anti", hot) for name, df in children.items()}
+    return {name: skew.split_hot_join(df, deleted, _ON, "left_anti", hot) for name, df in children.items()}
 
 
 def rename_conflicts(catalog: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -208,16 +223,29 @@ def cascade_rename(catalog: DataFrame, children: dict[str, DataFrame],
     and carry the new key to child rows with the same ``(_key, type)``; hot
     child keys join by broadcast as in :func:`cascade_delete`.  An object with
     a conflict (:func:`rename_conflicts`) keeps its key."""
+    out = moved({"": catalog, **children}, possible_moves(catalog, mapping), hot_threshold)
+    return out.pop(""), out
+
+
+def possible_moves(catalog: DataFrame, mapping: DataFrame) -> DataFrame:
+    """``(_key, type, new_key)`` of the objects that a rename can carry out, one
+    per object.  Stored once: the catalog and every child join it, and conflicts
+    read the catalog several times."""
     pairs = mapping.select("_key", "new_key").distinct()
     conflicts = rename_conflicts(catalog, mapping).select(*_ON).distinct()
-    # One per (_key, type), stored once: the catalog and every child join it, and conflicts read the catalog several times.
-    moves = materialize(catalog.sparkSession, catalog.select(*_ON).distinct().join(pairs, "_key")
-                        .join(conflicts, _ON, "left_anti").select(*_ON, "new_key"), "moves")
-    hot = skew.hot_keys([df.select(*_ON) for df in [catalog, *children.values()]], _ON, hot_threshold)
+    return materialize(catalog.sparkSession, catalog.select(*_ON).distinct().join(pairs, "_key")
+                       .join(conflicts, _ON, "left_anti").select(*_ON, "new_key"), "moves")
+
+
+def moved(tables: dict[str, DataFrame], moves: DataFrame, hot_threshold: int = skew.HOT_THRESHOLD) -> dict[str, DataFrame]:
+    """The tables with the keys of ``moves`` replaced."""
+    if not tables:
+        return {}
+    hot = skew.hot_keys([df.select(*_ON) for df in tables.values()], _ON, hot_threshold)
 
     def _move(df: DataFrame) -> DataFrame:
         j = skew.split_hot_join(df, moves, _ON, "left", hot)
         return j.select(*[F.coalesce("new_key", "_key").alias("_key") if c == "_key" else F.col(c)
                           for c in df.columns])
 
-    return _move(catalog), {name: _move(df) for name, df in children.items()}
+    return {name: _move(df) for name, df in tables.items()}

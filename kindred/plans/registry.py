@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from kindred import model
 from kindred.functions import jsondoc as J, numeric as N
-from kindred.operators import access, catalog as C, integrity as I, stage as S, tables as TB
+from kindred.operators import access, catalog as C, integrity as I, ranked, stage as S, tables as TB
+from kindred.plans import publish
 from kindred.session import scratch_path
 from kindred.sources.documents import read_documents, write_array
 from kindred.sources.dump import write_dump
@@ -216,16 +217,45 @@ def _rename_mapping(cat: DataFrame) -> DataFrame:
                                      F.lit(RENAME_TO)).alias("new_key")))
 
 
-def q_cascade_rename(spark, sf):
-    st = staged(spark, sf)
-    cat = C.legacy_object(st)
-    new_cat, kids = I.cascade_rename(cat, _children(st), _rename_mapping(cat))
-    parts = [new_cat.select(F.lit("legacy_object").alias("table_name"), "_key")]
+def _renamed_counts(cat: DataFrame, kids: dict[str, DataFrame]) -> DataFrame:
+    parts = [cat.select(F.lit("legacy_object").alias("table_name"), "_key")]
     parts += [df.select(F.lit(name).alias("table_name"), "_key") for name, df in kids.items()]
     return (I._union(parts).where(F.col("_key").endswith(RENAME_TO))
             .groupBy("table_name", "_key").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def q_cascade_rename(spark, sf):
+    st = staged(spark, sf)
+    cat = C.legacy_object(st)
+    return _renamed_counts(*I.cascade_rename(cat, _children(st), _rename_mapping(cat)))
+
+
+def _published(spark: SparkSession, sf: str) -> str:
+    """The catalog and its children, published together at a new place."""
+    target, st = scratch_path(spark, "published"), staged(spark, sf)
+    publish.publish_tables(spark, {"legacy_object": C.legacy_object(st), **_children(st)}, target, "load")
+    return target
+
+
+def _linked(spark: SparkSession, target: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    tables = publish.read_tables(spark, target)
+    return tables.pop("legacy_object"), tables
+
+
+def q_published_cascade_delete(spark, sf):
+    """Tables published together, one delete that rewrites the files it touches, read back."""
+    target = _published(spark, sf)
+    publish.delete_published(spark, target, "expire", F.col("expireAt") <= F.timestamp_millis(F.lit(AS_OF_MS)))
+    return _table_counts(*_linked(spark, target))
+
+
+def q_published_cascade_rename(spark, sf):
+    """K6, I8: tables published together, one rename that rewrites the files it touches, read back."""
+    target = _published(spark, sf)
+    publish.rename_published(spark, target, "rename", _rename_mapping(_linked(spark, target)[0]))
+    return _renamed_counts(*_linked(spark, target))
+
+
 def q_expiring_between(spark, sf):
     return _catalog_out(access.expiring_between(C.legacy_object(staged(spark, sf)),
                                                 WINDOW_FROM_MS, WINDOW_TO_MS))
@@ -256,6 +286,13 @@ def q_zset_rank(spark, sf):
     return _zset_out(access.zset_rank(spark, TB.legacy_zset(staged(spark, sf))), "rank")
 
 
+def q_ranked_zset(spark, sf):
+    """A5: ranks of every member from a stored order and its directory."""
+    path = scratch_path(spark, "ranked")
+    ranked.write_ranked(spark, TB.legacy_zset(staged(spark, sf)), path)
+    return _zset_out(ranked.ranks(spark, path), "rank")
+
+
 def q_profile_zset(spark, sf):
     return access.profile(TB.legacy_zset(staged(spark, sf)), approx_distinct=False)
 
@@ -454,6 +491,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dumped_objects": q_dumped_objects,
     "clustered_zset": q_clustered_zset,
     "profile_tables": q_profile_tables,
+    "published_cascade_delete": q_published_cascade_delete,
+    "published_cascade_rename": q_published_cascade_rename,
+    "ranked_zset": q_ranked_zset,
 }
 
 
@@ -885,3 +925,7 @@ ORACLE["migrated_tables"] = _sql(", rej as (" + _REJECTS + ")\n" + "\nunion all\
     + [f"select 'check', '{n}', null, null, (select count(*)::bigint from ({ORACLE[n]}))"
        for n in ("dup_plain_keys", "dup_key_value", "mixed_kind_keys", "pk_violations", "dup_key_type")]
     + [f"select 'check', '{n}', null, null, 0" for n in _CLEAN_CHECKS]))
+
+# Tables changed in place, and ranks from a stored order, hold what the plain jobs return.
+ORACLE |= {"published_cascade_delete": ORACLE["cascade_delete"], "published_cascade_rename": ORACLE["cascade_rename"],
+           "ranked_zset": ORACLE["zset_rank"]}
