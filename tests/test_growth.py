@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from kindred.functions import jsonb as JB, numeric as N
 from kindred.operators import stage as S, tables as TB
+from kindred.sources.documents import read_documents
+from kindred.sources.dump import document_bytes, read_dump
 
 # The patterns as first written, with runs that are tried again from every length.
 PLAIN_ODD = (r"[:,\[]\s*(?:-0(?![0-9.])|-?[0-9]+\.[0-9]*0(?![0-9])|-?0\.000000|-?[0-9]+(?:\.[0-9]+)?[eE]|-?[0-9.]{38})"
@@ -68,3 +70,19 @@ def test_stage_is_written_without_sorting_by_kind(spark, monkeypatch):
     assert seen == [S.FOLDERS_AT_ONCE] and S.FOLDERS_AT_ONCE >= 6  # five kinds and none
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters", None) == before
     assert sorted((r["kind"] or "", r["_key"] or "") for r in st.collect()) == [("", ""), ("hash", "h"), ("set", "s"), ("zset", "z")]
+
+
+def per_partition(df):
+    return [r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+
+
+def test_every_range_of_arrays_is_a_task(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k:02d}.json").write_text(json.dumps([{"_key": f"k{k}"}]))
+    assert per_partition(read_documents(spark, str(tmp_path), "json")) == [1] * 40
+
+
+def test_every_range_of_dumps_is_a_task(spark, tmp_path):
+    for k in range(40):
+        (tmp_path / f"{k:02d}.bson").write_bytes(document_bytes({"_key": f"k{k}"}))
+    assert per_partition(read_dump(spark, str(tmp_path))) == [1] * 40
