@@ -46,8 +46,8 @@ END_ID = 2
 SEGMENT_IDS = 1 << 18
 #: Pieces, and bytes of their ids, kept per Python worker; the memory starts anew when full.
 MEMORY_PIECES, MEMORY_BYTES = 600_000, 128 << 20
-#: Text encoded at a time.
-SLICE_BYTES = 4 << 20
+#: Text encoded at a time: a distinct piece is looked up once in it, so larger slices look up less.
+SLICE_BYTES = 12 << 20
 #: Ids decoded at a time while files are read back.
 SLICE_IDS = 1 << 20
 
