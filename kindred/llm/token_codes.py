@@ -46,6 +46,8 @@ END_ID = 2
 SEGMENT_IDS = 1 << 18
 #: Pieces, and bytes of their ids, kept per Python worker; the memory starts anew when full.
 MEMORY_PIECES, MEMORY_BYTES = 600_000, 128 << 20
+#: Pieces that one call of the library encodes.
+LEARN_PIECES = 1 << 14
 #: Text encoded at a time: a distinct piece is looked up once in it, so larger slices look up less.
 SLICE_BYTES = 12 << 20
 #: Ids decoded at a time while files are read back.
@@ -127,9 +129,13 @@ class Encoder:
         self._library = P.ByteEncoder(tokenizer_path, special_as_text=not added_tokens)
         added = self._library.tokenizer.get_added_tokens_decoder() if added_tokens else {}
         self._added = "|".join(re.escape(t.content) for t in added.values())
-        encode = self._library.encode
-        self._first = P.Memory(lambda new: [encode(new)], memory, memory_bytes)
-        self._rest = P.Memory(lambda new: [encode([" " + p for p in new])], memory, memory_bytes)
+        self._first = P.Memory(lambda new: self._learn(new, ""), memory, memory_bytes)
+        self._rest = P.Memory(lambda new: self._learn(new, " "), memory, memory_bytes)
+
+    def _learn(self, new: list[str], blank: str) -> list[pa.Array]:
+        """A call of the library makes objects far larger than the ids, so it takes some pieces at a time."""
+        return [pa.concat_arrays([self._library.encode([blank + p for p in new[k:k + LEARN_PIECES]])
+                                  for k in range(0, len(new), LEARN_PIECES)])]
 
     def encode(self, texts: pa.Array) -> pa.LargeListArray:
         """Per text (none null) its ids."""
@@ -153,16 +159,22 @@ class Encoder:
         ptr = split.offsets.to_numpy().astype(np.int64)
         values = split.values.slice(ptr[0], ptr[-1] - ptr[0])
         ptr -= ptr[0]
-        is_rest = np.ones(len(values), bool)
-        is_rest[ptr[:-1]] = False
-        codes, tables, known = np.empty(len(values), np.int64), [], 0
-        for memory, at in ((self._first, ~is_rest), (self._rest, is_rest)):
-            coded = pc.dictionary_encode(values.filter(pa.array(at)))
-            if len(coded):
-                places = memory.places(coded.dictionary.to_pylist())
-                codes[at] = known + coded.indices.to_numpy()
+        coded = pc.dictionary_encode(values)
+        del split, values
+        codes = coded.indices.to_numpy().copy()
+        first, place = np.unique(codes[ptr[:-1]], return_inverse=True)
+        codes[ptr[:-1]] = -1
+        rest = np.zeros(len(coded.dictionary), bool)
+        rest[codes[codes >= 0]] = True
+        # Pieces behind a blank are numbered anew, first pieces after them.
+        codes = (np.cumsum(rest, dtype=np.int32) - 1)[codes]
+        codes[ptr[:-1]] = rest.sum() + place
+        tables = []
+        for memory, wanted in ((self._rest, np.flatnonzero(rest)), (self._first, first)):
+            if len(wanted):
+                places = memory.places(coded.dictionary.take(pa.array(wanted)).to_pylist())
                 tables.append(memory.table[0].take(pa.array(places)))
-                known += len(places)
+        del coded
         ids = pa.concat_arrays(tables).take(pa.array(codes))
         return pa.LargeListArray.from_arrays(ids.offsets.take(pa.array(ptr)), ids.values)
 
@@ -226,6 +238,9 @@ def write_codes(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
                     done, taken = upto, int(ends[upto - 1])
                     if n >= segment_ids:
                         yield close()
+                del texts, found, ids
+                # A worker lives on into other stages: it keeps the pieces, not the space that a slice took.
+                pa.default_memory_pool().release_unused()
         if held:
             yield close()
 

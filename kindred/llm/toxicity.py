@@ -316,19 +316,20 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 def _scored(docs: DataFrame, model: dict, text_col: str, fields: list[str]) -> DataFrame:
     """The named columns as ``c0``, ``c1``, ... and ``_score``."""
     shared = docs.sparkSession.sparkContext.broadcast({k: model[k] for k in ("mined", "weights", "bias")})
-    slim = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(fields)],
-                       F.col(f"`{text_col}`").alias("_text"))
+    sent = list(dict.fromkeys([*fields, text_col]))  # the text goes to the workers once
+    slim = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(sent)])
+    n, at = len(fields), sent.index(text_col)
 
     def run(batches):
         m = shared.value
         reader, weights, bias = Reader(m["mined"]), m["weights"], m["bias"]
         for batch in batches:
             z = np.array([bias + sum(weights[i] for i in reader.read(v.as_py() or "")[0])
-                          for v in batch.column(len(fields))], float)
+                          for v in batch.column(at)], float)
             score = pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*batch.schema.names[:-1], "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], score], names=[*batch.schema.names[:n], "_score"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields[:-1])
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in slim.schema.fields[:n])
     return slim.mapInArrow(run, f"{schema}, _score double")
 
 

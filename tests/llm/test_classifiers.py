@@ -74,6 +74,15 @@ def test_drop_toxic(spark, odd):
     assert kept.columns == odd.columns and kept.count() == odd.count()
 
 
+def test_a_text_goes_to_the_workers_once(odd, monkeypatch):
+    sent, run = [], type(odd).mapInArrow
+    monkeypatch.setattr(type(odd), "mapInArrow", lambda self, *a, **b: (sent.append(self.columns), run(self, *a, **b))[1])
+    model = {"mined": [], "weights": [], "bias": 0.0}
+    assert toxicity._scored(odd, model, "text", odd.columns).columns == [*(f"c{i}" for i in range(len(odd.columns))), "_score"]
+    assert toxicity._scored(odd, model, "text", ["doc_id"]).columns == ["c0", "_score"]
+    assert [len(x) for x in sent] == [len(odd.columns), 2]
+
+
 def test_only_near_copies_count_once(spark):
     """Texts that share a common passage, or end in a sign, are no copies."""
     common = " ".join("abcdefghij"[k % 10] * 3 + "klmnopqrst"[k // 10] for k in range(30))
