@@ -65,6 +65,8 @@ _XOR = _RANDOM.integers(0, 2 ** 64, N_SYMBOLS, np.uint64)
 _PLACE = _RANDOM.integers(0, 2 ** 64, 64, np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2 ** 64)
+#: Classes whose keys (``N_SYMBOLS`` each) one task counts: nearly all keys are distinct, so its table grows with them.
+KEY_CLASSES = 8192
 #: Bytes of text hashed at a time, so that the arrays stay in the processor's cache.
 BLOCK_BYTES = 1 << 19
 
@@ -257,7 +259,8 @@ def class_components(docs: DataFrame, shingle: int, percent: int) -> tuple[DataF
         .agg(F.min("_id").alias("first_id"), F.first("sig").alias("sig"))
         .withColumn("node", F.monotonically_increasing_id()), "near-classes")
     keys = _chunk_keys(classes)
-    buckets = materialize(keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-buckets")
+    dealt = classes.select("node", "sig").repartition(classes.count() // KEY_CLASSES + 1, "node")
+    buckets = materialize(_chunk_keys(dealt).groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "near-buckets")
     members = materialize(keys.join(bounded_broadcast(buckets), "key").select("key", "node", "n"), "near-members")
     # Whoever meets most others stands in the middle of its group.
     nodes = materialize(members.groupBy("node").agg(F.sum(F.col("n") - 1).alias("degree")), "near-nodes")

@@ -124,3 +124,14 @@ def test_components(spark):
 
 def test_empty(empty):
     assert M.near_duplicates(empty).count() == 0 and M.keep_one(empty).count() == 0
+
+
+def test_tasks_that_count_keys_take_some_classes(spark, monkeypatch):
+    from kindred.llm import minhash
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2}x{k}" for k in range(30)) + f" y{i}") for i in range(60)], "doc_id long, text string")
+    want = sorted(map(tuple, minhash.near_duplicates(docs).select("doc_id", "component_id").collect()))
+    dealt, keys = [], minhash._chunk_keys
+    monkeypatch.setattr(minhash, "_chunk_keys", lambda classes: (dealt.append(classes.rdd.getNumPartitions()), keys(classes))[1])
+    monkeypatch.setattr(minhash, "KEY_CLASSES", 10, raising=False)
+    assert sorted(map(tuple, minhash.near_duplicates(docs).select("doc_id", "component_id").collect())) == want
+    assert 7 in dealt and {b for _, b in want} == set(range(0, 60, 2))
