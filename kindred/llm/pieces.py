@@ -120,3 +120,28 @@ class Memory:
             self.table = learned if self.table is None else [pa.concat_arrays([a, b]) for a, b in zip(self.table, learned)]
             at.update(zip(new, range(begin, begin + len(new))))
         return np.fromiter(map(at.__getitem__, values), np.int64, len(values))
+
+
+class ColumnMemory(Memory):
+    """The same with the pieces in an Arrow column: a few bytes each beside the
+    text, where a dict takes some hundred.  A lookup reads the whole column, so
+    it is for many pieces at once."""
+
+    def __init__(self, learn, pieces: int, table_bytes: int):
+        super().__init__(learn, pieces, table_bytes)
+        self._known: pa.Array | None = None
+
+    def places(self, values: pa.Array) -> np.ndarray:
+        """The places of distinct pieces in ``table``."""
+        if self.table is not None and (len(self._known) > self._pieces or sum(c.nbytes for c in self.table) > self._bytes):
+            self._known = self.table = None
+        known = values.slice(0, 0) if self._known is None else self._known
+        at = pc.fill_null(pc.index_in(values, value_set=known), -1).to_numpy().astype(np.int64)
+        fresh = at < 0
+        if fresh.any():
+            new = values.filter(pa.array(fresh))
+            learned = self._learn(new)
+            self.table = learned if self.table is None else [pa.concat_arrays([a, b]) for a, b in zip(self.table, learned)]
+            self._known = pa.concat_arrays([known, new])
+            at[fresh] = np.arange(len(known), len(known) + len(new))
+        return at

@@ -129,12 +129,12 @@ class Encoder:
         self._library = P.ByteEncoder(tokenizer_path, special_as_text=not added_tokens)
         added = self._library.tokenizer.get_added_tokens_decoder() if added_tokens else {}
         self._added = "|".join(re.escape(t.content) for t in added.values())
-        self._first = P.Memory(lambda new: self._learn(new, ""), memory, memory_bytes)
-        self._rest = P.Memory(lambda new: self._learn(new, " "), memory, memory_bytes)
+        self._first = P.ColumnMemory(lambda new: self._learn(new, ""), memory, memory_bytes)
+        self._rest = P.ColumnMemory(lambda new: self._learn(new, " "), memory, memory_bytes)
 
-    def _learn(self, new: list[str], blank: str) -> list[pa.Array]:
+    def _learn(self, new: pa.Array, blank: str) -> list[pa.Array]:
         """A call of the library makes objects far larger than the ids, so it takes some pieces at a time."""
-        return [pa.concat_arrays([self._library.encode([blank + p for p in new[k:k + LEARN_PIECES]])
+        return [pa.concat_arrays([self._library.encode([blank + p for p in new[k:k + LEARN_PIECES].to_pylist()])
                                   for k in range(0, len(new), LEARN_PIECES)])]
 
     def encode(self, texts: pa.Array) -> pa.LargeListArray:
@@ -172,7 +172,7 @@ class Encoder:
         tables = []
         for memory, wanted in ((self._rest, np.flatnonzero(rest)), (self._first, first)):
             if len(wanted):
-                places = memory.places(coded.dictionary.take(pa.array(wanted)).to_pylist())
+                places = memory.places(coded.dictionary.take(pa.array(wanted)))
                 tables.append(memory.table[0].take(pa.array(places)))
         del coded
         ids = pa.concat_arrays(tables).take(pa.array(codes))
